@@ -17,6 +17,7 @@ def local_session(app: str = "riskframe", cores: int = 8, shuffle_partitions: in
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -48,3 +49,18 @@ def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     if ensure_checkpoint_dir(df.sparkSession, fallback_dir) is None:
         raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir")
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
+    """Phase hand-off for frames that several passes read (feature table before
+    evaluation, correlation, training).  Reliable checkpoint into the cluster's
+    checkpoint folder when one is configured (lineage is cut, so a lost
+    executor re-reads the checkpoint instead of recomputing the shuffles, and
+    downstream plans see a leaf instead of the whole projection chain);
+    otherwise ``persist`` (recomputed from lineage on executor loss)."""
+    from pyspark import StorageLevel
+    if ensure_checkpoint_dir(df.sparkSession, fallback_dir):
+        return df.checkpoint(eager=True)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
