@@ -301,10 +301,24 @@ SQL["high_utilisation_count"] = q("""SELECT count(*) FILTER (WHERE CREDIT_UTILIZ
 CORR_COLS = [c for c, _ in ACC_TYPES if c not in ("ID", LABEL)]
 
 
-def _r(a, b, src):
-    return (f"(SELECT covar_pop(CAST(x AS DOUBLE), CAST(y AS DOUBLE)) / NULLIF(stddev_pop(CAST(x AS DOUBLE)) * "
-            f"stddev_pop(CAST(y AS DOUBLE)), 0) FROM (SELECT {a} AS x, {b} AS y FROM {src} WHERE {a} IS NOT NULL "
-            f"AND {b} IS NOT NULL) t)")
+def _rexpr(a, b):
+    return (f"covar_pop(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) / NULLIF(stddev_pop(CAST({a} AS DOUBLE)) * "
+            f"stddev_pop(CAST({b} AS DOUBLE)), 0)")
+
+
+def _pairs_sql(pairs, src, complete=False, pairwise_label=None):
+    """All pairwise r in ONE aggregate, zipped back to rows with parallel unnest."""
+    if complete:
+        cols = list(dict.fromkeys(c for p in pairs for c in p))
+        src = f"(SELECT * FROM {src} WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols) + ")"
+        exprs = [_rexpr(a, b) for a, b in pairs]
+    else:  # pairwise-complete rows, as the Spark label-correlation operator
+        exprs = [_rexpr(f"CASE WHEN {b} IS NOT NULL THEN {a} END", f"CASE WHEN {a} IS NOT NULL THEN {b} END")
+                 for a, b in pairs]
+    la = ", ".join(f"'{a}'" for a, _ in pairs)
+    lb = ", ".join(f"'{b}'" for _, b in pairs)
+    return (f"SELECT unnest([{la}]) AS a, unnest([{lb}]) AS b, unnest([{', '.join(exprs)}]) AS r "
+            f"FROM {src} t")
 
 
 def _strength(x):
@@ -312,20 +326,17 @@ def _strength(x):
             f"ELSE 'Very Weak' END")
 
 
-_CORRS = union([f"SELECT '{c}' AS column_name, {_r(c, LABEL, 'accounts')} AS r" for c in CORR_COLS])
+_CORRS = f"SELECT a AS column_name, r FROM ({_pairs_sql([(c, LABEL) for c in CORR_COLS], 'accounts')}) p"
 SQL["label_correlations"] = q(f"""SELECT column_name, round(r, 6) AS r, round(abs(r), 6) AS abs_r, {_strength('abs(r)')} AS strength
 FROM ({_CORRS}) c ORDER BY abs(r) DESC NULLS LAST, column_name LIMIT 15""", A)
 SQL["correlation_strength"] = q(f"SELECT {_strength('abs(r)')} AS strength, count(*) AS count FROM ({_CORRS}) c GROUP BY 1", A)
 SQL["correlation_extremes"] = q(f"""SELECT arg_max(column_name, r) FILTER (WHERE r > 0) AS strongest_positive,
   round(max(r) FILTER (WHERE r > 0), 6) AS positive_r, arg_min(column_name, r) FILTER (WHERE r < 0) AS strongest_negative,
   round(min(r) FILTER (WHERE r < 0), 6) AS negative_r FROM ({_CORRS}) c""", A)
-SQL["status_correlation_matrix"] = q(union([
-    f"SELECT '{a}' AS a, '{b}' AS b, round({_r(a, b, 'accounts')}, 6) AS r"
-    for i, a in enumerate(STATUS) for b in STATUS[i + 1:]]), A)
+SQL["status_correlation_matrix"] = q(
+    f"SELECT a, b, round(r, 6) AS r FROM ({_pairs_sql([(a, b) for i, a in enumerate(STATUS) for b in STATUS[i + 1:]], 'accounts', complete=True)}) m", A)
 _MATRIX_COLS = NUMERIC_FEATURES[:20] + [LABEL]
-_COMPLETE = "(SELECT * FROM feat WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _MATRIX_COLS) + ")"
-_PAIRS = union([f"SELECT '{a}' AS a, '{b}' AS b, {_r(a, b, _COMPLETE)} AS r"
-                for i, a in enumerate(_MATRIX_COLS) for b in _MATRIX_COLS[i + 1:]])
+_PAIRS = _pairs_sql([(a, b) for i, a in enumerate(_MATRIX_COLS) for b in _MATRIX_COLS[i + 1:]], "feat", complete=True)
 SQL["high_correlation_pairs"] = q(f"SELECT a, b, round(r, 6) AS r FROM ({_PAIRS}) m WHERE abs(r) > 8e-1", FT)
 
 # ---------------------------------------------------------------- feature band reports (F)

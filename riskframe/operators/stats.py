@@ -8,8 +8,6 @@ group count is not bounded for an arbitrary column.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -221,28 +219,30 @@ def correlation_extremes(corrs: DataFrame) -> DataFrame:
                      .alias("strongest_negative"), F.min(F.when(F.col("r") < 0, F.col("r"))).alias("negative_r"))
 
 
-def correlation_matrix(df: DataFrame, cols, complete_rows: bool = True, diagonal: bool = False) -> DataFrame:
-    """Long-form matrix (a, b, r) for a < b (in list order), one
-    aggregate of pairwise moments.  ``complete_rows`` drops rows with a NULL in
-    any of the columns first (the vector-assembler ``skip`` behaviour)."""
-    src = df.select(*[qcol(c).cast("double").alias(c) for c in cols])
-    pairs = list(combinations(cols, 2))
-    if complete_rows:
-        # Complete rows: each column's stddev is one shared aggregate (Spark
-        # de-duplicates identical aggregate expressions), so k columns cost
-        # k stddevs + k(k-1)/2 covariances in a single pass.
-        src = src.na.drop()
-        per = {f"{a}\u0000{b}": {"r": F.try_divide(F.covar_pop(qcol(a), qcol(b)),
-                                                    F.stddev_pop(qcol(a)) * F.stddev_pop(qcol(b)))}
-               for a, b in pairs}
-    else:
-        per = {f"{a}\u0000{b}": {"r": _safe_r(qcol(a), qcol(b))} for a, b in pairs}
-    out = long_form(src, per, key="pair")
-    out = out.select(F.split("pair", "\u0000")[0].alias("a"), F.split("pair", "\u0000")[1].alias("b"), "r")
-    if diagonal:
-        spark = df.sparkSession
-        out = out.unionByName(spark.createDataFrame([(c, c, 1.0) for c in cols], "a string, b string, r double"))
-    return out
+def correlation_matrix(df: DataFrame, cols, diagonal: bool = False) -> DataFrame:
+    """Long-form Pearson matrix (a, b, r) for a before b in list order.
+
+    MLlib ``Correlation.corr`` over an assembled vector: one distributed
+    treeAggregate of the column Gramian; only the k x k matrix (schema-sized)
+    reaches the driver.  Rows with a NULL in any column are skipped (the
+    assembler's ``skip``); a constant column's NaN becomes NULL (R5)."""
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    cols = list(cols)
+    src = df.select(*[qcol(c).cast("double").alias(f"_c{i}") for i, c in enumerate(cols)])
+    vec = VectorAssembler(inputCols=[f"_c{i}" for i in range(len(cols))], outputCol="_v",
+                          handleInvalid="skip").transform(src).select("_v")
+    row = Correlation.corr(vec, "_v", "pearson").first()
+    mat = row[0].toArray() if row is not None else None
+    rows = []
+    for i, a in enumerate(cols):
+        for j in range(i if diagonal else i + 1, len(cols)):
+            r = None if mat is None else float(mat[i][j])
+            rows.append((a, cols[j], None if r is None or math.isnan(r) else r))
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def high_correlation_pairs(matrix: DataFrame, threshold: float = 0.8) -> DataFrame:
