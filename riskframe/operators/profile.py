@@ -87,17 +87,21 @@ def sample_values(df: DataFrame, n: int = 3, cols=None, scan_rows: int = 10000,
 def quality_report(df: DataFrame) -> DataFrame:
     """Per column type and null count, with table-level totals.
 
-    Two jobs in all: the fused null-count aggregate, and the duplicate count,
-    which enters as a scalar subquery (no join)."""
-    dups = duplicate_count(df)
+    ONE pass over the source: the duplicate count needs ``groupBy(all
+    columns)`` anyway, and every column's null count can be read off those
+    groups (``sum(count) where c is null``), so nulls ride along with the one
+    shuffle the report cannot avoid.  Map-side partial aggregation collapses
+    repeated rows before the shuffle.  (The study: n_columns + 3 actions.)"""
     types = dict(df.dtypes)
-    total = F.count(F.lit(1))
-    per = {c: {"dtype": F.lit(types[c]), "null_count": F.count_if(qcol(c).isNull()),
-               "total_records": total} for c in df.columns}
-    return long_form(df, per).select(
+    groups = df.groupBy(*[qcol(c) for c in df.columns]).count()
+    n = F.col("count")
+    per = {c: {"dtype": F.lit(types[c]),
+               "null_count": F.coalesce(F.sum(F.when(qcol(c).isNull(), n)), F.lit(0)).cast("bigint"),
+               "total_records": F.coalesce(F.sum(n), F.lit(0)).cast("bigint"),
+               "duplicate_records": F.coalesce(F.sum(n - 1), F.lit(0)).cast("bigint")} for c in df.columns}
+    return long_form(groups, per).select(
         "column_name", "dtype", "null_count", "total_records",
-        F.lit(len(df.columns)).alias("total_columns"),
-        dups.select("duplicate_records").scalar().alias("duplicate_records"))
+        F.lit(len(df.columns)).alias("total_columns"), "duplicate_records")
 
 
 def quality_summary(report: DataFrame) -> DataFrame:

@@ -24,6 +24,9 @@ def local_session(app: str = "riskframe", cores: int = 8, shuffle_partitions: in
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # per-call origin capture costs ~15 py4j round trips per Column function;
+        # a wide feature plan is built from thousands of them
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
