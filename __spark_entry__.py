@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from riskframe.functions.columns import qcol  # noqa: E402
-from riskframe.functions.panel import EDUCATION_LABELS, LABEL, STATUS_CODES  # noqa: E402
+from riskframe.functions.panel import EDUCATION_LABELS, FEATURE_CATEGORIES, LABEL, STATUS_CODES  # noqa: E402
 from riskframe.operators import bands as B  # noqa: E402
 from riskframe.operators import cleaning as C  # noqa: E402
 from riskframe.operators import evaluation as E  # noqa: E402
@@ -99,6 +99,30 @@ def _importance(spark, sf, by_category=False):
     return M.importance_by_category(imp) if by_category else imp
 
 
+def _quality_pair(spark, sf, op):
+    before = _dirty(spark, sf)
+    after = materialize(cleanse(_dirty(spark, sf), accuracy=EXACT))
+    rb, ra = P.quality_report(before), P.quality_report(after)
+    if op == "score":
+        return P.quality_score(rb, ra, after.columns)
+    return op(rb, ra)
+
+
+def _importance_comparison(spark, sf):
+    feat = _feat_table(spark, sf)
+    train, _val, _test = M.split_data(feat, key="ID")
+    num, cat = M.prepare_features(feat, LABEL, method="all")
+    prep, names = M.fit_preprocessing(train, num, cat)
+    zoo = M.model_zoo(LABEL)
+    models = {"Random Forest": zoo["Random Forest"].setNumTrees(20), "Gradient Boosting": zoo["Gradient Boosting"].setMaxIter(10)}
+    ms = M.train_models(prep.transform(train), models, LABEL)
+    imps = None
+    for name, model in ms.models.items():
+        imp = M.feature_importance(model, names, name, spark)
+        imps = imp if imps is None else imps.unionByName(imp)
+    return M.compare_importance(imps, list(ms.models))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     # sources / fixtures / features
@@ -118,6 +142,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["low_variance"] = lambda s, sf: P.low_variance(_feat(s, sf), NUMERIC_FEATURES).select("column_name", "low_variance")
     Q["duplicate_keys"] = lambda s, sf: P.duplicate_keys(_dirty(s, sf), "ID")
     Q["contract_violations"] = lambda s, sf: P.contract_violations(_dirty(s, sf), P.default_contract(LABEL))
+    Q["profile_by_category"] = lambda s, sf: P.profile_by_category(_feat(s, sf), FEATURE_CATEGORIES)
+    Q["sample_values"] = lambda s, sf: P.sample_values(_dirty(s, sf), 3, key="ID")
+    Q["quality_diff"] = lambda s, sf: _quality_pair(s, sf, P.quality_diff)
+    Q["quality_score"] = lambda s, sf: _quality_pair(s, sf, "score")
     # cleaning
     Q["missing_policy"] = lambda s, sf: C.missing_policy(_dirty(s, sf))
     Q["drop_incomplete"] = lambda s, sf: C.drop_incomplete(_dirty(s, sf))
@@ -135,6 +163,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["clean_accounts"] = lambda s, sf: C.clean_accounts(_acc(s, sf), accuracy=EXACT)
     Q["consistency_report"] = lambda s, sf: C.consistency_report(_dirty(s, sf))
     Q["unrealistic_ages"] = lambda s, sf: C.rule_values(_dirty(s, sf), (F.col("AGE") < 18) | (F.col("AGE") > 100), "AGE")
+    Q["treat_missing"] = lambda s, sf: C.treat_missing(_dirty(s, sf), accuracy=EXACT)
     Q["cleanse"] = lambda s, sf: cleanse(_dirty(s, sf), accuracy=EXACT)
     # distributions / statistics
     Q["education_distribution"] = lambda s, sf: S.distribution(_acc(s, sf), "EDUCATION", EDUCATION_LABELS)
@@ -155,6 +184,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["rate_by_education"] = lambda s, sf: _round(S.rate_by(_acc(s, sf), "EDUCATION"), ["rate"])
     Q["utilisation_by_label"] = lambda s, sf: _round(S.mean_by_label(_feat(s, sf), "CREDIT_UTILIZATION_RATIO"), ["mean"])
     Q["utilisation_percentiles"] = lambda s, sf: S.percentiles(_feat(s, sf), "CREDIT_UTILIZATION_RATIO", accuracy=EXACT)
+    Q["above_own_percentile"] = lambda s, sf: S.above_own_percentile(_feat(s, sf), "CREDIT_UTILIZATION_RATIO", 0.9,
+                                                                      accuracy=EXACT)
     Q["high_utilisation_count"] = lambda s, sf: S.threshold_count(_feat(s, sf), F.col("CREDIT_UTILIZATION_RATIO") > 0.8)
     # correlation
     Q["label_correlations"] = lambda s, sf: _round(S.label_correlations(_acc(s, sf)), ["r", "abs_r"])
@@ -202,6 +233,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["model_evaluation"] = _model_evaluation
     Q["feature_importance"] = lambda s, sf: _importance(s, sf)
     Q["importance_by_category"] = lambda s, sf: _importance(s, sf, by_category=True)
+    Q["importance_comparison"] = _importance_comparison
     return Q
 
 

@@ -447,3 +447,118 @@ FROM (SELECT {LABEL} AS grp, CAST(LEAST(COALESCE(floor((CREDIT_UTILIZATION_RATIO
       WHERE CREDIT_UTILIZATION_RATIO IS NOT NULL) t GROUP BY grp, bin, mn, mx""", FT)
 SQL["utilisation_scatter_sample"] = q(f"""SELECT ID, CREDIT_UTILIZATION_RATIO, LIMIT_BAL, {LABEL} FROM feat
 ORDER BY md5(CAST(ID AS VARCHAR)), ID LIMIT 500""", FT)
+
+
+# ---------------------------------------------------------------- full cleansing run
+def _keep_cond(cols):
+    return " AND ".join(f"({c} IS NOT NULL OR a_{c} <> 'Drop rows')" for c in cols) or "true"
+
+
+def _missing_ctes(src="accounts_dirty"):
+    """pol: one row of actions; fills: one row of medians / modes; tm: treated table."""
+    names = [c for c, _ in DIRTY_TYPES]
+    types = dict(DIRTY_TYPES)
+    acts = ", ".join(
+        f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN 'None needed' "
+        f"WHEN count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100 < 1 THEN 'Drop rows' "
+        f"WHEN count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100 < 5 THEN 'Impute' "
+        f"WHEN count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100 < 20 THEN 'Investigate' "
+        f"ELSE 'Consider drop' END AS a_{c}" for c in names)
+    fills = []
+    for i, c in enumerate(names):
+        prior = _keep_cond(names[:i])
+        if types[c] == "string":
+            fills.append(f"(SELECT v FROM (SELECT {c} AS v, count(*) AS n FROM {src}, pol WHERE {prior} AND {c} IS NOT NULL "
+                         f"GROUP BY {c}) m ORDER BY n DESC, v ASC LIMIT 1) AS f_{c}")
+        else:
+            fills.append(f"(SELECT quantile_disc({c}, 5e-1) FROM {src}, pol WHERE {prior}) AS f_{c}")
+    repl = ", ".join(f"CASE WHEN a_{c} = 'Impute' THEN COALESCE({c}, CAST(f_{c} AS {types[c].upper()})) ELSE {c} END AS {c}"
+                     for c in names)
+    return [f"pol AS (SELECT {acts} FROM {src})",
+            f"fills AS (SELECT {', '.join(fills)})",
+            f"tm AS (SELECT {repl} FROM {src}, pol, fills WHERE {_keep_cond(names)})"]
+
+
+SQL["treat_missing"] = q("SELECT * FROM tm", D + _missing_ctes())
+
+
+def _cleanse_ctes():
+    ctes = D + _missing_ctes()
+    ctes.append("dd AS (SELECT DISTINCT * FROM tm)")
+    ctes.append("rc AS (SELECT * REPLACE (CASE WHEN EDUCATION IN (0, 5, 6) THEN 4 ELSE EDUCATION END AS EDUCATION, "
+                "CASE WHEN MARRIAGE IN (0) THEN 3 ELSE MARRIAGE END AS MARRIAGE) FROM dd)")
+    negs = []
+    for c in MONEY:
+        a = _neg_action(c)
+        cnt, pc = f"count(*) FILTER (WHERE {c} < 0)", f"count(*) FILTER (WHERE {c} < 0) / count(*) * 100"
+        gate = (f"({cnt} > 0)" if a == "Set to 0" else f"({cnt} > 0 AND {pc} < 1)" if a == "Investigate" else "false")
+        negs.append(f"{gate} AS z_{c}")
+    ctes.append(f"ng AS (SELECT {', '.join(negs)} FROM rc)")
+    ctes.append("nt AS (SELECT rc.* REPLACE (" + ", ".join(
+        f"CASE WHEN z_{c} AND {c} < 0 THEN CAST(0 AS BIGINT) ELSE {c} END AS {c}" for c in MONEY) + ") FROM rc, ng)")
+    ctes.append(_outlier_stats_cte("nt", "cst"))
+    ctes.append(f"crep AS ({_outlier_report_sql('nt', 'cst')})")
+    ctes.append("cap AS (" + _cap_sql("nt", "crep") + ")")
+    ctes.append("cleansed AS (SELECT * REPLACE (" + ", ".join(
+        f"CASE WHEN {c} < -2 THEN -1 WHEN {c} > 9 THEN 9 ELSE {c} END AS {c}" for c in STATUS) + ") FROM cap)")
+    return ctes
+
+
+SQL["cleanse"] = q("SELECT * FROM cleansed", _cleanse_ctes())
+
+
+# ---------------------------------------------------------------- more profiling / statistics
+FEATURE_CATEGORIES = {
+    "Payment Trends": ["PAYMENT_TREND_SLOPE", "PAYMENT_STATUS_VOLATILITY", "MAX_PAYMENT_DELAY",
+                       "MIN_PAYMENT_DELAY", "PAYMENT_DELAY_RANGE"],
+    "Temporal Segmentation": ["RECENT_AVG_DELAY", "HISTORICAL_AVG_DELAY", "PAYMENT_IMPROVEMENT_SCORE",
+                              "RECOVERY_INSTANCES"],
+    "Financial Analysis": ["BILL_TREND_SLOPE", "BILL_AMOUNT_VOLATILITY", "DEBT_ACCUMULATION_RATE",
+                           "AVG_BILL_AMOUNT"],
+    "Payment Efficiency": ["AVG_PAYMENT_EFFICIENCY", "PAYMENT_EFFICIENCY_TREND", "PAYMENT_CONSISTENCY_SCORE",
+                           "AVG_PAYMENT_AMOUNT"],
+    "Credit Utilization": ["CREDIT_UTILIZATION_RATIO", "CREDIT_BUFFER", "CREDIT_UTILIZATION_TREND"],
+    "Behavioral Classification": ["PAYMENT_BEHAVIOR_TYPE", "TEMPORAL_RISK_LEVEL", "CUSTOMER_SEGMENT"],
+    "Risk Scoring": ["TEMPORAL_RISK_SCORE", "RISK_SCORE_CATEGORY"],
+}
+
+
+def _cat_row(cat, cols):
+    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    num = [c for c in cols if c in NUMERIC_FEATURES]
+    low = " + ".join(f"CAST(COALESCE(var_samp(CAST({c} AS DOUBLE)) < 1e-10, true) AS INTEGER)" for c in num) or "0"
+    return (f"SELECT '{cat}' AS category, {len(cols)} AS variables, {len(cols)} AS available, "
+            f"CAST({nulls} AS BIGINT) AS null_cells, CAST({low} AS INTEGER) AS low_variance FROM feat")
+
+
+SQL["profile_by_category"] = q(union([_cat_row(k, v) for k, v in FEATURE_CATEGORIES.items()]), FT)
+_SAMPLE = "(SELECT * FROM accounts_dirty ORDER BY md5(CAST(ID AS VARCHAR)), ID LIMIT 10000)"
+SQL["sample_values"] = q(union([
+    f"SELECT '{c}' AS column_name, list_slice(list_sort(list_distinct(list(CAST({c} AS VARCHAR)) FILTER (WHERE {c} IS NOT NULL))), 1, 3) "
+    f"AS sample FROM {_SAMPLE} s" for c, _ in DIRTY_TYPES]), D)
+
+
+def _summary(src):
+    nulls = " + ".join(f"CAST(count(*) FILTER (WHERE {c} IS NULL) > 0 AS INTEGER)" for c, _ in DIRTY_TYPES)
+    cols = ", ".join(c for c, _ in DIRTY_TYPES)
+    return (f"SELECT count(*) AS total_records, {nulls} AS columns_with_missing, "
+            f"(SELECT CAST(COALESCE(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {src} GROUP BY {cols}) g) "
+            f"AS duplicate_records FROM {src}")
+
+
+_QD = _cleanse_ctes() + [f"sb AS ({_summary('accounts_dirty')})", f"sa AS ({_summary('cleansed')})"]
+SQL["quality_diff"] = q("""SELECT 'total_records' AS metric, CAST(sb.total_records AS BIGINT) AS before, CAST(sa.total_records AS BIGINT) AS after,
+  CAST(sa.total_records - sb.total_records AS BIGINT) AS improvement FROM sb, sa
+UNION ALL SELECT 'columns_with_missing', CAST(sb.columns_with_missing AS BIGINT), CAST(sa.columns_with_missing AS BIGINT),
+  CAST(sb.columns_with_missing - sa.columns_with_missing AS BIGINT) FROM sb, sa
+UNION ALL SELECT 'duplicate_records', sb.duplicate_records, sa.duplicate_records,
+  sb.duplicate_records - sa.duplicate_records FROM sb, sa""", _QD)
+SQL["quality_score"] = q("""SELECT *, CASE WHEN quality_score >= 4 THEN 'Excellent' WHEN quality_score >= 3 THEN 'Good'
+  WHEN quality_score >= 2 THEN 'Fair' ELSE 'Needs Improvement' END AS rating FROM (
+  SELECT CAST((sa.columns_with_missing = 0) AS INTEGER) + CAST((sa.duplicate_records = 0) AS INTEGER)
+       + COALESCE(CAST(CAST(sa.total_records AS DOUBLE) / NULLIF(sb.total_records, 0) >= 95e-2 AS INTEGER), 0) + 1 + 1
+       AS quality_score, 5 AS max_score, CAST(sa.total_records AS DOUBLE) / NULLIF(sb.total_records, 0) AS retention_rate
+  FROM sb, sa) t""", _QD)
+SQL["above_own_percentile"] = q("""SELECT count(*) FILTER (WHERE CREDIT_UTILIZATION_RATIO >= p) AS n,
+  count(*) FILTER (WHERE CREDIT_UTILIZATION_RATIO >= p) / count(*) * 100 AS pct
+FROM feat, (SELECT quantile_disc(CREDIT_UTILIZATION_RATIO, 9e-1) AS p FROM feat) q""", FT)
