@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from riskframe.functions.columns import qcol  # noqa: E402
-from riskframe.functions.panel import EDUCATION_LABELS, FEATURE_CATEGORIES, LABEL, STATUS_CODES  # noqa: E402
+from riskframe.functions.panel import (EDUCATION_LABELS, FEATURE_CATEGORIES, LABEL, MARRIAGE_LABELS,  # noqa: E402
+                                      SEX_LABELS, STATUS_CODES)
 from riskframe.operators import bands as B  # noqa: E402
 from riskframe.operators import cleaning as C  # noqa: E402
 from riskframe.operators import evaluation as E  # noqa: E402
@@ -141,6 +142,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["quality_report"] = lambda s, sf: P.quality_report(_dirty(s, sf))
     Q["low_variance"] = lambda s, sf: P.low_variance(_feat(s, sf), NUMERIC_FEATURES).select("column_name", "low_variance")
     Q["duplicate_keys"] = lambda s, sf: P.duplicate_keys(_dirty(s, sf), "ID")
+    Q["duplicate_key_examples"] = lambda s, sf: P.duplicate_keys(_dirty(s, sf), "ID", n=5)
     Q["contract_violations"] = lambda s, sf: P.contract_violations(_dirty(s, sf), P.default_contract(LABEL))
     Q["profile_by_category"] = lambda s, sf: P.profile_by_category(_feat(s, sf), FEATURE_CATEGORIES)
     Q["sample_values"] = lambda s, sf: P.sample_values(_dirty(s, sf), 3, key="ID")
@@ -229,6 +231,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["utilisation_histogram_by_label"] = lambda s, sf: S.histogram(_feat(s, sf), "CREDIT_UTILIZATION_RATIO", 30, by=LABEL)
     Q["utilisation_scatter_sample"] = lambda s, sf: S.scatter_sample(
         _feat(s, sf), ["CREDIT_UTILIZATION_RATIO", "LIMIT_BAL", LABEL], 500)
+    Q["limit_histogram"] = lambda s, sf: S.histogram(_acc(s, sf), "LIMIT_BAL", 30, scale=1e3)
+    Q["improvement_histogram"] = lambda s, sf: S.histogram(_feat(s, sf), "PAYMENT_IMPROVEMENT_SCORE", 40)
+    Q["score_histogram_by_label"] = lambda s, sf: S.histogram(_feat(s, sf), "TEMPORAL_RISK_SCORE", 30, by=LABEL)
+    Q["efficiency_histogram_by_label"] = lambda s, sf: S.histogram(_feat(s, sf), "AVG_PAYMENT_EFFICIENCY", 30, by=LABEL)
+    Q["sex_distribution"] = lambda s, sf: S.distribution(_acc(s, sf), "SEX", SEX_LABELS)
+    Q["marriage_distribution"] = lambda s, sf: S.distribution(_acc(s, sf), "MARRIAGE", MARRIAGE_LABELS)
+    for key, grp in [("rate_by_segment", "CUSTOMER_SEGMENT"), ("rate_by_behaviour", "PAYMENT_BEHAVIOR_TYPE"),
+                     ("rate_by_sex", "SEX"), ("rate_by_latest_status", "PAY_0")]:
+        Q[key] = (lambda g: lambda s, sf: _round(S.rate_by(_feat(s, sf), g), ["rate"]))(grp)
     # model training (rows-only checks)
     Q["model_evaluation"] = _model_evaluation
     Q["feature_importance"] = lambda s, sf: _importance(s, sf)

@@ -562,3 +562,36 @@ SQL["quality_score"] = q("""SELECT *, CASE WHEN quality_score >= 4 THEN 'Excelle
 SQL["above_own_percentile"] = q("""SELECT count(*) FILTER (WHERE CREDIT_UTILIZATION_RATIO >= p) AS n,
   count(*) FILTER (WHERE CREDIT_UTILIZATION_RATIO >= p) / count(*) * 100 AS pct
 FROM feat, (SELECT quantile_disc(CREDIT_UTILIZATION_RATIO, 9e-1) AS p FROM feat) q""", FT)
+
+
+# ---------------------------------------------------------------- more chart data (V1, V2, V5)
+def _labelled_dist(col, mapping, src="accounts", ctes=A):
+    case = " ".join(f"WHEN {k} THEN '{v}'" for k, v in mapping.items())
+    return q(f"""SELECT {col} AS value, count(*) AS count, count(*) / (SELECT count(*) FROM {src}) * 100 AS pct,
+  CASE {col} {case} ELSE 'Code ' || CAST({col} AS VARCHAR) END AS label FROM {src} GROUP BY {col}""", ctes)
+
+
+SQL["sex_distribution"] = _labelled_dist("SEX", {1: "Male", 2: "Female"})
+SQL["marriage_distribution"] = _labelled_dist("MARRIAGE", {1: "Married", 2: "Single", 3: "Others"})
+for _k, _g in [("rate_by_segment", "CUSTOMER_SEGMENT"), ("rate_by_behaviour", "PAYMENT_BEHAVIOR_TYPE"),
+               ("rate_by_sex", "SEX"), ("rate_by_latest_status", "PAY_0")]:
+    SQL[_k] = q(f"SELECT {_g}, count(*) AS n, round(avg({LABEL}) * 100, 6) AS rate FROM feat GROUP BY {_g}", FT)
+
+
+def _hist_sql(expr, bins, src, ctes, by=None):
+    g_sel = f"{by} AS grp, " if by else ""
+    g_out = 'grp AS "group", ' if by else ""
+    g_grp = "grp, " if by else ""
+    return q(f"""SELECT {g_out}bin, count(*) AS count, mn + (bin - 1) * ((mx - mn) / {bins}) AS lower, mn + bin * ((mx - mn) / {bins}) AS upper
+FROM (SELECT {g_sel}CAST(LEAST(COALESCE(floor((v - mn) * {bins} / NULLIF(mx - mn, 0)), 0) + 1, {bins}) AS INT) AS bin, mn, mx
+      FROM (SELECT *, CAST({expr} AS DOUBLE) AS v FROM {src}) s,
+           (SELECT min(CAST({expr} AS DOUBLE)) AS mn, max(CAST({expr} AS DOUBLE)) AS mx FROM {src}) m
+      WHERE v IS NOT NULL) t GROUP BY {g_grp}bin, mn, mx""", ctes)
+
+
+SQL["limit_histogram"] = _hist_sql("LIMIT_BAL / 1e3", 30, "accounts", A)
+SQL["improvement_histogram"] = _hist_sql("PAYMENT_IMPROVEMENT_SCORE", 40, "feat", FT)
+SQL["score_histogram_by_label"] = _hist_sql("TEMPORAL_RISK_SCORE", 30, "feat", FT, by=LABEL)
+SQL["efficiency_histogram_by_label"] = _hist_sql("AVG_PAYMENT_EFFICIENCY", 30, "feat", FT, by=LABEL)
+SQL["duplicate_key_examples"] = q("""SELECT ID, count(*) AS count FROM accounts_dirty GROUP BY ID HAVING count(*) > 1
+ORDER BY ID LIMIT 5""", D)

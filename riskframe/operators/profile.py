@@ -157,9 +157,11 @@ def low_variance(df: DataFrame, cols=None, threshold: float = 1e-10) -> DataFram
     return out.withColumn("low_variance", F.coalesce(F.col("variance") < threshold, F.lit(True)))
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once, with their count."""
-    return df.groupBy(qcol(key)).count().where(F.col("count") > 1)
+def duplicate_keys(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
+    """Keys that occur more than once, with their count; ``n`` keeps the
+    first ``n`` keys as examples (a distributed top-n, the report's purpose)."""
+    out = df.groupBy(qcol(key)).count().where(F.col("count") > 1)
+    return out.orderBy(qcol(key)).limit(n) if n else out
 
 
 @dataclass(frozen=True)

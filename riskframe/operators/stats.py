@@ -254,7 +254,7 @@ def high_correlation_pairs(matrix: DataFrame, threshold: float = 0.8) -> DataFra
 def histogram(df: DataFrame, col: str, bins: int, by: str | None = None, scale: float = 1.0) -> DataFrame:
     """V1: equi-width histogram.  One min/max pair (scalar subqueries) serves
     every group; the maximum falls in the last bin (closed on the right)."""
-    v = qcol(col) / scale if scale != 1.0 else qcol(col).cast("double")
+    v = (qcol(col) / scale if scale != 1.0 else qcol(col)).cast("double")
     mn_v, mx_v = df.agg(F.min(v), F.max(v)).first()  # one small job for every group
     mn, mx = F.lit(mn_v).cast("double"), F.lit(mx_v).cast("double")
     idx = F.least(F.coalesce(F.floor(F.try_divide((v - mn) * bins, mx - mn)), F.lit(0)) + 1, F.lit(bins))
