@@ -141,10 +141,10 @@ MARRIAGE_RECODE = {0: 3}
 def validate_codes(df: DataFrame, col: str, valid) -> DataFrame:
     """Distribution of a code column with a per-code valid flag."""
     valid = list(valid)
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (df.groupBy(qcol(col).alias("code")).count()
-            .select("code", "count", pct(F.col("count"), total).alias("pct"),
-                    F.coalesce(F.col("code").isin(valid), F.lit(False)).alias("valid")))
+    counts = df.groupBy(qcol(col).alias("code")).count()
+    total = counts.agg(F.sum("count")).scalar()  # same shuffle stage, re-used
+    return counts.select("code", "count", pct(F.col("count"), total).alias("pct"),
+                         F.coalesce(F.col("code").isin(valid), F.lit(False)).alias("valid"))
 
 
 def clamp_codes(df: DataFrame, cols, lo: int = -2, lo_to: int = -1, hi: int = 9, hi_to: int = 9) -> DataFrame:

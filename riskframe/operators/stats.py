@@ -20,12 +20,20 @@ def _total(df: DataFrame) -> Column:
     return df.select(F.count(F.lit(1))).scalar()
 
 
+def _with_share(grouped: DataFrame, count_col: str = "count") -> DataFrame:
+    """% of all rows from the grouped result itself: the total is a scalar
+    subquery over the same grouped plan, so AQE reuses its shuffle stage and
+    the source is read once."""
+    total = grouped.agg(F.sum(count_col)).scalar()
+    return grouped.withColumn("pct", pct(F.col(count_col), total))
+
+
 # ------------------------------------------------------------------ distributions
 def distribution(df: DataFrame, col, labels: dict | None = None, fallback_prefix: str = "Code ",
                  name: str = "value") -> DataFrame:
     """Count and % of all rows per value, optional code label."""
     c = qcol(col) if isinstance(col, str) else col
-    out = df.groupBy(c.alias(name)).count().withColumn("pct", pct(F.col("count"), _total(df)))
+    out = _with_share(df.groupBy(c.alias(name)).count())
     if labels:
         from riskframe.functions.columns import codes_lookup
         out = out.withColumn("label", codes_lookup(F.col(name), labels, fallback_prefix))
@@ -79,8 +87,10 @@ def period_distribution(df: DataFrame, panel: PeriodPanel = DEFAULT_PANEL) -> Da
     by_m = panel.by_month(df.columns, "status")
     long = _unpivot(df, {m: by_m[m] for m in sorted(by_m)}, "code")
     from riskframe.functions.columns import codes_lookup
-    return (long.groupBy("period", "code").count()
-            .withColumn("pct", pct(F.col("count"), _total(df)))
+    # every period has one row per account: total rows = sum of counts / periods
+    counts = long.groupBy("period", "code").count()
+    total = counts.agg(F.sum("count") / len(by_m)).scalar()
+    return (counts.withColumn("pct", pct(F.col("count"), total))
             .withColumn("meaning", codes_lookup(F.col("code"), STATUS_MEANINGS, "Unknown ")))
 
 
