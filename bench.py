@@ -10,6 +10,10 @@ one-row-per-account table from customer / orders / lineitem and writes it as a
 Parquet hand-off into the shared checkpoint folder, as the source study hands
 tables between its phases; the operators then read that table, as the study's
 operators read its input file.
+
+Warm-up: the whole plan first runs once, untimed, on the tiny sf0.001 tables
+(different data), so JIT and whole-stage-codegen compilation are not counted;
+the timed run on $BENCH_SF_DIR measures steady-state work.
 """
 
 from __future__ import annotations
@@ -47,64 +51,70 @@ def main():
     def sink(df):
         df.write.format("noop").mode("overwrite").save()
 
-    handoff = f"{sc.getCheckpointDir().rstrip('/')}/bench-accounts-{uuid.uuid4().hex[:8]}"
+    def run(sf_dir, timed):
+        handoff = f"{sc.getCheckpointDir().rstrip('/')}/bench-accounts-{uuid.uuid4().hex[:8]}"
+        return _run(sf_dir, handoff, timed)
+
+    def _run(sf_dir, handoff, timed):
 
-    def q_accounts_view():
-        accounts(spark, sf_dir, with_segment=True).write.mode("overwrite").parquet(handoff)
+        def q_accounts_view():
+            accounts(spark, sf_dir, with_segment=True).write.mode("overwrite").parquet(handoff)
 
-    def acc():
-        return spark.read.parquet(handoff).drop("segment")
+        def acc():
+            return spark.read.parquet(handoff).drop("segment")
 
-    def accounts_dirty(_spark, _sf):
-        return dirty(spark.read.parquet(handoff))
+        def accounts_dirty(_spark, _sf):
+            return dirty(spark.read.parquet(handoff))
 
-    def q_quality_report():
-        P.quality_report(accounts_dirty(spark, sf_dir)).collect()
+        def q_quality_report():
+            P.quality_report(accounts_dirty(spark, sf_dir)).collect()
 
-    def q_standard_clean():
-        sink(C.clean_accounts(acc()))
+        def q_standard_clean():
+            sink(C.clean_accounts(acc()))
 
-    def q_feature_chain():
-        sink(all_features(acc()))
+        def q_feature_chain():
+            sink(all_features(acc()))
 
-    def q_risk_category_rate():
-        S.pivot_rate(all_features(acc()), "RISK_SCORE_CATEGORY", LABEL).collect()
+        def q_risk_category_rate():
+            S.pivot_rate(all_features(acc()), "RISK_SCORE_CATEGORY", LABEL).collect()
 
-    def q_rule_report():
-        C.consistency_report(accounts_dirty(spark, sf_dir)).collect()
+        def q_rule_report():
+            C.consistency_report(accounts_dirty(spark, sf_dir)).collect()
 
-    def q_correlation_ranking():
-        S.label_correlations(acc()).collect()
+        def q_correlation_ranking():
+            S.label_correlations(acc()).collect()
 
-    def q_cleanse():
-        sink(__import__("riskframe.plans.cleanse", fromlist=["cleanse"]).cleanse(accounts_dirty(spark, sf_dir)))
+        def q_cleanse():
+            sink(__import__("riskframe.plans.cleanse", fromlist=["cleanse"]).cleanse(accounts_dirty(spark, sf_dir)))
 
-    def q_logistic_regression():
-        feat = materialize(all_features(acc()))
-        tr, _va, te = M.split_data(feat, key="ID")
-        num, cat = M.prepare_features(feat, LABEL, method="core")
-        prep, names = M.fit_preprocessing(tr, num, cat)
-        lr = M.model_zoo(LABEL)["Logistic Regression"]
-        ms = M.train_models(prep.transform(tr), {"Logistic Regression": lr}, LABEL)
-        M.evaluate_models(ms, prep.transform(te), LABEL).collect()
+        def q_logistic_regression():
+            feat = materialize(all_features(acc()))
+            tr, _va, te = M.split_data(feat, key="ID")
+            num, cat = M.prepare_features(feat, LABEL, method="core")
+            prep, names = M.fit_preprocessing(tr, num, cat)
+            lr = M.model_zoo(LABEL)["Logistic Regression"]
+            ms = M.train_models(prep.transform(tr), {"Logistic Regression": lr}, LABEL)
+            M.evaluate_models(ms, prep.transform(te), LABEL).collect()
 
-    plan = [("accounts_view", q_accounts_view), ("quality_report", q_quality_report), ("standard_clean", q_standard_clean),
-            ("feature_chain", q_feature_chain), ("risk_category_rate", q_risk_category_rate),
-            ("rule_report", q_rule_report), ("correlation_ranking", q_correlation_ranking),
-            ("full_cleanse", q_cleanse), ("logistic_regression", q_logistic_regression)]
+        plan = [("accounts_view", q_accounts_view), ("quality_report", q_quality_report), ("standard_clean", q_standard_clean),
+                ("feature_chain", q_feature_chain), ("risk_category_rate", q_risk_category_rate),
+                ("rule_report", q_rule_report), ("correlation_ranking", q_correlation_ranking),
+                ("full_cleanse", q_cleanse), ("logistic_regression", q_logistic_regression)]
 
-    # warm-up (JVM, code generation, parquet footers); not timed
-    sink(all_features(accounts(spark, sf_dir)))
-    P.null_counts(accounts(spark, sf_dir)).collect()
+        times, jobs = {}, {}
+        for name, fn in plan:
+            group = f"bench-{name}-{uuid.uuid4().hex[:6]}"
+            sc.setJobGroup(group, name)
+            t0 = time.perf_counter()
+            fn()
+            times[name] = round(time.perf_counter() - t0, 3)
+            jobs[name] = len(sc.statusTracker().getJobIdsForGroup(group))
+        return times, jobs
 
-    times, jobs = {}, {}
-    for name, fn in plan:
-        group = f"bench-{name}-{uuid.uuid4().hex[:6]}"
-        sc.setJobGroup(group, name)
-        t0 = time.perf_counter()
-        fn()
-        times[name] = round(time.perf_counter() - t0, 3)
-        jobs[name] = len(sc.statusTracker().getJobIdsForGroup(group))
+    warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
+        run(warm_dir, timed=False)
+    times, jobs = run(sf_dir, timed=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "baseline_query_set_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "jobs": jobs, "sf": sf, "cpus": cpus}))
