@@ -15,7 +15,9 @@ from riskframe.functions.columns import qcol
 from riskframe.functions.panel import LABEL
 from riskframe.operators._agg import pct
 
-AUC_BUCKETS = 4096
+AUC_BUCKETS = 4096          # minimum number of score buckets
+AUC_ROWS_PER_BUCKET = 200_000  # target distinct scores per window partition
+AUC_MAX_BUCKETS = 2_000_000    # bound on the single-task offset window
 
 
 def confusion_counts(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -43,18 +45,22 @@ def _weighted(c: DataFrame) -> DataFrame:
                     (w0 * r0 + w1 * r1).alias("weighted_recall"), (w0 * f1_0 + w1 * f1_1).alias("f1"))
 
 
-def auc(pred: DataFrame, label: str = LABEL, score: str = "score", buckets: int = AUC_BUCKETS) -> DataFrame:
+def auc(pred: DataFrame, label: str = LABEL, score: str = "score", buckets: int | None = None) -> DataFrame:
     """Tie-aware ROC AUC = sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N).
 
     Distributed and exact: rows collapse to one row per distinct score (so a
     hot score is one row), scores are range-bucketed, bucket negative totals
     (at most ``buckets`` rows) give each bucket's offset, and running sums are
-    windows partitioned by bucket.  Numerator kept in integers (x2) so the
-    result is exact in any engine."""
+    windows partitioned by bucket.  The bucket count grows with the number of
+    distinct scores (about ``AUC_ROWS_PER_BUCKET`` per window partition), and
+    the offsets window runs over at most ``AUC_MAX_BUCKETS`` rows.  Numerator
+    kept in integers (x2) so the result is exact in any engine."""
     y, s = qcol(label), qcol(score).cast("double")
     per = pred.where(s.isNotNull()).groupBy(s.alias("s")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
-    mn, mx = per.agg(F.min("s"), F.max("s")).first()  # one tiny job over distinct scores
+    mn, mx, n_distinct = per.agg(F.min("s"), F.max("s"), F.count(F.lit(1))).first()  # one small job
+    if buckets is None:
+        buckets = int(min(max(AUC_BUCKETS, (n_distinct or 0) // AUC_ROWS_PER_BUCKET + 1), AUC_MAX_BUCKETS))
     if mn is None:
         return pred.sparkSession.createDataFrame([(None,)], "auc double")
     b = F.least(F.coalesce(F.floor(F.try_divide((F.col("s") - F.lit(mn)) * buckets, F.lit(mx - mn))), F.lit(0)),

@@ -27,6 +27,8 @@ def local_session(app: str = "riskframe", cores: int = 8, shuffle_partitions: in
         # per-call origin capture costs ~15 py4j round trips per Column function;
         # a wide feature plan is built from thousands of them
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # checkpoint files of collected DataFrames are removed by the cleaner
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 

@@ -93,3 +93,10 @@ def test_param_grids_use_instance_params(spark):
     assert len(grids["Logistic Regression"]) == 9
     assert all(lr.regParam in pm for pm in grids["Logistic Regression"])
     assert len(grids["Gradient Boosting"]) == 4
+
+
+def test_auc_exact_across_bucket_offsets(spark):
+    p = _pred(spark)
+    full = E.auc(p, score="score").first()["auc"]
+    for b in (2, 3, 17):
+        assert math.isclose(E.auc(p, score="score", buckets=b).first()["auc"], full, abs_tol=1e-12)
