@@ -158,3 +158,12 @@ def test_quality_diff_and_score(spark):
     assert d["total_records"]["improvement"] == -2
     s = P.quality_score(P.quality_report(before), P.quality_report(after), after.columns).first()
     assert s["quality_score"] == 4 and s["rating"] == "Excellent"
+
+
+def test_profile_approximate_distinct_has_no_expand(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(500)], "SEX int, PAY_AMT1 bigint")
+    approx = P.profile(df, exact_distinct=False)
+    assert "Expand" not in approx._jdf.queryExecution().sparkPlan().toString()
+    exact = {r["column_name"]: r["distinct_count"] for r in P.profile(df).collect()}
+    est = {r["column_name"]: r["distinct_count"] for r in approx.collect()}
+    assert exact["SEX"] == est["SEX"] == 7 and abs(est["PAY_AMT1"] - 500) <= 25
