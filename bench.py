@@ -32,7 +32,6 @@ sys.path.insert(0, ROOT)
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    from pyspark.sql import functions as F
 
     from riskframe.functions.panel import LABEL
     from riskframe.operators import cleaning as C

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from riskframe.functions.columns import qcol
-from riskframe.functions.panel import DEFAULT_PANEL, LABEL, STATUS_CODES, PeriodPanel
+from riskframe.functions.panel import DEFAULT_PANEL, LABEL, PeriodPanel
 from riskframe.operators._agg import long_form, pct
 
 DEFAULT_ACCURACY = 10000
@@ -299,5 +299,3 @@ def rule_values(df: DataFrame, predicate: Column, col: str) -> DataFrame:
     """Distinct offending values of one rule, ordered (e.g. the unrealistic ages)."""
     return df.where(predicate).select(qcol(col)).distinct().orderBy(qcol(col))
 
-
-STATUS_VALID = STATUS_CODES
