@@ -35,6 +35,13 @@ from riskframe.session import materialize  # noqa: E402
 from riskframe.sources.fixtures import accounts, accounts_dirty  # noqa: E402
 from riskframe.sources.io import sample_rows  # noqa: E402
 
+try:  # the training-data operators are an optional subpackage
+    from riskframe.llm import registry as LLM
+except ModuleNotFoundError as missing:
+    if missing.name != "riskframe.llm":
+        raise
+    LLM = None
+
 EXACT = 1_000_000  # percentile accuracy equal to an exact (discrete) percentile
 STATUS = ["PAY_0", "PAY_2", "PAY_3", "PAY_4", "PAY_5", "PAY_6"]
 BILLS = [f"BILL_AMT{i}" for i in range(1, 7)]
@@ -245,9 +252,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["feature_importance"] = lambda s, sf: _importance(s, sf)
     Q["importance_by_category"] = lambda s, sf: _importance(s, sf, by_category=True)
     Q["importance_comparison"] = _importance_comparison
+    if LLM is not None:
+        Q |= LLM.queries()
     return Q
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.queries import SQL
-    return dict(SQL)
+    return dict(SQL) | (LLM.oracle_sql() if LLM is not None else {})
