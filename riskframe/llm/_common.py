@@ -105,3 +105,11 @@ def shared_rows(df: DataFrame, name: str) -> str:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return path
+
+
+def hold(df: DataFrame, name: str, value) -> DataFrame:
+    """``df`` with column ``name``, evaluated once per row.  The optimiser copies a plain
+    column's expression into the filters and lambdas that use it, where it would be
+    evaluated per use or per array element; what a generator returns it leaves alone."""
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode(F.array(value)).alias(name))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm._common import cut, pick, table
+from riskframe.llm._common import cut, hold, pick, table
 
 WINDOW, LITERAL, COVERAGE = 5, 3, 0.6
 #: Rows of (hash, item, position, slots), about 100 bytes each, up to which they are broadcast.
@@ -58,7 +58,7 @@ def _tokens(text):
 def _windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
     """(id, pos, h, slots): every window of canonical tokens, slots null where it has none."""
     slot = lambda t: (t >= F.lit(NUM)) & (t < F.lit(END))
-    df = df.select(id_col, _tokens(F.col("text")).alias("tokens")).filter(F.size("tokens") >= window)
+    df = hold(df, "tokens", _tokens(F.col("text"))).select(id_col, "tokens").filter(F.size("tokens") >= window)
     df = df.withColumn("any", F.exists("tokens", slot))
     df = df.withColumn("canon", F.when(F.col("any"), F.transform("tokens", lambda t: F.when(slot(t), F.substring(t, 1, 1)).otherwise(t)))
                        .otherwise(F.col("tokens")))
