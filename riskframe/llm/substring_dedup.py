@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 
 from riskframe.llm._common import hex_sha256, pick, ship, table
 
-LENGTH, SEED = 13, 6
+LENGTH, SEED = 13, 5
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Words whose hash one Python worker remembers before it starts afresh.
 WORD_CACHE = 300_000
 #: Bytes of a window's hash that travel; the anchor's 8 bytes stand beside them.
-WINDOW_BYTES = 6
+WINDOW_BYTES = 5
 #: Words handled at once in a text of any length.
 BLOCK = 1 << 20
 
@@ -96,10 +96,10 @@ def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
                     offsets = np.append(0, np.cumsum(n)) * WINDOW_BYTES
                     binary = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), pa.array([doc] * len(h), pa.int64()), pa.array(np.full(len(h), text_hash)),
+                        [pa.array(h.view(np.int64)), pa.array([doc] * len(h), pa.int64()), pa.array(np.full(len(h), text_hash, np.int32)),
                          pa.array(start.astype(np.int32)), binary.cast(pa.binary())], ["h", "doc_id", "text_hash", "start", "windows"])
 
-    return docs.mapInArrow(_gathered(run), "h long, doc_id long, text_hash long, start int, windows binary")
+    return docs.mapInArrow(_gathered(run), "h long, doc_id long, text_hash int, start int, windows binary")
 
 
 def _gathered(run, rows: int = 50_000):
@@ -183,7 +183,7 @@ def _repeats_in_stream(length: int):
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows are told apart by id and text, so repeated ids keep results of their own."""
     d = pick(docs, id_col, text_col)
-    return d.select(d[id_col].cast("long").alias("doc_id"), F.coalesce(d[text_col], F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    return d.select(d[id_col].cast("long").alias("doc_id"), F.coalesce(d[text_col], F.lit("")).alias("text")).withColumn("text_hash", F.hash("text"))
 
 
 def stretches(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,7 +192,7 @@ def stretches(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: s
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = _anchor_rows(_keyed(docs, id_col, text_col).select("doc_id", "text", "text_hash"), length, seed)
     dealt = rows.repartition(n, "h").sortWithinPartitions("h", F.col("doc_id").asc_nulls_last())
-    return dealt.mapInArrow(_repeats_in_stream(length), "doc_id long, text_hash long, first int, end int")
+    return dealt.mapInArrow(_repeats_in_stream(length), "doc_id long, text_hash int, first int, end int")
 
 
 def maximal(ranges: np.ndarray) -> np.ndarray:
@@ -221,7 +221,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([press(t.as_py().encode("utf-8")) for t in b.column(2)], pa.binary())],
                                              ["doc_id", "text_hash", "z"])
 
-    texts = _keyed(docs, id_col, text_col).select("doc_id", "text_hash", "text").mapInArrow(packed, "doc_id long, text_hash long, z binary")
+    texts = _keyed(docs, id_col, text_col).select("doc_id", "text_hash", "text").mapInArrow(packed, "doc_id long, text_hash int, z binary")
     both = texts.join(ranges, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_t")), "left").select("doc_id", "z", "firsts", "ends")
     schema = f"{id_col} long, n_words long, n_removed long, kept_sha256 string, repeats array<struct<first:int,end:int>>" + (", kept string" if with_text else "")
 
