@@ -4,8 +4,8 @@
 Spark query per implemented operator (each reads the driver's parquet tables
 and derives the ``accounts`` view from customer / orders / lineitem, so its
 work grows with them); ``oracle_sql()`` gives the DuckDB twin of each
-relational query.  Model-training queries have no SQL twin (iterative MLlib
-fits) and are checked on rows only.
+relational query.  Fitted models have no SQL twin; ``model_checks`` and
+``cross_validated_model`` compare what must hold for any of them.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from riskframe.operators import profile as P  # noqa: E402
 from riskframe.operators import stats as S  # noqa: E402
 from riskframe.operators.features import all_features  # noqa: E402
 from riskframe.plans.cleanse import cleanse  # noqa: E402
+from riskframe.plans.insights import business_insights  # noqa: E402
 from riskframe.plans.flagship import risk_category_default_rate  # noqa: E402
 from riskframe.session import materialize  # noqa: E402
 from riskframe.sources.fixtures import accounts, accounts_dirty  # noqa: E402
@@ -84,53 +85,83 @@ def entry(spark: SparkSession) -> DataFrame:
     return risk_category_default_rate(spark, "/root/testdata/sf0.001")
 
 
-def _model_evaluation(spark, sf):
+def _fitted(spark, sf, names=None, tune=False):
+    """Models at the study's settings on all features, and the prepared splits."""
     feat = _feat_table(spark, sf)
-    train, _val, test = M.split_data(feat, key="ID")
-    num, cat = M.prepare_features(feat, LABEL, method="core")
-    prep, names = M.fit_preprocessing(train, num, cat)
-    models = {k: v for k, v in M.model_zoo(LABEL, len(names)).items()
-              if k in ("Logistic Regression", "Random Forest")}
-    models["Random Forest"].setNumTrees(20)
-    ms = M.train_models(prep.transform(train), models, LABEL)
-    return E.grade_models(M.evaluate_models(ms, prep.transform(test), LABEL))
+    train, val, test = M.split_data(feat, key="ID")
+    num, cat = M.prepare_features(feat, LABEL, method="all")
+    prep, columns = M.fit_preprocessing(train, num, cat)
+    zoo = {k: v for k, v in M.model_zoo(LABEL, len(columns)).items() if names is None or k in names}
+    train_p = materialize(prep.transform(train))
+    return M.train_models(train_p, zoo, LABEL, tune=tune), columns, prep.transform(val), prep.transform(test)
+
+
+def _model_evaluation(spark, sf):
+    ms, _, _, test = _fitted(spark, sf)
+    return E.grade_models(M.evaluate_models(ms, test, LABEL))
+
+
+def _importances(spark, ms, columns):
+    out = None
+    for name, model in ms.models.items():
+        if hasattr(model, "featureImportances"):
+            imp = M.feature_importance(model, columns, name, spark)
+            out = imp if out is None else out.unionByName(imp)
+    return out
 
 
 def _importance(spark, sf, by_category=False):
-    feat = _feat_table(spark, sf)
-    train, _val, _test = M.split_data(feat, key="ID")
-    num, cat = M.prepare_features(feat, LABEL, method="all")
-    prep, names = M.fit_preprocessing(train, num, cat)
-    rf = M.model_zoo(LABEL)["Random Forest"].setNumTrees(20)
-    ms = M.train_models(prep.transform(train), {"Random Forest": rf}, LABEL)
-    imp = M.feature_importance(ms.models["Random Forest"], names, "Random Forest", spark)
+    ms, columns, _, _ = _fitted(spark, sf, ("Random Forest", "Gradient Boosting") if by_category else ("Random Forest",))
+    imp = _importances(spark, ms, columns)
     return M.importance_by_category(imp) if by_category else imp
 
 
+def _importance_comparison(spark, sf):
+    ms, columns, _, _ = _fitted(spark, sf, ("Random Forest", "Gradient Boosting"))
+    return M.compare_importance(_importances(spark, ms, columns), list(ms.models))
+
+
+def _model_checks(spark, sf):
+    """What holds for any fitted model: a prediction for each row without a NULL
+    feature of the held-out splits, probabilities that add up to 1, importances that add
+    up to 1, category shares that add up to 100 %."""
+    ms, columns, val, test = _fitted(spark, sf)
+    imps = _importances(spark, ms, columns)
+    out = None
+    for name, model in ms.models.items():
+        for split, frame in (("validation", val), ("test", test)):
+            p = M.with_probabilities(model.transform(frame))
+            row = p.agg(F.count("*").alias("n"), F.count_if(F.abs(F.col("prob_default") + F.col("prob_no_default") - 1) < 1e-9).alias("n_sum_1"),
+                        F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("n_class"))
+            row = row.select(F.lit(name).alias("model"), F.lit(split).alias("split"), "*")
+            out = row if out is None else out.unionByName(row)
+    sums = imps.groupBy("model").agg(F.round(F.sum("importance"), 6).alias("importance_sum"))
+    shares = M.importance_by_category(imps).groupBy("model").agg(F.round(F.sum("pct"), 6).alias("category_pct"))
+    return out.join(sums, "model", "left").join(shares, "model", "left")
+
+
+def _cross_validated(spark, sf):
+    """Logistic regression over its whole grid, 3 folds, then the insight tables."""
+    ms, _, _, test = _fitted(spark, sf, ("Logistic Regression",), tune=True)
+    pred = M.with_probabilities(ms.models["Logistic Regression"].transform(test)).withColumn("score", F.col("prob_default"))
+    tables = business_insights(pred, LABEL)
+    c, m = tables["confusion"].first(), tables["metrics"].first()
+    total = c["tp"] + c["fp"] + c["tn"] + c["fn"]
+    consistent = abs(m["accuracy"] - (c["tp"] + c["tn"]) / total) < 1e-9 and 0 <= m["auc"] <= 1
+    risk = tables["risk_performance"].agg(F.sum("total")).first()[0]
+    return spark.createDataFrame([(int(total), int(c["tp"] + c["fn"]), bool(consistent), int(risk))],
+                                 "n_test long, n_default long, consistent boolean, n_in_risk_groups long")
+
+
 def _quality_pair(spark, sf, op):
-    before = _dirty(spark, sf)
-    after = materialize(cleanse(_dirty(spark, sf), accuracy=EXACT))
+    before = materialize(_dirty(spark, sf))
+    after = materialize(cleanse(before, accuracy=EXACT))
     rb, ra = P.quality_report(before), P.quality_report(after)
     if op == "score":
         return P.quality_score(rb, ra, after.columns)
     return op(rb, ra)
 
 
-def _importance_comparison(spark, sf):
-    feat = _feat_table(spark, sf)
-    train, _val, _test = M.split_data(feat, key="ID")
-    num, cat = M.prepare_features(feat, LABEL, method="all")
-    prep, names = M.fit_preprocessing(train, num, cat)
-    zoo = M.model_zoo(LABEL)
-    models = {"Random Forest": zoo["Random Forest"].setNumTrees(20), "Gradient Boosting": zoo["Gradient Boosting"].setMaxIter(10)}
-    ms = M.train_models(prep.transform(train), models, LABEL)
-    imps = None
-    for name, model in ms.models.items():
-        imp = M.feature_importance(model, names, name, spark)
-        imps = imp if imps is None else imps.unionByName(imp)
-    return M.compare_importance(imps, list(ms.models))
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     # sources / fixtures / features
@@ -147,12 +178,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["describe_columns"] = lambda s, sf: _round(P.describe_columns(_dirty(s, sf), ["LIMIT_BAL", "AGE", LABEL]),
                                                  ["mean", "stddev"])
     Q["quality_report"] = lambda s, sf: P.quality_report(_dirty(s, sf))
-    Q["low_variance"] = lambda s, sf: P.low_variance(_feat(s, sf), NUMERIC_FEATURES).select("column_name", "low_variance")
+    Q["low_variance"] = lambda s, sf: P.low_variance(_feat(s, sf), NUMERIC_FEATURES).select(
+        "column_name", "low_variance", F.when(F.col("variance") > 0, F.round(F.log10("variance"), 6)).alias("log10_variance"))
     Q["duplicate_keys"] = lambda s, sf: P.duplicate_keys(_dirty(s, sf), "ID")
     Q["duplicate_key_examples"] = lambda s, sf: P.duplicate_keys(_dirty(s, sf), "ID", n=5)
     Q["contract_violations"] = lambda s, sf: P.contract_violations(_dirty(s, sf), P.default_contract(LABEL))
     Q["profile_by_category"] = lambda s, sf: P.profile_by_category(_feat(s, sf), FEATURE_CATEGORIES)
-    Q["sample_values"] = lambda s, sf: P.sample_values(_dirty(s, sf), 3, key="ID")
+    Q["sample_values"] = lambda s, sf: P.sample_values(materialize(_dirty(s, sf)), 3)
     Q["quality_diff"] = lambda s, sf: _quality_pair(s, sf, P.quality_diff)
     Q["quality_score"] = lambda s, sf: _quality_pair(s, sf, "score")
     # cleaning
@@ -203,7 +235,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                                      ["positive_r", "negative_r"])
     Q["status_correlation_matrix"] = lambda s, sf: _round(S.correlation_matrix(_acc(s, sf), STATUS), ["r"])
     Q["high_correlation_pairs"] = lambda s, sf: _round(S.high_correlation_pairs(
-        S.correlation_matrix(_feat_table(s, sf), NUMERIC_FEATURES[:20] + [LABEL])), ["r"])
+        S.correlation_matrix(_feat_table(s, sf), NUMERIC_FEATURES + [LABEL])), ["r"])
     # feature band reports
     for key, feat in [("band_payment_trend", "PAYMENT_TREND_SLOPE"), ("band_improvement", "PAYMENT_IMPROVEMENT_SCORE"),
                       ("band_recovery", "RECOVERY_INSTANCES"), ("band_bill_trend", "BILL_TREND_SLOPE"),
@@ -252,6 +284,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["feature_importance"] = lambda s, sf: _importance(s, sf)
     Q["importance_by_category"] = lambda s, sf: _importance(s, sf, by_category=True)
     Q["importance_comparison"] = _importance_comparison
+    Q["model_checks"] = _model_checks
+    Q["cross_validated_model"] = _cross_validated
+    for status in STATUS[1:]:
+        Q[f"validate_codes_{status.lower()}"] = (lambda c: lambda s, sf: C.validate_codes(_acc(s, sf), c, STATUS_CODES))(status)
+    for code, valid in (("SEX", (1, 2)), ("EDUCATION", (1, 2, 3, 4)), ("MARRIAGE", (1, 2, 3))):
+        Q[f"validate_codes_{code.lower()}"] = (lambda c, v: lambda s, sf: C.validate_codes(_acc(s, sf), c, v))(code, valid)
     if LLM is not None:
         Q |= LLM.queries()
     return Q

@@ -41,10 +41,10 @@ FROM customer LEFT JOIN b ON c_custkey=b.o_custkey LEFT JOIN p ON c_custkey=p.o_
 
 DIRTY_CTE = """accounts_dirty AS (
 WITH d0 AS (
-SELECT ID, LIMIT_BAL, SEX,
+SELECT ID, CASE WHEN ID%120=31 THEN -LIMIT_BAL ELSE LIMIT_BAL END AS LIMIT_BAL, SEX,
   CASE WHEN ID%8=3 THEN NULL ELSE EDUCATION END AS EDUCATION,
   MARRIAGE,
-  CASE WHEN ID%37=5 THEN NULL ELSE AGE END AS AGE,
+  CAST(CASE WHEN ID%83=17 THEN 12 WHEN ID%97=19 THEN 101+ID%5 WHEN ID%37=5 THEN NULL ELSE AGE END AS INT) AS AGE,
   PAY_0, PAY_2, PAY_3, PAY_4, PAY_5, PAY_6,
   BILL_AMT1, BILL_AMT2, BILL_AMT3, BILL_AMT4, BILL_AMT5, BILL_AMT6,
   CASE WHEN ID%91=7 THEN -PAY_AMT1-1 ELSE PAY_AMT1 END AS PAY_AMT1,

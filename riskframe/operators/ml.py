@@ -19,7 +19,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -59,11 +59,11 @@ def split_label(key: str, ratios=(0.7, 0.15, 0.15)):
 
 
 def split_report(df: DataFrame, key: str = "ID", label: str = LABEL, ratios=(0.7, 0.15, 0.15)) -> DataFrame:
-    """Size, share and label rate per split, one grouped pass."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return df.groupBy(split_label(key, ratios).alias("split")).agg(
-        F.count(F.lit(1)).alias("n"), (F.avg(qcol(label)) * 100).alias("default_rate")) \
-        .withColumn("share_pct", F.try_divide(F.col("n"), total) * 100)
+    """Size, share and label rate per split, one grouped pass; the total is read off
+    the (at most three) groups."""
+    groups = df.groupBy(split_label(key, ratios).alias("split")).agg(
+        F.count(F.lit(1)).alias("n"), (F.avg(qcol(label)) * 100).alias("default_rate"))
+    return groups.withColumn("share_pct", F.try_divide(F.col("n"), F.sum("n").over(Window.partitionBy())) * 100)
 
 
 # ------------------------------------------------------------------ features
@@ -159,7 +159,7 @@ def train_models(train: DataFrame, models: dict, label: str = LABEL, tune: bool
             else:
                 out.models[name] = est.fit(train)
         except Exception as e:  # noqa: BLE001 -- reported to the caller
-            out.failures[name] = f"{type(e).__name__}: {e}"[:500]
+            out.failures[name] = f"{type(e).__name__}: {e}"
         out.times[name] = time.time() - t0
     return out
 
@@ -226,10 +226,10 @@ def importance_category(feature_col, rules=IMPORTANCE_RULES, otherwise: str = IM
 
 
 def importance_by_category(importance: DataFrame) -> DataFrame:
-    """Importance summed by category and its % of the total."""
-    total = importance.select(F.sum("importance")).scalar()
-    return importance.groupBy("model", importance_category("feature").alias("category")).agg(
-        F.sum("importance").alias("importance")).withColumn("pct", F.try_divide(F.col("importance"), total) * 100)
+    """Importance summed by category and its % of the model's own total."""
+    sums = importance.groupBy("model", importance_category("feature").alias("category")).agg(F.sum("importance").alias("importance"))
+    total = F.sum("importance").over(Window.partitionBy("model"))  # a handful of categories per model
+    return sums.withColumn("pct", F.try_divide(F.col("importance"), total) * 100)
 
 
 def compare_importance(importances: DataFrame, models) -> DataFrame:

@@ -48,30 +48,33 @@ def profile(df: DataFrame, code_cols=None, exact_distinct: bool = True, rsd: flo
     """Type, nulls, distinct values (code columns only; NULL counts as a
     value, as ``distinct().count()`` does), min and max (numeric only, as double).
 
-    Exact distinct counts over several columns are planned with an Expand (one
-    copy of each row per distinct column before map-side aggregation); the
-    study's rule also selects the high-cardinality PAY_AMT columns.  On very
-    large tables pass ``exact_distinct=False``: HyperLogLog++ sketches
-    (``approx_count_distinct``, relative error ``rsd``), no Expand, no extra
-    shuffle."""
+    Exact distinct counts unpivot the code columns to narrow (column, value) rows and
+    group those, with partial aggregation before the shuffle; no Expand.  The study's
+    rule also selects the high-cardinality PAY_AMT columns: ``exact_distinct=False``
+    counts with HyperLogLog++ sketches (relative error ``rsd``) and has no extra shuffle."""
     if code_cols is None:
         code_cols = [c for c in df.columns if c in CATEGORICAL_CODE_COLS or "PAY_" in c]
-    code_cols = set(code_cols)
+    code_cols = [c for c in df.columns if c in set(code_cols)]
     types = dict(df.dtypes)
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
     per = {}
     for c in df.columns:
         col = qcol(c)
+        sketch = F.approx_count_distinct(col, rsd) + F.max(col.isNull().cast("int"))
         per[c] = {
             "dtype": F.lit(types[c]),
             "null_count": F.count_if(col.isNull()),
-            "distinct_count": ((F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col, rsd))
-                               + F.max(col.isNull().cast("int"))).cast("bigint")
-            if c in code_cols else F.lit(None).cast("bigint"),
+            "distinct_count": sketch.cast("bigint") if c in code_cols and not exact_distinct else F.lit(None).cast("bigint"),
             "min_value": F.min(col).cast("double") if c in numeric else F.lit(None).cast("double"),
             "max_value": F.max(col).cast("double") if c in numeric else F.lit(None).cast("double"),
         }
-    return long_form(df, per)
+    out = long_form(df, per)
+    if not code_cols or not exact_distinct:
+        return out
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), qcol(c).cast("string").alias("v")) for c in code_cols])))
+    exact = cells.groupBy("column_name", "v").agg(F.lit(1).alias("one")).groupBy("column_name").agg(F.count("*").alias("distinct_values"))
+    return out.join(exact, "column_name", "left").select(
+        "column_name", "dtype", "null_count", F.col("distinct_values").alias("distinct_count"), "min_value", "max_value")
 
 
 def describe_columns(df: DataFrame, cols) -> DataFrame:
@@ -82,19 +85,34 @@ def describe_columns(df: DataFrame, cols) -> DataFrame:
                           for c in cols})
 
 
-def sample_values(df: DataFrame, n: int = 3, cols=None, scan_rows: int = 10000, key: str | None = None) -> DataFrame:
-    """Up to ``n`` smallest distinct non-null values per column, taken from
-    a bounded sample (``scan_rows``) so no set grows with the table."""
-    from riskframe.sources.io import sample_rows
+def sample_values(df: DataFrame, n: int = 3, cols=None) -> DataFrame:
+    """The ``n`` smallest distinct non-null values of every column over the whole
+    table, as text, ordered in the column's own type.
+
+    ``n`` aggregates: the first takes every column's least value, each next one the
+    least above the previous; a pass returns one row, and nothing grows with the table.
+    Columns without a further value have shorter lists."""
     cols = list(cols or df.columns)
-    src = sample_rows(df, scan_rows, key) if key else df.limit(scan_rows)
-    return long_form(src, {c: {"sample": F.slice(F.array_sort(F.collect_set(qcol(c).cast("string"))), 1, n)}
-                           for c in cols})
+    types = dict(df.dtypes)
+    found: dict = {c: [] for c in cols}
+    last: dict = {}
+    for k in range(n):
+        open_cols = [c for c in cols if len(found[c]) == k]
+        if not open_cols:
+            break
+        least = [F.min(F.when(qcol(c) > F.lit(last[c]).cast(types[c]), qcol(c)) if k else qcol(c)) for c in open_cols]
+        row = df.agg(*[x.alias(f"v{i}") for i, x in enumerate(least)], *[x.cast("string").alias(f"s{i}") for i, x in enumerate(least)]).first()
+        for i, c in enumerate(open_cols):
+            if row[f"v{i}"] is not None:
+                last[c] = row[f"v{i}"]
+                found[c].append(row[f"s{i}"])
+    return df.sparkSession.createDataFrame([(c, found[c]) for c in cols], "column_name string, sample array<string>")
 
 
 def quality_report(df: DataFrame) -> DataFrame:
     """Per column type and null count, with table-level totals.
 
+    The one shuffle moves whole rows (the price of an exact full-row duplicate count).
     ONE pass over the source: the duplicate count needs ``groupBy(all
     columns)`` anyway, and every column's null count can be read off those
     groups (``sum(count) where c is null``), so nulls ride along with the one

@@ -16,10 +16,6 @@ from riskframe.functions.panel import DEFAULT_PANEL, LABEL, STATUS_MEANINGS, Per
 from riskframe.operators._agg import long_form, numeric_columns, pct
 
 
-def _total(df: DataFrame) -> Column:
-    return df.select(F.count(F.lit(1))).scalar()
-
-
 def _with_share(grouped: DataFrame, count_col: str = "count") -> DataFrame:
     """% of all rows from the grouped result itself: the total is a scalar
     subquery over the same grouped plan, so AQE reuses its shuffle stage and
@@ -56,7 +52,8 @@ AGE_BANDS_ELSE = ">= 60"
 
 def class_balance(df: DataFrame, label: str = LABEL) -> DataFrame:
     """D3: rows, defaults, default rate %, ratio 0:1, and a note
-    (<10% imbalanced, >40% high, else reasonable)."""
+    (<10% imbalanced, >40% high, else reasonable); ``balanced_30_70`` is the model
+    phase's own rule (30-70 % is balanced)."""
     y = qcol(label)
     agg = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(y == 1).alias("n_default"),
                  F.count_if(y == 0).alias("n_no_default"))
@@ -64,7 +61,8 @@ def class_balance(df: DataFrame, label: str = LABEL) -> DataFrame:
     return agg.select("n", "n_default", "n_no_default", rate.alias("default_rate"),
                       F.try_divide(F.col("n_no_default"), F.col("n_default")).alias("ratio"),
                       F.when(rate < 10, "Highly imbalanced").when(rate > 40, "High default rate")
-                      .otherwise("Reasonably balanced").alias("note"))
+                      .otherwise("Reasonably balanced").alias("note"),
+                      rate.between(30, 70).alias("balanced_30_70"))
 
 
 def numeric_stats(df: DataFrame, cols, accuracy: int = 10000) -> DataFrame:

@@ -34,5 +34,5 @@ def feature_reports(feat: DataFrame, label: str = LABEL, accuracy: int = 10000)
         out["risk_category_rate"] = S.pivot_rate(feat, "RISK_SCORE_CATEGORY", label)
     numeric = [c for c in FEATURE_NAMES if c in cols and dict(feat.dtypes)[c] != "string"]
     out["low_variance"] = P.low_variance(feat, numeric)
-    out["feature_correlations"] = S.label_correlations(feat, numeric[:15], label, top=10)
+    out["feature_correlations"] = S.label_correlations(feat, numeric, label, top=None)
     return out

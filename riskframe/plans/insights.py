@@ -1,7 +1,7 @@
-"""Business insight bundle from one cached prediction frame.
+"""Business insight bundle from one prediction frame.
 
 The study evaluates the test split twice (once inside the insight step); here
-predictions are computed once and cached, and each table is one aggregate."""
+predictions are materialised once, and each table is one aggregate."""
 
 from __future__ import annotations
 
@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 
 from riskframe.functions.panel import LABEL
 from riskframe.operators import evaluation as E
+from riskframe.session import materialize
 
 
 def business_insights(pred: DataFrame, label: str = LABEL, score: str | None = "score",
                       risk_col: str = "RISK_SCORE_CATEGORY", segment_col: str = "CUSTOMER_SEGMENT") -> dict:
-    pred = pred.cache()
+    pred = materialize(pred)
     out = {
         "confusion": E.confusion_report(pred, label),
         "metrics": E.classification_metrics(pred, label, score=score),

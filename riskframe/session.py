@@ -8,6 +8,9 @@ laptop) do we fall back to a folder the caller passes in.
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -59,13 +62,12 @@ def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
 def materialize(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     """Phase hand-off for frames that several passes read (feature table before
     evaluation, correlation, training).  Reliable checkpoint into the cluster's
-    checkpoint folder when one is configured (lineage is cut, so a lost
-    executor re-reads the checkpoint instead of recomputing the shuffles, and
-    downstream plans see a leaf instead of the whole projection chain);
-    otherwise ``persist`` (recomputed from lineage on executor loss)."""
-    from pyspark import StorageLevel
-    if ensure_checkpoint_dir(df.sparkSession, fallback_dir):
-        return df.checkpoint(eager=True)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
+    checkpoint folder: lineage is cut, a lost executor re-reads the checkpoint instead
+    of recomputing the shuffles, and the files go with the frame
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``), so there is nothing to
+    release.  A plain ``local[...]`` session without a folder gets a temporary one; a
+    cluster without one is an error."""
+    sc = df.sparkSession.sparkContext
+    if fallback_dir is None and re.fullmatch(r"local(\[.*\])?", sc.master) and not sc.getCheckpointDir():
+        fallback_dir = tempfile.mkdtemp(prefix="riskframe-checkpoint-")
+    return cut_lineage(df, fallback_dir)

@@ -88,10 +88,10 @@ def dirty(acc: DataFrame) -> DataFrame:
     i = F.col("ID")
     nul = lambda cond, c: F.when(cond, F.lit(None)).otherwise(F.col(c)).alias(c)
     d0 = acc.select(
-        "ID", "LIMIT_BAL", "SEX",
+        "ID", F.when(i % 120 == 31, -F.col("LIMIT_BAL")).otherwise(F.col("LIMIT_BAL")).alias("LIMIT_BAL"), "SEX",
         nul(i % 8 == 3, "EDUCATION"),
         "MARRIAGE",
-        nul(i % 37 == 5, "AGE"),
+        F.when(i % 83 == 17, 12).when(i % 97 == 19, 101 + i % 5).when(i % 37 != 5, F.col("AGE")).cast("int").alias("AGE"),
         "PAY_0", "PAY_2", "PAY_3", "PAY_4", "PAY_5", "PAY_6",
         *[f"BILL_AMT{m}" for m in MONTHS],
         F.when(i % 91 == 7, -F.col("PAY_AMT1") - 1).otherwise(F.col("PAY_AMT1")).alias("PAY_AMT1"),

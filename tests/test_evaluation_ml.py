@@ -7,6 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from riskframe.operators import evaluation as E
+from riskframe.functions.panel import LABEL
 from riskframe.operators import ml as M
 
 
@@ -100,3 +101,19 @@ def test_auc_exact_across_bucket_offsets(spark):
     full = E.auc(p, score="score").first()["auc"]
     for b in (2, 3, 17):
         assert math.isclose(E.auc(p, score="score", buckets=b).first()["auc"], full, abs_tol=1e-12)
+
+
+def test_category_shares_are_per_model(spark):
+    rows = [("a", "AGE", 0.6), ("a", "PAY_0", 0.4), ("b", "AGE", 0.5), ("b", "RISK", 0.5)]
+    imp = spark.createDataFrame(rows, "model string, feature string, importance double")
+    got = {(r["model"], r["category"]): round(r["pct"], 9) for r in M.importance_by_category(imp).collect()}
+    assert got == {("a", "Demographics"): 60.0, ("a", "Payment History"): 40.0, ("b", "Demographics"): 50.0, ("b", "Risk"): 50.0}
+
+
+def test_auc_buckets_are_even_with_an_outlier_score(spark):
+    df = spark.range(20000).select((F.col("id") % 2).cast("int").alias(LABEL), (F.col("id") / 20000).alias("score")).unionByName(
+        spark.createDataFrame([(1, 1e9)], f"{LABEL} int, score double"))
+    dealt = df.repartitionByRange(8, "score").groupBy(F.spark_partition_id()).count()
+    assert dealt.agg(F.max("count")).first()[0] < 2 * 20001 / 8
+    exact = (sum((k + 1) // 2 for k in range(1, 20000, 2)) + 10000) / (10001 * 10000)
+    assert math.isclose(E.auc(df, buckets=8).first()["auc"], exact, abs_tol=1e-12)

@@ -167,3 +167,22 @@ def test_profile_approximate_distinct_has_no_expand(spark):
     exact = {r["column_name"]: r["distinct_count"] for r in P.profile(df).collect()}
     est = {r["column_name"]: r["distinct_count"] for r in approx.collect()}
     assert exact["SEX"] == est["SEX"] == 7 and abs(est["PAY_AMT1"] - 500) <= 25
+
+
+def test_sample_values_sees_the_whole_table(spark):
+    df = spark.range(30000).select("id", F.when(F.col("id") >= 29998, F.col("id")).alias("late"))
+    got = {r["column_name"]: r["sample"] for r in P.sample_values(df, 3).collect()}
+    assert got == {"id": ["0", "1", "2"], "late": ["29998", "29999"]}
+
+
+def test_profile_has_no_expand(spark):
+    df = spark.range(10).select(F.col("id").alias("SEX"), F.col("id").alias("PAY_AMT1"))
+    assert "Expand" not in P.profile(df)._jdf.queryExecution().toString()
+
+
+def test_int_money_columns_do_not_overflow(spark):
+    from riskframe.functions.columns import row_mean
+
+    cols = [f"b{i}" for i in range(6)]
+    df = spark.range(1).select(*[F.lit(1_500_000_000).alias(c) for c in cols])
+    assert df.select(row_mean(cols)).first()[0] == 1.5e9
