@@ -84,20 +84,30 @@ def hex_sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def located(df: DataFrame) -> DataFrame:
-    """``df`` with ``_path`` and ``_row``: where each row's content lies (file, row
-    index).  A frame that is not a plain scan of files is written to the shared
-    folder first, so that the locators hold for as long as the files do."""
+def file_backed(df: DataFrame) -> DataFrame:
+    """``df`` itself if it is a plain scan of files, else written to the shared folder and
+    read again, so that its rows have places that hold as long as the files do."""
     from pyspark.errors import AnalysisException
 
-    columns = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row")]
     try:
-        return df.select(*[df[c] for c in dict.fromkeys(df.columns)], *columns)
+        df.select("_metadata.row_index").schema
+        return df
     except AnalysisException:
         path = scratch_path(df.sparkSession, "located")
         df.write.parquet(path)
-        again = df.sparkSession.read.schema(df.schema).parquet(path)
-        return again.select("*", *columns)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def located(df: DataFrame) -> DataFrame:
+    """A file-backed ``df`` with ``_path`` and ``_row``: where each row's content lies."""
+    return df.select(*[df[c] for c in df.columns], F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+
+
+def only_at(df: DataFrame, spots: DataFrame) -> DataFrame:
+    """The rows of a file-backed ``df`` that lie at ``spots`` (_path, _row); columns of ``df`` may have
+    any names, also those of the locators."""
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return located(numbered).join(spots, ["_path", "_row"], "left_semi").select(*numbered.columns).toDF(*df.columns)
 
 
 def shared_rows(df: DataFrame, name: str) -> str:

@@ -6,8 +6,9 @@ everything else is lower-cased, punctuation goes.  Windows of ``window`` canonic
 tokens are hashed and the corpus' windows are joined with the benchmark's by hash, so
 a question whose numbers or names were replaced still meets its original.  A
 placeholder keeps its original string as a slot value: within a document and item, an
-item's slot value must always be replaced by the same value (the most frequent one
-counts), and windows that break that are dropped.  A document is contaminated by an
+item's slot value must always be replaced by the same value, and windows that break
+that are dropped; the value that counts is the one at the shift (document position
+less item position) with most matched windows, then the most frequent one.  A document is contaminated by an
 item when at least ``coverage`` of the item's windows are left.
 
 Only DataFrame and SQL functions run.  The benchmark's windows are broadcast only if
@@ -79,13 +80,15 @@ def leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, literal: int
     right = bw.select("item_id", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"))
     right = F.broadcast(right) if n <= BROADCAST_WINDOWS else right
     found = _windows(pick(docs, "doc_id", "text").filter("doc_id is not null"), "doc_id", window).join(right, "h")
-    # one row per document, item, item window and slot values: repeats go before anything moves
-    found = cut(found.groupBy("doc_id", "item_id", "item_pos", "item_slots", "slots").agg(F.count("*").alias("times")))
-    pairs = (found.filter("slots is not null")
-             .select("doc_id", "item_id", "times", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
+    found = found.withColumn("shift", F.col("pos") - F.col("item_pos"))
+    # one row per document, item, item window, shift and slot values: repeats go before anything moves
+    found = cut(found.groupBy("doc_id", "item_id", "item_pos", "shift", "item_slots", "slots").agg(F.count("*").alias("times")))
+    along = found.groupBy("doc_id", "item_id", "shift").agg(F.count_distinct("item_pos").alias("along"))
+    pairs = (found.filter("slots is not null").join(along, ["doc_id", "item_id", "shift"])
+             .select("doc_id", "item_id", "times", "along", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
              .groupBy("doc_id", "item_id", F.col("z.item_slots").alias("item_slot"), F.col("z.slots").alias("slot"))
-             .agg(F.sum("times").alias("times")))
-    chosen = (pairs.groupBy("doc_id", "item_id", "item_slot").agg(F.max_by("slot", F.struct("times", "slot")).alias("slot"))
+             .agg(F.max("along").alias("along"), F.sum("times").alias("times")))
+    chosen = (pairs.groupBy("doc_id", "item_id", "item_slot").agg(F.max_by("slot", F.struct("along", "times", "slot")).alias("slot"))
               .groupBy("doc_id", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("item_slot", "slot"))).alias("replaced")))
     checked = found.join(chosen, ["doc_id", "item_id"], "left").filter(
         F.col("slots").isNull() | F.forall(F.arrays_zip("item_slots", "slots"), lambda z: F.element_at("replaced", z["item_slots"]) == z["slots"]))
@@ -123,12 +126,14 @@ def _sql() -> str:
     return f"""
 WITH bw AS (SELECT * FROM ({windows('benchmark', 'item_id')}) WHERE len(slots) <= {WINDOW - LITERAL}),
 totals AS (SELECT item_id, count(*) AS n_windows FROM bw GROUP BY item_id),
-found AS (SELECT d.doc_id, b.item_id, b.pos AS item_pos, b.slots AS item_slots, d.slots, count(*) AS times
+found AS (SELECT d.doc_id, b.item_id, b.pos AS item_pos, d.pos - b.pos AS shift, b.slots AS item_slots, d.slots, count(*) AS times
           FROM ({windows('documents', 'doc_id')}) d JOIN bw b ON d.canon = b.canon GROUP BY ALL),
-pairs AS (SELECT doc_id, item_id, item_slot, slot, sum(times) AS times
-          FROM (SELECT doc_id, item_id, times, unnest(item_slots) AS item_slot, unnest(slots) AS slot FROM found) GROUP BY ALL),
+along AS (SELECT doc_id, item_id, shift, count(DISTINCT item_pos) AS along FROM found GROUP BY ALL),
+pairs AS (SELECT doc_id, item_id, item_slot, slot, max(along) AS along, sum(times) AS times
+          FROM (SELECT doc_id, item_id, times, along, unnest(item_slots) AS item_slot, unnest(slots) AS slot
+                FROM found JOIN along USING (doc_id, item_id, shift)) GROUP BY ALL),
 chosen AS (SELECT doc_id, item_id, item_slot, slot FROM pairs
-           QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, item_slot ORDER BY times DESC, slot DESC) = 1),
+           QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, item_slot ORDER BY along DESC, times DESC, slot DESC) = 1),
 broken AS (SELECT DISTINCT f.doc_id, f.item_id, f.item_pos, f.slots
            FROM (SELECT doc_id, item_id, item_pos, slots, unnest(item_slots) AS item_slot, unnest(slots) AS slot FROM found) f
            JOIN chosen c USING (doc_id, item_id, item_slot) WHERE f.slot <> c.slot),

@@ -25,7 +25,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm._common import SPACE, cut, located, pick, scratch_path, shared_rows
+from riskframe.llm._common import SPACE, cut, file_backed, located, only_at, pick, scratch_path, shared_rows
 
 #: Hit digests up to which their list is broadcast to the text scan (about 100 bytes
 #: each); a longer list is joined by a shuffle.
@@ -86,7 +86,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ``digest`` maps the normalised text to a binary key; the result is exact for any."""
     spark = docs.sparkSession
-    rows = located(pick(docs, id_col, text_col)).select(
+    rows = located(file_backed(pick(docs, id_col, text_col))).select(
         F.col(id_col).cast("long").alias("id"), F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_points"),
         normalised(F.col(text_col)).alias("norm"), F.col("_path").alias("path"), F.col("_row").alias("row"))
     rows = rows.withColumn("digest", digest(F.col("norm")))
@@ -125,8 +125,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    docs = file_backed(docs)
     spots = exact_groups(docs, id_col, text_col).filter("kept").select("_path", "_row")
-    return located(docs).join(spots, ["_path", "_row"], "left_semi").select(*docs.columns)
+    return only_at(docs, spots)
 
 
 SQL = r"""

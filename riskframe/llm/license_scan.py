@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm._common import cut, hold, located, pick, table
+from riskframe.llm._common import cut, file_backed, hold, located, pick, table
 
 SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 4
 #: (window length in words, stride)
@@ -127,7 +127,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     license; ``first_word`` is the first verified place (in words of the document)."""
     spark = docs.sparkSession
     shapes, bands = band_templates(spark, templates or TEMPLATES)
-    rows = located(pick(docs, id_col, text_col)).select(id_col, F.col(text_col).alias("text"), "_path", "_row")
+    rows = located(file_backed(pick(docs, id_col, text_col))).select(id_col, F.col(text_col).alias("text"), "_path", "_row")
     words = hold(rows.select("_path", "_row", "text"), "words", _words(F.col("text"))).select("_path", "_row", "words")
     hashed = hold(words.filter(F.size("words") >= SHINGLE), "h", _shingle_hashes("words")).select("_path", "_row", "h")
     n_bands = bands.count()

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm._common import cut, located, pick, ship, table
+from riskframe.llm._common import cut, file_backed, located, only_at, pick, ship, table
 from riskframe.llm.components import connected_components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -282,12 +282,13 @@ def simhash_components(docs: DataFrame, shingle: int, max_bits: int, id_col: str
 def drop_near_copies(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each component the row
     with the smallest id (nulls last), the first by locator among repeated rows."""
+    docs = file_backed(docs)
     rows = cut(fingerprints(located(pick(docs, id_col, text_col)), shingle, text_col))
     order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "_path", "_row")
     distinct = cut(rows.groupBy("fp").agg(F.min(order).alias("first")))
     stays = (distinct.join(classes(distinct, max_bits), "fp").groupBy("root").agg(F.min("first").alias("first"))
              .select("first._path", "first._row"))
-    return located(docs).join(stays, ["_path", "_row"], "left_semi").select(*docs.columns)
+    return only_at(docs, stays)
 
 
 #: The query's shingle length and distance are those of its contract.
