@@ -10,7 +10,9 @@ anchor is a repeat.  Adjacent and overlapping repeats of a document are put toge
 which gives its maximal repeats of ``length`` words or more.
 
 An anchor's rows are read as a sorted stream in which only the first id of each of its
-windows is kept, so no pairs are made, however many documents share a passage.
+windows is kept, so no pairs are made, however many documents share a passage; and a
+task sends a match that it can decide itself as decided, so a frequent passage does
+not pile up in one partition.
 
 Defined results: null text counts as no words; a document with fewer words than
 ``length`` has no window; only a document with a smaller id counts, so repeats inside
@@ -36,6 +38,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_CACHE = 300_000
 #: Bytes of a window's hash that travel; the anchor's 8 bytes stand beside them.
 WINDOW_BYTES = 5
+#: Anchors with their windows one task remembers before it starts afresh.
+SEEN = 150_000
 #: Words handled at once in a text of any length.
 BLOCK = 1 << 20
 
@@ -86,20 +90,38 @@ def anchors(words: list[str], length: int = LENGTH, seed: int = SEED) -> Iterato
 
 
 def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
-    """(h, doc_id, text_hash, start, windows): windows are ``WINDOW_BYTES`` each."""
+    """(h, doc_id, text_hash, start, n, windows): windows are ``WINDOW_BYTES`` each.
+
+    A task sends an anchor with the same windows again only for an id below all it has
+    seen; for others the match is decided on the spot, and a row with their ``n`` windows
+    and no hashes goes where their id is dealt.  So an anchor in a third of all documents
+    costs its partition one row a task, not one a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple[int, bytes], int] = {}
         for batch in batches:
             for doc, text, text_hash in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 for h, start, n, windows in anchors(WORD.findall(text.as_py() or ""), length, seed):
                     data = windows.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WINDOW_BYTES].tobytes()
-                    offsets = np.append(0, np.cumsum(n)) * WINDOW_BYTES
-                    binary = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
+                    offsets = (np.append(0, np.cumsum(n)) * WINDOW_BYTES).tolist()
+                    if len(least) > SEEN:
+                        least.clear()
+                    values = [data[x:y] for x, y in zip(offsets, offsets[1:])]
+                    known = np.zeros(len(h), bool)
+                    for i, (key, value) in enumerate(zip(h.tolist(), values)):
+                        before = least.get((key, value))
+                        if before is not None and (doc is None or before < doc):
+                            known[i] = True
+                            values[i] = b""
+                        elif doc is not None:
+                            least[key, value] = doc
+                    h = np.where(known, _mixed(np.full(1, (doc or 0) % (1 << 63), np.uint64) + start.astype(np.uint64)), h)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(h.view(np.int64)), pa.array([doc] * len(h), pa.int64()), pa.array(np.full(len(h), text_hash, np.int32)),
-                         pa.array(start.astype(np.int32)), binary.cast(pa.binary())], ["h", "doc_id", "text_hash", "start", "windows"])
+                         pa.array(start.astype(np.int32)), pa.array(np.where(known, n, 0).astype(np.int32)), pa.array(values, pa.binary())],
+                        ["h", "doc_id", "text_hash", "start", "n", "windows"])
 
-    return docs.mapInArrow(_gathered(run), "h long, doc_id long, text_hash int, start int, windows binary")
+    return docs.mapInArrow(_gathered(run), "h long, doc_id long, text_hash int, start int, n int, windows binary")
 
 
 def _gathered(run, rows: int = 50_000):
@@ -139,7 +161,7 @@ def _repeats_in_stream(length: int):
             useful = (last - first > 1)[group]
             useful |= (group == len(first) - 1) | (goes_on & (group == 0))
             rows = np.flatnonzero(useful)
-            column = batch.column(4).take(pa.array(rows))
+            column = batch.column(5).take(pa.array(rows))
             sizes = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(rows) + 1]) // WINDOW_BYTES
             packed = b"".join(column.to_pylist())
             codes = np.zeros((len(packed) // WINDOW_BYTES, 8), np.uint8)
@@ -162,6 +184,11 @@ def _repeats_in_stream(length: int):
                 if not none[r[k]]:
                     seen.setdefault(int(c[k]), int(doc[r[k]]))
             open_h = h[-1]
+            decided = batch.filter(pa.array(batch.column(4).to_numpy(zero_copy_only=False) > 0))
+            if decided.num_rows:
+                begin = decided.column(3).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([decided.column(1), decided.column(2), decided.column(3), pa.array(
+                    (begin + decided.column(4).to_numpy(zero_copy_only=False) - 1 + length).astype(np.int32))], ["doc_id", "text_hash", "first", "end"])
             hit = np.zeros(len(row), bool)
             hit[order] = repeat
             if hit.any():
