@@ -35,6 +35,7 @@ def main():
 
     from riskframe.functions.panel import LABEL
     from riskframe.operators import cleaning as C
+    from riskframe.operators import evaluation as E
     from riskframe.operators import ml as M
     from riskframe.operators import profile as P
     from riskframe.operators import stats as S
@@ -44,7 +45,7 @@ def main():
 
     spark = local_session(app="riskframe-bench", cores=cpus, shuffle_partitions=max(cpus, 8))
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="rf-bench-ckpt-"))
+    ensure_checkpoint_dir(spark, os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="rf-bench-ckpt-"))
     sc = spark.sparkContext
 
     def sink(df):
@@ -86,6 +87,23 @@ def main():
         def q_cleanse():
             sink(__import__("riskframe.plans.cleanse", fromlist=["cleanse"]).cleanse(accounts_dirty(spark, sf_dir)))
 
+        def q_column_profile():
+            P.profile(accounts_dirty(spark, sf_dir)).collect()
+
+        def q_auc():
+            E.auc(E.score_as_model(all_features(acc()))).collect()
+
+        def q_random_forest():
+            fit("Random Forest")
+
+        def fit(name):
+            feat = materialize(all_features(acc()))
+            tr, _va, te = M.split_data(feat, key="ID")
+            num, cat = M.prepare_features(feat, LABEL, method="all")
+            prep, names = M.fit_preprocessing(tr, num, cat)
+            ms = M.train_models(materialize(prep.transform(tr)), {name: M.model_zoo(LABEL)[name]}, LABEL)
+            M.evaluate_models(ms, prep.transform(te), LABEL).collect()
+
         def q_logistic_regression():
             feat = materialize(all_features(acc()))
             tr, _va, te = M.split_data(feat, key="ID")
@@ -98,7 +116,8 @@ def main():
         plan = [("accounts_view", q_accounts_view), ("quality_report", q_quality_report), ("standard_clean", q_standard_clean),
                 ("feature_chain", q_feature_chain), ("risk_category_rate", q_risk_category_rate),
                 ("rule_report", q_rule_report), ("correlation_ranking", q_correlation_ranking),
-                ("full_cleanse", q_cleanse), ("logistic_regression", q_logistic_regression)]
+                ("full_cleanse", q_cleanse), ("logistic_regression", q_logistic_regression), ("column_profile", q_column_profile), ("auc", q_auc),
+                ("random_forest", q_random_forest)]
 
         times, jobs = {}, {}
         for name, fn in plan:
