@@ -12,7 +12,9 @@ which gives its maximal repeats of ``length`` words or more.
 An anchor's rows are read as a sorted stream in which only the first id of each of its
 windows is kept, so no pairs are made, however many documents share a passage; and a
 task sends a match that it can decide itself as decided, so a frequent passage does
-not pile up in one partition.
+not pile up in one partition.  An anchor that stands in many different windows (a
+common phrase) is dealt by window instead, which splits its rows; a sample of the
+documents tells which anchors are so frequent, and only the dealing depends on it.
 
 Defined results: null text counts as no words; a document with fewer words than
 ``length`` has no window; only a document with a smaller id counts, so repeats inside
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm._common import hex_sha256, pick, ship, table
+from riskframe.llm._common import cut, hex_sha256, pick, ship, table
 
 LENGTH, SEED = 13, 5
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -40,6 +42,11 @@ WORD_CACHE = 300_000
 WINDOW_BYTES = 5
 #: Anchors with their windows one task remembers before it starts afresh.
 SEEN = 150_000
+#: One document in so many is looked at for frequent anchors.
+ONE_IN = 64
+#: Different window sets of an anchor in that sample above which it is dealt by window;
+#: more than a ``MOST``-th of all in a large sample, so the list is of ``MOST`` hashes at most.
+FREQUENT, MOST = 64, 2_000_000
 #: Words handled at once in a text of any length.
 BLOCK = 1 << 20
 
@@ -89,19 +96,37 @@ def anchors(words: list[str], length: int = LENGTH, seed: int = SEED) -> Iterato
         yield grams[anchor[first]], first + at, np.diff(np.append(first, len(windows))), windows
 
 
-def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
-    """(h, doc_id, text_hash, start, n, windows): windows are ``WINDOW_BYTES`` each.
+def _by_window(hot: np.ndarray, h: np.ndarray, start: np.ndarray, n: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(h, start, n) with a row for each window of the anchors in ``hot`` (sorted); such
+    a row's hash is that of anchor and window together."""
+    at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+    split = hot[at] == h
+    if not split.any():
+        return h, start, n
+    rows = np.where(split, n, 1)
+    row = np.repeat(np.arange(len(h)), rows)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(rows) - rows, rows)
+    of_row = (np.cumsum(n) - n)[row] + nth
+    return np.where(split[row], _mixed(h[row] ^ windows[of_row]), h[row]), start[row] + nth, np.where(split[row], 1, n[row])
+
+
+def _anchor_rows(docs: DataFrame, length: int, seed: int, hot: np.ndarray | None = None) -> DataFrame:
+    """(h, doc_id, text_hash, start, n, windows): windows are ``WINDOW_BYTES`` each;
+    anchors in ``hot`` have a row and a hash for each window.
 
     A task sends an anchor with the same windows again only for an id below all it has
     seen; for others the match is decided on the spot, and a row with their ``n`` windows
     and no hashes goes where their id is dealt.  So an anchor in a third of all documents
     costs its partition one row a task, not one a document."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot) if hot is not None and len(hot) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[tuple[int, bytes], int] = {}
         for batch in batches:
             for doc, text, text_hash in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 for h, start, n, windows in anchors(WORD.findall(text.as_py() or ""), length, seed):
+                    if shared is not None:
+                        h, start, n = _by_window(shared.value, h, start, n, windows)
                     data = windows.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WINDOW_BYTES].tobytes()
                     offsets = (np.append(0, np.cumsum(n)) * WINDOW_BYTES).tolist()
                     if len(least) > SEEN:
@@ -124,6 +149,17 @@ def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
     return docs.mapInArrow(_gathered(run), "h long, doc_id long, text_hash int, start int, n int, windows binary")
 
 
+def frequent_anchors(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> np.ndarray:
+    """Sorted hashes of the anchors that stand in many different windows.  Copies of a
+    passage have equal windows and count once: tasks decide those by themselves."""
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("anchor sample")), F.lit(ONE_IN)) == 0)
+    different = _anchor_rows(sample, length, seed).filter("n = 0").select("h", F.xxhash64("windows").alias("w")).distinct()
+    counts = cut(different.groupBy("h").agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    listed = counts.filter(F.col("n") > max(FREQUENT, total // MOST)).select("h").toPandas()  # at most MOST rows
+    return np.sort(listed["h"].to_numpy(np.int64).view(np.uint64))
+
+
 def _gathered(run, rows: int = 50_000):
     """Put the small batches a function yields together."""
 
@@ -217,7 +253,8 @@ def stretches(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: s
     """(doc_id, text_hash, first, end): word ranges that repeat a smaller id's text."""
     ship(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _anchor_rows(_keyed(docs, id_col, text_col).select("doc_id", "text", "text_hash"), length, seed)
+    keyed = _keyed(docs, id_col, text_col).select("doc_id", "text", "text_hash")
+    rows = _anchor_rows(keyed, length, seed, frequent_anchors(keyed, length, seed))
     dealt = rows.repartition(n, "h").sortWithinPartitions("h", F.col("doc_id").asc_nulls_last())
     return dealt.mapInArrow(_repeats_in_stream(length), "doc_id long, text_hash int, first int, end int")
 

@@ -1,5 +1,6 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
+import hashlib
 import random
 import re
 
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 
 from conftest import SF_SMALL
-from riskframe.llm import bpe, langid, license_scan, quality, simhash
+from riskframe.llm import bpe, langid, license_scan, quality, simhash, substring_dedup
 
 
 @pytest.fixture(scope="module")
@@ -146,3 +147,29 @@ def test_quality_held_out_accuracy(spark):
 def test_isotonic_pool_rises():
     at, value = quality.pool(np.arange(6.0), np.array([0, 2, 1, 1, 3, 2.0]), np.array([3, 3, 3, 3, 3, 2.0]))
     assert (np.diff(value) > 0).all() and (np.diff(at) > 0).all()
+
+
+@pytest.mark.parametrize("frequent", [0, substring_dedup.FREQUENT, 1 << 40])
+def test_substring_dedup_equals_brute_force(spark, texts, frequent, monkeypatch):
+    """A common phrase in different surroundings, dealt by anchor, by window or mixed."""
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(30)]
+    docs = dict(texts)
+    for n in range(150):
+        body = [" ".join(rng.choices(vocabulary, k=rng.randint(5, 25))) for _ in range(3)]
+        docs[20_000 + n] = " a common phrase of just six ".join(body) + (" " + docs[20_000 + n // 2] if n % 3 == 1 else "")
+    length, first, want = substring_dedup.LENGTH, {}, {}
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t) for i, t in sorted(docs.items())}
+    for i, w in words.items():
+        gone = set()
+        for at in range(len(w) - length + 1):
+            if first.setdefault(tuple(w[at:at + length]), i) < i:
+                gone.update(range(at, at + length))
+        want[i] = (len(w), len(gone), hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest())
+    monkeypatch.setattr(substring_dedup, "FREQUENT", frequent)
+    monkeypatch.setattr(substring_dedup, "ONE_IN", 1)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(frame).collect()}
+    assert got == want and sum(x[1] for x in want.values()) > 1000
+    keyed = substring_dedup._keyed(frame, "doc_id", "text")
+    assert (len(substring_dedup.frequent_anchors(keyed)) > 0) == (frequent < 1 << 40)
