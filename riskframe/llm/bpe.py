@@ -16,9 +16,12 @@ tokens; repeated rows give equal results; extra columns are not read.
 from __future__ import annotations
 
 import base64
+import copy
 import re
 import sys
+import weakref
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +90,12 @@ class BytePairCodec:
         self._matches = automaton.iter
         self._pieces = _PieceCache(self._encode_piece)
 
+    def fresh(self) -> BytePairCodec:
+        """The same tables with nothing remembered yet."""
+        other = copy.copy(self)
+        other._fits, other._pieces = {}, _PieceCache(other._encode_piece)
+        return other
+
     def _learn_merge(self, token: bytes, rank: int) -> bool:
         if len(token) == 1:
             self._halves[rank] = (rank, rank)
@@ -183,10 +192,10 @@ class BytePairCodec:
 class _PieceCache(dict):
     def __init__(self, make):
         super().__init__()
-        self._make = make
+        self._make = weakref.WeakMethod(make)  # no cycle: goes with its codec at once
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._make(piece)
+        ids = self._make()(piece)
         if len(piece) <= 64:
             if len(self) >= PIECE_CACHE:
                 self.clear()
@@ -205,6 +214,18 @@ def _codec(ranks: dict[bytes, int], pattern: str) -> BytePairCodec:
     return _codecs[key]
 
 
+class Vocabulary:
+    """What is broadcast.  A worker's codec hangs on its broadcast: pieces remembered
+    for one job are let go when the worker serves a job without it."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.ranks, self.pattern = ranks, pattern
+
+    @cached_property
+    def codec(self) -> BytePairCodec:
+        return _codec(self.ranks, self.pattern).fresh()
+
+
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
                      text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Per row: id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked
@@ -212,12 +233,12 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     its size is that of the vocabulary file, not of the data."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast((ranks, pattern))
+    shared = spark.sparkContext.broadcast(Vocabulary(ranks, pattern))
     schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids binary" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(*shared.value)
+        codec = shared.value.codec
         for batch in batches:
             n, ids_sha, back_sha, kept = [], [], [], []
             for text in batch.column(1):
