@@ -8,8 +8,14 @@ a question whose numbers or names were replaced still meets its original.  A
 placeholder keeps its original string as a slot value: within a document and item, an
 item's slot value must always be replaced by the same value, and windows that break
 that are dropped; the value that counts is the one at the shift (document position
-less item position) with most matched windows, then the most frequent one.  A document is contaminated by an
-item when at least ``coverage`` of the item's windows are left.
+less item position) with most matched windows, then the most frequent one.
+
+Names are told by their capitals, so a copy in other case has other templates.  Both
+sides are therefore read in two forms: ``TYPED`` as above, and ``PLAIN`` with names left
+as lower-cased words.  A document is also contaminated when the share reaches ``coverage``
+with each typed window counted that is left in the typed form or whose plain window,
+the one that starts at the same letter, is; or when that share of the item's plain
+windows is left.  The figures reported are the first of the three that suffice.
 
 Only DataFrame and SQL functions run.  The benchmark's windows are broadcast only if
 counted at ``BROADCAST_WINDOWS`` or fewer; beyond that the join shuffles.
@@ -23,14 +29,18 @@ columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm._common import cut, hold, pick, table
+from riskframe.llm._common import cut, pick, table
 
 WINDOW, LITERAL, COVERAGE = 5, 3, 0.6
 #: Rows of (hash, item, position, slots), about 100 bytes each, up to which they are broadcast.
 BROADCAST_WINDOWS = 300_000
+#: The forms a text is read in, as positions in ``_forms``.
+TYPED, PLAIN = 0, 1
+#: What is counted, in the order of the report: typed windows, typed windows matched in either form, plain windows.
+BY_TYPED, BY_EITHER, BY_PLAIN = 0, 1, 2
 
 #: Unit names that may follow a number.
 UNITS = ("km", "cm", "mm", "m", "mi", "ft", "kg", "g", "mg", "lb", "oz", "l", "ml", "s", "ms", "min", "h", "hours", "minutes",
@@ -46,55 +56,81 @@ NAMES = r"([\p{Ll}\p{Nd},;:] )(\p{Lu}\p{L}+(?:['-]\p{L}+)*(?: \p{Lu}\p{L}+(?:['-
 TOKENS = rf"[{NUM}{UNIT}{NAME}][^{END}]*|[\p{{L}}\p{{Nd}}]+"
 
 
-def _tokens(text):
+def _tokens(text, names: bool = True):
     """Lower-cased canonical tokens; a placeholder is followed by its slot value."""
     t = F.regexp_replace(F.coalesce(text, F.lit("")), RESERVED, " ")
-    t = F.regexp_replace(t, NAMES, f"$1{NAME}$2{END}")
+    t = F.regexp_replace(t, NAMES, f"$1{NAME}$2{END}") if names else t
     t = F.regexp_replace(t, NUMBERS, f"{NUM}$0{END}")
     t = F.regexp_replace(t, UNIT_WORDS, f"$1{UNIT}$2{END}")
     t = F.regexp_replace(t, SIGNS, f"{UNIT}$0{END}")
     return F.regexp_extract_all(F.lower(t), F.lit(TOKENS), F.lit(0))
 
 
+def _forms(text):
+    return F.array(_tokens(text), _tokens(text, names=False))
+
+
 def _windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
-    """(id, pos, h, slots): every window of canonical tokens, slots null where it has none."""
+    """(id, form, pos, h, slots, first): every window of canonical tokens of both forms, slots null
+    where it has none; ``first`` is its first token."""
     slot = lambda t: (t >= F.lit(NUM)) & (t < F.lit(END))
-    df = hold(df, "tokens", _tokens(F.col("text"))).select(id_col, "tokens").filter(F.size("tokens") >= window)
+    df = df.select(id_col, F.posexplode(_forms(F.col("text"))).alias("form", "tokens")).filter(F.size("tokens") >= window)
     df = df.withColumn("any", F.exists("tokens", slot))
     df = df.withColumn("canon", F.when(F.col("any"), F.transform("tokens", lambda t: F.when(slot(t), F.substring(t, 1, 1)).otherwise(t)))
                        .otherwise(F.col("tokens")))
     one = lambda i: F.struct(
-        F.xxhash64(*[F.get("canon", i + j) for j in range(window)]).alias("h"),
-        F.when(F.col("any"), F.filter(F.slice("tokens", i + 1, window), slot)).alias("slots"))
+        F.xxhash64("form", *[F.get("canon", i + j) for j in range(window)]).alias("h"),
+        F.when(F.col("any"), F.filter(F.slice("tokens", i + 1, window), slot)).alias("slots"), F.get("tokens", i).alias("first"))
     windows = F.transform(F.sequence(F.lit(0), F.size("tokens") - window), one)
-    out = df.select(id_col, F.posexplode(windows).alias("pos", "w")).select(id_col, "pos", "w.h", "w.slots")
+    out = df.select(id_col, "form", F.posexplode(windows).alias("pos", "w")).select(id_col, "form", "pos", "w.h", "w.slots", "w.first")
     return out.withColumn("slots", F.when(F.size("slots") > 0, F.col("slots")))
 
 
+def _item_windows(items: DataFrame, window: int, literal: int) -> DataFrame:
+    """The items' windows that are evidence, (item_id, form, item_pos, typed_pos, h, item_slots): ``typed_pos``
+    is the typed window that starts where a plain one does.  Both forms hold the same letters and
+    digits, so a place is how many of them lie before it."""
+    letters = F.length(F.regexp_replace("first", r"[^\p{L}\p{Nd}]", ""))
+    before = F.sum(letters).over(Window.partitionBy("item_id", "form").orderBy("pos")) - letters
+    w = _windows(items, "item_id", window).withColumn("place", 2 * before + F.when(letters > 0, 1).otherwise(0))
+    w = cut(w.filter(F.coalesce(F.size("slots"), F.lit(0)) <= window - literal)
+            .select("item_id", "form", F.col("pos").alias("item_pos"), "place", "h", F.col("slots").alias("item_slots")))
+    typed = w.filter(F.col("form") == TYPED).groupBy("item_id", "place").agg(F.min("item_pos").alias("typed_pos"))
+    typed = typed.withColumn("form", F.lit(PLAIN))
+    return cut(w.join(typed, ["item_id", "form", "place"], "left").drop("place"))
+
+
 def leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, literal: int = LITERAL, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, share): the contaminated pairs."""
     items = pick(bench, "item_id", "text").filter("item_id is not null")
-    bw = cut(_windows(items, "item_id", window).filter(F.coalesce(F.size("slots"), F.lit(0)) <= window - literal))
-    totals = bw.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    n = bw.count()
-    right = bw.select("item_id", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"))
+    right = _item_windows(items, window, literal)
+    totals = (right.withColumn("by", F.explode(F.when(F.col("form") == TYPED, F.array(F.lit(BY_TYPED), F.lit(BY_EITHER))).otherwise(F.array(F.lit(BY_PLAIN)))))
+              .groupBy("item_id", "by").agg(F.count("*").alias("n_windows")))
+    n = right.count()
     right = F.broadcast(right) if n <= BROADCAST_WINDOWS else right
-    found = _windows(pick(docs, "doc_id", "text").filter("doc_id is not null"), "doc_id", window).join(right, "h")
-    found = found.withColumn("shift", F.col("pos") - F.col("item_pos"))
-    # one row per document, item, item window, shift and slot values: repeats go before anything moves
-    found = cut(found.groupBy("doc_id", "item_id", "item_pos", "shift", "item_slots", "slots").agg(F.count("*").alias("times")))
-    along = found.groupBy("doc_id", "item_id", "shift").agg(F.count_distinct("item_pos").alias("along"))
-    pairs = (found.filter("slots is not null").join(along, ["doc_id", "item_id", "shift"])
-             .select("doc_id", "item_id", "times", "along", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
-             .groupBy("doc_id", "item_id", F.col("z.item_slots").alias("item_slot"), F.col("z.slots").alias("slot"))
+    left = _windows(pick(docs, "doc_id", "text").filter("doc_id is not null"), "doc_id", window).drop("form", "first")
+    found = left.join(right, "h").withColumn("shift", F.col("pos") - F.col("item_pos"))
+    # one row per document, item, form, item window, shift and slot values: repeats go before anything moves
+    found = cut(found.groupBy("doc_id", "item_id", "form", "item_pos", "typed_pos", "shift", "item_slots", "slots").agg(F.count("*").alias("times")))
+    pair = ["doc_id", "item_id", "form"]
+    along = found.groupBy(*pair, "shift").agg(F.count_distinct("item_pos").alias("along"))
+    pairs = (found.filter("slots is not null").join(along, [*pair, "shift"])
+             .select(*pair, "times", "along", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
+             .groupBy(*pair, F.col("z.item_slots").alias("item_slot"), F.col("z.slots").alias("slot"))
              .agg(F.max("along").alias("along"), F.sum("times").alias("times")))
-    chosen = (pairs.groupBy("doc_id", "item_id", "item_slot").agg(F.max_by("slot", F.struct("along", "times", "slot")).alias("slot"))
-              .groupBy("doc_id", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("item_slot", "slot"))).alias("replaced")))
-    checked = found.join(chosen, ["doc_id", "item_id"], "left").filter(
+    chosen = (pairs.groupBy(*pair, "item_slot").agg(F.max_by("slot", F.struct("along", "times", "slot")).alias("slot"))
+              .groupBy(*pair).agg(F.map_from_entries(F.collect_list(F.struct("item_slot", "slot"))).alias("replaced")))
+    checked = found.join(chosen, pair, "left").filter(
         F.col("slots").isNull() | F.forall(F.arrays_zip("item_slots", "slots"), lambda z: F.element_at("replaced", z["item_slots"]) == z["slots"]))
-    matched = checked.groupBy("doc_id", "item_id").agg(F.count_distinct("item_pos").alias("n_matched"))
-    return (matched.join(totals, "item_id").withColumn("share", F.col("n_matched") / F.col("n_windows"))
-            .filter(F.col("share") >= coverage).select("doc_id", "item_id", "n_windows", "n_matched", "share"))
+    count = lambda by, at: F.struct(F.lit(by).alias("by"), F.col(at).alias("at"))
+    counted = F.when(F.col("form") == TYPED, F.array(count(BY_TYPED, "item_pos"), count(BY_EITHER, "item_pos"))).otherwise(
+        F.array(count(BY_EITHER, "typed_pos"), count(BY_PLAIN, "item_pos")))
+    matched = (checked.select("doc_id", "item_id", F.explode(counted).alias("c")).filter("c.at is not null")
+               .groupBy("doc_id", "item_id", "c.by").agg(F.count_distinct("c.at").alias("n_matched")))
+    shares = (matched.join(totals, ["item_id", "by"]).withColumn("share", F.col("n_matched") / F.col("n_windows"))
+              .filter(F.col("share") >= coverage))
+    return (shares.groupBy("doc_id", "item_id").agg(F.min_by(F.struct("n_windows", "n_matched", "share"), "by").alias("s"))
+            .select("doc_id", "item_id", "s.*"))
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
