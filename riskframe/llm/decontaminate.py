@@ -22,7 +22,9 @@ counted at ``BROADCAST_WINDOWS`` or fewer; beyond that the join shuffles.
 
 Defined results: null or empty texts have no windows; benchmark windows with fewer
 than ``literal`` tokens that are no placeholder are no evidence and are left out; an
-item without any window never matches; repeated document rows with one id count as
+item without any window never matches; repeated benchmark rows count once, and different
+texts under one item id are searched one by one (told apart by a 64-bit hash), of which
+the one with the greatest share is reported; repeated document rows with one id count as
 one document (windows found in any); rows whose id is null are not reported; extra
 columns are not read.
 """
@@ -39,6 +41,8 @@ WINDOW, LITERAL, COVERAGE = 5, 3, 0.6
 BROADCAST_WINDOWS = 300_000
 #: The forms a text is read in, as positions in ``_forms``.
 TYPED, PLAIN = 0, 1
+#: What tells one benchmark text from another.
+ITEM = ["item_id", "item_text"]
 #: What is counted, in the order of the report: typed windows, typed windows matched in either form, plain windows.
 BY_TYPED, BY_EITHER, BY_PLAIN = 0, 1, 2
 
@@ -70,11 +74,11 @@ def _forms(text):
     return F.array(_tokens(text), _tokens(text, names=False))
 
 
-def _windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
-    """(id, form, pos, h, slots, first): every window of canonical tokens of both forms, slots null
+def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
+    """(keys, form, pos, h, slots, first): every window of canonical tokens of both forms, slots null
     where it has none; ``first`` is its first token."""
     slot = lambda t: (t >= F.lit(NUM)) & (t < F.lit(END))
-    df = df.select(id_col, F.posexplode(_forms(F.col("text"))).alias("form", "tokens")).filter(F.size("tokens") >= window)
+    df = df.select(*keys, F.posexplode(_forms(F.col("text"))).alias("form", "tokens")).filter(F.size("tokens") >= window)
     df = df.withColumn("any", F.exists("tokens", slot))
     df = df.withColumn("canon", F.when(F.col("any"), F.transform("tokens", lambda t: F.when(slot(t), F.substring(t, 1, 1)).otherwise(t)))
                        .otherwise(F.col("tokens")))
@@ -82,37 +86,37 @@ def _windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
         F.xxhash64("form", *[F.get("canon", i + j) for j in range(window)]).alias("h"),
         F.when(F.col("any"), F.filter(F.slice("tokens", i + 1, window), slot)).alias("slots"), F.get("tokens", i).alias("first"))
     windows = F.transform(F.sequence(F.lit(0), F.size("tokens") - window), one)
-    out = df.select(id_col, "form", F.posexplode(windows).alias("pos", "w")).select(id_col, "form", "pos", "w.h", "w.slots", "w.first")
+    out = df.select(*keys, "form", F.posexplode(windows).alias("pos", "w")).select(*keys, "form", "pos", "w.h", "w.slots", "w.first")
     return out.withColumn("slots", F.when(F.size("slots") > 0, F.col("slots")))
 
 
 def _item_windows(items: DataFrame, window: int, literal: int) -> DataFrame:
-    """The items' windows that are evidence, (item_id, form, item_pos, typed_pos, h, item_slots): ``typed_pos``
+    """The items' windows that are evidence, (ITEM, form, item_pos, typed_pos, h, item_slots): ``typed_pos``
     is the typed window that starts where a plain one does.  Both forms hold the same letters and
     digits, so a place is how many of them lie before it."""
     letters = F.length(F.regexp_replace("first", r"[^\p{L}\p{Nd}]", ""))
-    before = F.sum(letters).over(Window.partitionBy("item_id", "form").orderBy("pos")) - letters
-    w = _windows(items, "item_id", window).withColumn("place", 2 * before + F.when(letters > 0, 1).otherwise(0))
+    before = F.sum(letters).over(Window.partitionBy(*ITEM, "form").orderBy("pos")) - letters
+    w = _windows(items, ITEM, window).withColumn("place", 2 * before + F.when(letters > 0, 1).otherwise(0))
     w = cut(w.filter(F.coalesce(F.size("slots"), F.lit(0)) <= window - literal)
-            .select("item_id", "form", F.col("pos").alias("item_pos"), "place", "h", F.col("slots").alias("item_slots")))
-    typed = w.filter(F.col("form") == TYPED).groupBy("item_id", "place").agg(F.min("item_pos").alias("typed_pos"))
+            .select(*ITEM, "form", F.col("pos").alias("item_pos"), "place", "h", F.col("slots").alias("item_slots")))
+    typed = w.filter(F.col("form") == TYPED).groupBy(*ITEM, "place").agg(F.min("item_pos").alias("typed_pos"))
     typed = typed.withColumn("form", F.lit(PLAIN))
-    return cut(w.join(typed, ["item_id", "form", "place"], "left").drop("place"))
+    return cut(w.join(typed, [*ITEM, "form", "place"], "left").drop("place"))
 
 
 def leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, literal: int = LITERAL, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, share): the contaminated pairs."""
-    items = pick(bench, "item_id", "text").filter("item_id is not null")
+    items = pick(bench, "item_id", "text").filter("item_id is not null").distinct().withColumn("item_text", F.xxhash64("text"))
     right = _item_windows(items, window, literal)
     totals = (right.withColumn("by", F.explode(F.when(F.col("form") == TYPED, F.array(F.lit(BY_TYPED), F.lit(BY_EITHER))).otherwise(F.array(F.lit(BY_PLAIN)))))
-              .groupBy("item_id", "by").agg(F.count("*").alias("n_windows")))
+              .groupBy(*ITEM, "by").agg(F.count("*").alias("n_windows")))
     n = right.count()
     right = F.broadcast(right) if n <= BROADCAST_WINDOWS else right
-    left = _windows(pick(docs, "doc_id", "text").filter("doc_id is not null"), "doc_id", window).drop("form", "first")
+    left = _windows(pick(docs, "doc_id", "text").filter("doc_id is not null"), ["doc_id"], window).drop("form", "first")
     found = left.join(right, "h").withColumn("shift", F.col("pos") - F.col("item_pos"))
     # one row per document, item, form, item window, shift and slot values: repeats go before anything moves
-    found = cut(found.groupBy("doc_id", "item_id", "form", "item_pos", "typed_pos", "shift", "item_slots", "slots").agg(F.count("*").alias("times")))
-    pair = ["doc_id", "item_id", "form"]
+    found = cut(found.groupBy("doc_id", *ITEM, "form", "item_pos", "typed_pos", "shift", "item_slots", "slots").agg(F.count("*").alias("times")))
+    pair = ["doc_id", *ITEM, "form"]
     along = found.groupBy(*pair, "shift").agg(F.count_distinct("item_pos").alias("along"))
     pairs = (found.filter("slots is not null").join(along, [*pair, "shift"])
              .select(*pair, "times", "along", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
@@ -125,12 +129,13 @@ def leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, literal: int
     count = lambda by, at: F.struct(F.lit(by).alias("by"), F.col(at).alias("at"))
     counted = F.when(F.col("form") == TYPED, F.array(count(BY_TYPED, "item_pos"), count(BY_EITHER, "item_pos"))).otherwise(
         F.array(count(BY_EITHER, "typed_pos"), count(BY_PLAIN, "item_pos")))
-    matched = (checked.select("doc_id", "item_id", F.explode(counted).alias("c")).filter("c.at is not null")
-               .groupBy("doc_id", "item_id", "c.by").agg(F.count_distinct("c.at").alias("n_matched")))
-    shares = (matched.join(totals, ["item_id", "by"]).withColumn("share", F.col("n_matched") / F.col("n_windows"))
+    matched = (checked.select("doc_id", *ITEM, F.explode(counted).alias("c")).filter("c.at is not null")
+               .groupBy("doc_id", *ITEM, "c.by").agg(F.count_distinct("c.at").alias("n_matched")))
+    shares = (matched.join(totals, [*ITEM, "by"]).withColumn("share", F.col("n_matched") / F.col("n_windows"))
               .filter(F.col("share") >= coverage))
-    return (shares.groupBy("doc_id", "item_id").agg(F.min_by(F.struct("n_windows", "n_matched", "share"), "by").alias("s"))
-            .select("doc_id", "item_id", "s.*"))
+    best = (shares.groupBy("doc_id", *ITEM).agg(F.min_by(F.struct("share", "n_windows", "n_matched"), "by").alias("s"))
+            .groupBy("doc_id", "item_id").agg(F.max("s").alias("s")))
+    return best.select("doc_id", "item_id", "s.n_windows", "s.n_matched", "s.share")
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:

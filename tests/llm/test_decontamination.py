@@ -27,3 +27,11 @@ def test_item_in_other_case_and_copy_partly_in_capitals(spark):
     docs = spark.createDataFrame([(1, item.lower()), (2, half), (3, "a farmer sold apples in town and nothing else of it is here")], DOCS)
     got = pairs(docs, spark.createDataFrame([(1, item), (2, item.upper())], ITEMS))
     assert set(got) == {(1, 1), (1, 2), (2, 1), (2, 2)}
+
+
+def test_repeated_rows_and_two_texts_under_one_id(spark):
+    one = "the quick brown fox jumps over the lazy dog near the river bank every single morning"
+    two = "seven old sailors sang quiet songs about distant harbours while the storm came closer to shore"
+    docs = spark.createDataFrame([(1, "so " + one + " again"), (2, "so " + two + " again"), (3, "neither of them is to be found in here at all")], DOCS)
+    bench = spark.createDataFrame([(1, one), (1, one), (1, one), (2, one), (2, two), (2, None)], ITEMS)
+    assert pairs(docs, bench) == {(1, 1): 1.0, (1, 2): 1.0, (2, 2): 1.0}
