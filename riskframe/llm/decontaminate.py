@@ -22,7 +22,10 @@ counted at ``BROADCAST_WINDOWS`` or fewer; beyond that the join shuffles.
 
 Defined results: null or empty texts have no windows; benchmark windows with fewer
 than ``literal`` tokens that are no placeholder are no evidence and are left out; an
-item without any window never matches; repeated benchmark rows count once, and different
+item that has no other window in either form (short questions, rows of numbers) is
+searched word for word, case ignored, by its windows of plain tokens with their slot
+values, which are as long as the item if that is shorter, so an item of one word meets
+every document with that word; an item without any token never matches; repeated benchmark rows count once, and different
 texts under one item id are searched one by one (told apart by a 64-bit hash), of which
 the one with the greatest share is reported; repeated document rows with one id count as
 one document (windows found in any); rows whose id is null are not reported; extra
@@ -34,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm._common import cut, pick, table
+from riskframe.llm._common import cut, hold, pick, table
 
 WINDOW, LITERAL, COVERAGE = 5, 3, 0.6
 #: Rows of (hash, item, position, slots), about 100 bytes each, up to which they are broadcast.
@@ -104,15 +107,39 @@ def _item_windows(items: DataFrame, window: int, literal: int) -> DataFrame:
     return cut(w.join(typed, [*ITEM, "form", "place"], "left").drop("place"))
 
 
+def _exact(docs: DataFrame, items: DataFrame, keys: list[str], window: int) -> DataFrame | None:
+    """(keys, ITEM, n_windows, n_matched): documents with windows of the items' own tokens and slot
+    values; None if no item has a token."""
+    def windows(df: DataFrame, names: list[str], sizes: list[int], fits) -> DataFrame:
+        one = lambda n: lambda i: F.xxhash64(F.lit(n), *[F.get("tokens", i + j) for j in range(n)])
+        by_size = [F.when(fits(n), F.transform(F.sequence(F.lit(0), F.size("tokens") - n), one(n))).otherwise(F.array().cast("array<bigint>"))
+                   for n in sizes]
+        return df.select(*names, F.posexplode(F.flatten(F.array(*by_size))).alias("pos", "h"))
+
+    read = lambda df, names: hold(df, "tokens", _tokens(F.col("text"), names=False)).select(*names, "tokens").filter(F.size("tokens") > 0)
+    items = cut(read(items, ITEM).withColumn("n", F.least(F.size("tokens"), F.lit(window))))
+    sizes = sorted(r["n"] for r in items.select("n").distinct().collect())
+    if not sizes:
+        return None
+    right = cut(windows(items, ITEM, sizes, lambda n: F.col("n") == n).withColumnRenamed("pos", "item_pos"))
+    totals = right.groupBy(*ITEM).agg(F.count("*").alias("n_windows"))
+    right = F.broadcast(right) if right.count() <= BROADCAST_WINDOWS else right
+    found = windows(read(docs, keys), keys, sizes, lambda n: F.size("tokens") >= n).join(right, "h")
+    matched = found.groupBy(*keys, *ITEM).agg(F.count_distinct("item_pos").alias("n_matched"))
+    return matched.join(totals, ITEM)
+
+
 def leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, literal: int = LITERAL, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, share): the contaminated pairs."""
     items = pick(bench, "item_id", "text").filter("item_id is not null").distinct().withColumn("item_text", F.xxhash64("text"))
+    docs = pick(docs, "doc_id", "text").filter("doc_id is not null")
     right = _item_windows(items, window, literal)
     totals = (right.withColumn("by", F.explode(F.when(F.col("form") == TYPED, F.array(F.lit(BY_TYPED), F.lit(BY_EITHER))).otherwise(F.array(F.lit(BY_PLAIN)))))
               .groupBy(*ITEM, "by").agg(F.count("*").alias("n_windows")))
+    exact = _exact(docs, items.join(right.select(*ITEM).distinct(), ITEM, "left_anti"), ["doc_id"], window)
     n = right.count()
     right = F.broadcast(right) if n <= BROADCAST_WINDOWS else right
-    left = _windows(pick(docs, "doc_id", "text").filter("doc_id is not null"), ["doc_id"], window).drop("form", "first")
+    left = _windows(docs, ["doc_id"], window).drop("form", "first")
     found = left.join(right, "h").withColumn("shift", F.col("pos") - F.col("item_pos"))
     # one row per document, item, form, item window, shift and slot values: repeats go before anything moves
     found = cut(found.groupBy("doc_id", *ITEM, "form", "item_pos", "typed_pos", "shift", "item_slots", "slots").agg(F.count("*").alias("times")))
@@ -133,8 +160,11 @@ def leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, literal: int
                .groupBy("doc_id", *ITEM, "c.by").agg(F.count_distinct("c.at").alias("n_matched")))
     shares = (matched.join(totals, [*ITEM, "by"]).withColumn("share", F.col("n_matched") / F.col("n_windows"))
               .filter(F.col("share") >= coverage))
-    best = (shares.groupBy("doc_id", *ITEM).agg(F.min_by(F.struct("share", "n_windows", "n_matched"), "by").alias("s"))
-            .groupBy("doc_id", "item_id").agg(F.max("s").alias("s")))
+    best = shares.groupBy("doc_id", *ITEM).agg(F.min_by(F.struct("share", "n_windows", "n_matched"), "by").alias("s"))
+    if exact is not None:
+        exact = exact.withColumn("s", F.struct((F.col("n_matched") / F.col("n_windows")).alias("share"), "n_windows", "n_matched"))
+        best = best.unionByName(exact.select("doc_id", *ITEM, "s").filter(F.col("s.share") >= coverage))
+    best = best.groupBy("doc_id", "item_id").agg(F.max("s").alias("s"))
     return best.select("doc_id", "item_id", "s.n_windows", "s.n_matched", "s.share")
 
 

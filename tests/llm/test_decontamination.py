@@ -35,3 +35,10 @@ def test_repeated_rows_and_two_texts_under_one_id(spark):
     docs = spark.createDataFrame([(1, "so " + one + " again"), (2, "so " + two + " again"), (3, "neither of them is to be found in here at all")], DOCS)
     bench = spark.createDataFrame([(1, one), (1, one), (1, one), (2, one), (2, two), (2, None)], ITEMS)
     assert pairs(docs, bench) == {(1, 1): 1.0, (1, 2): 1.0, (2, 2): 1.0}
+
+
+def test_items_without_evidence_windows_are_searched_word_for_word(spark):
+    bench = spark.createDataFrame([(1, "Who wrote Pride?"), (2, "3 4 5 6 7 8 9 10"), (3, "12 + 30 = 42"), (4, "?!"), (5, None)], ITEMS)
+    docs = spark.createDataFrame([(1, "They asked: WHO WROTE PRIDE and left."), (2, "count 3, 4, 5, 6, 7, 8, 9, 10 now"), (3, "so 12 + 30 = 42 holds"),
+                                  (4, "who wrote it with pride"), (5, "count 3 4 5 6 8 9 10 11 now"), (6, "so 12 + 31 = 43 holds"), (7, None), (8, "")], DOCS)
+    assert pairs(docs, bench) == {(1, 1): 1.0, (2, 2): 1.0, (3, 3): 1.0}
