@@ -103,11 +103,11 @@ def located(df: DataFrame) -> DataFrame:
     return df.select(*[df[c] for c in df.columns], F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
 
 
-def only_at(df: DataFrame, spots: DataFrame) -> DataFrame:
-    """The rows of a file-backed ``df`` that lie at ``spots`` (_path, _row); columns of ``df`` may have
-    any names, also those of the locators."""
+def only_at(df: DataFrame, spots: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of a file-backed ``df`` that lie at ``spots`` (_path, _row), or with ``left_anti`` those
+    that do not; columns of ``df`` may have any names, also those of the locators."""
     numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return located(numbered).join(spots, ["_path", "_row"], "left_semi").select(*numbered.columns).toDF(*df.columns)
+    return located(numbered).join(spots, ["_path", "_row"], how).select(*numbered.columns).toDF(*df.columns)
 
 
 def shared_rows(df: DataFrame, name: str) -> str:

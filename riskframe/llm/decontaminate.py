@@ -29,7 +29,8 @@ every document with that word; an item without any token never matches; repeated
 texts under one item id are searched one by one (told apart by a 64-bit hash), of which
 the one with the greatest share is reported; repeated document rows with one id count as
 one document (windows found in any); rows whose id is null are not reported; extra
-columns are not read.
+columns are not read.  ``drop_contaminated`` decides each row by its own text, whatever
+its id.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm._common import cut, hold, pick, table
+from riskframe.llm._common import cut, file_backed, hold, located, only_at, pick, table
 
 WINDOW, LITERAL, COVERAGE = 5, 3, 0.6
 #: Rows of (hash, item, position, slots), about 100 bytes each, up to which they are broadcast.
@@ -129,21 +130,20 @@ def _exact(docs: DataFrame, items: DataFrame, keys: list[str], window: int) -> D
     return matched.join(totals, ITEM)
 
 
-def leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, literal: int = LITERAL, coverage: float = COVERAGE) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_matched, share): the contaminated pairs."""
+def _leaks(docs: DataFrame, keys: list[str], bench: DataFrame, window: int, literal: int, coverage: float) -> DataFrame:
+    """(keys, item_id, n_windows, n_matched, share) of ``docs`` (keys, text)."""
     items = pick(bench, "item_id", "text").filter("item_id is not null").distinct().withColumn("item_text", F.xxhash64("text"))
-    docs = pick(docs, "doc_id", "text").filter("doc_id is not null")
     right = _item_windows(items, window, literal)
     totals = (right.withColumn("by", F.explode(F.when(F.col("form") == TYPED, F.array(F.lit(BY_TYPED), F.lit(BY_EITHER))).otherwise(F.array(F.lit(BY_PLAIN)))))
               .groupBy(*ITEM, "by").agg(F.count("*").alias("n_windows")))
-    exact = _exact(docs, items.join(right.select(*ITEM).distinct(), ITEM, "left_anti"), ["doc_id"], window)
+    exact = _exact(docs, items.join(right.select(*ITEM).distinct(), ITEM, "left_anti"), keys, window)
     n = right.count()
     right = F.broadcast(right) if n <= BROADCAST_WINDOWS else right
-    left = _windows(docs, ["doc_id"], window).drop("form", "first")
+    left = _windows(docs, keys, window).drop("form", "first")
     found = left.join(right, "h").withColumn("shift", F.col("pos") - F.col("item_pos"))
     # one row per document, item, form, item window, shift and slot values: repeats go before anything moves
-    found = cut(found.groupBy("doc_id", *ITEM, "form", "item_pos", "typed_pos", "shift", "item_slots", "slots").agg(F.count("*").alias("times")))
-    pair = ["doc_id", *ITEM, "form"]
+    found = cut(found.groupBy(*keys, *ITEM, "form", "item_pos", "typed_pos", "shift", "item_slots", "slots").agg(F.count("*").alias("times")))
+    pair = [*keys, *ITEM, "form"]
     along = found.groupBy(*pair, "shift").agg(F.count_distinct("item_pos").alias("along"))
     pairs = (found.filter("slots is not null").join(along, [*pair, "shift"])
              .select(*pair, "times", "along", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
@@ -156,22 +156,28 @@ def leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, literal: int
     count = lambda by, at: F.struct(F.lit(by).alias("by"), F.col(at).alias("at"))
     counted = F.when(F.col("form") == TYPED, F.array(count(BY_TYPED, "item_pos"), count(BY_EITHER, "item_pos"))).otherwise(
         F.array(count(BY_EITHER, "typed_pos"), count(BY_PLAIN, "item_pos")))
-    matched = (checked.select("doc_id", *ITEM, F.explode(counted).alias("c")).filter("c.at is not null")
-               .groupBy("doc_id", *ITEM, "c.by").agg(F.count_distinct("c.at").alias("n_matched")))
+    matched = (checked.select(*keys, *ITEM, F.explode(counted).alias("c")).filter("c.at is not null")
+               .groupBy(*keys, *ITEM, "c.by").agg(F.count_distinct("c.at").alias("n_matched")))
     shares = (matched.join(totals, [*ITEM, "by"]).withColumn("share", F.col("n_matched") / F.col("n_windows"))
               .filter(F.col("share") >= coverage))
-    best = shares.groupBy("doc_id", *ITEM).agg(F.min_by(F.struct("share", "n_windows", "n_matched"), "by").alias("s"))
+    best = shares.groupBy(*keys, *ITEM).agg(F.min_by(F.struct("share", "n_windows", "n_matched"), "by").alias("s"))
     if exact is not None:
         exact = exact.withColumn("s", F.struct((F.col("n_matched") / F.col("n_windows")).alias("share"), "n_windows", "n_matched"))
-        best = best.unionByName(exact.select("doc_id", *ITEM, "s").filter(F.col("s.share") >= coverage))
-    best = best.groupBy("doc_id", "item_id").agg(F.max("s").alias("s"))
-    return best.select("doc_id", "item_id", "s.n_windows", "s.n_matched", "s.share")
+        best = best.unionByName(exact.select(*keys, *ITEM, "s").filter(F.col("s.share") >= coverage))
+    best = best.groupBy(*keys, "item_id").agg(F.max("s").alias("s"))
+    return best.select(*keys, "item_id", "s.n_windows", "s.n_matched", "s.share")
+
+
+def leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, literal: int = LITERAL, coverage: float = COVERAGE) -> DataFrame:
+    """(doc_id, item_id, n_windows, n_matched, share): the contaminated pairs."""
+    return _leaks(pick(docs, "doc_id", "text").filter("doc_id is not null"), ["doc_id"], bench, window, literal, coverage)
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with all their columns."""
-    bad = leaks(docs, bench).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    docs = file_backed(docs)
+    bad = _leaks(located(pick(docs, "text")), ["_path", "_row"], bench, WINDOW, LITERAL, COVERAGE).select("_path", "_row").distinct()
+    return only_at(docs, bad, "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,3 +42,13 @@ def test_items_without_evidence_windows_are_searched_word_for_word(spark):
     docs = spark.createDataFrame([(1, "They asked: WHO WROTE PRIDE and left."), (2, "count 3, 4, 5, 6, 7, 8, 9, 10 now"), (3, "so 12 + 30 = 42 holds"),
                                   (4, "who wrote it with pride"), (5, "count 3 4 5 6 8 9 10 11 now"), (6, "so 12 + 31 = 43 holds"), (7, None), (8, "")], DOCS)
     assert pairs(docs, bench) == {(1, 1): 1.0, (2, 2): 1.0, (3, 3): 1.0}
+
+
+def test_rows_are_dropped_by_their_own_text(spark):
+    item = "the quick brown fox jumps over the lazy dog near the river bank every single morning"
+    half = len(item.split()) // 2
+    first, second = " ".join(item.split()[:half + 2]), " ".join(item.split()[half - 2:])
+    rows = [(None, item, "a"), (None, "clean words only", "b"), (1, item, "c"), (1, "clean words only", "d"), (2, first, "e"), (2, second, "f"), (3, None, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _path string")
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], ITEMS))
+    assert kept.columns == docs.columns and sorted(r["_path"] for r in kept.collect()) == ["b", "d", "e", "f", "g"]
