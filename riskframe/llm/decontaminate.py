@@ -43,8 +43,8 @@ from riskframe.llm._common import cut, file_backed, hold, located, only_at, pick
 WINDOW, LITERAL, COVERAGE = 5, 3, 0.6
 #: Rows of (hash, item, position, slots), about 100 bytes each, up to which they are broadcast.
 BROADCAST_WINDOWS = 300_000
-#: The forms a text is read in, as positions in ``_forms``.
-TYPED, PLAIN = 0, 1
+#: The forms a text is read in, as positions in ``_forms``; a text without names is read once, as both.
+TYPED, PLAIN, BOTH = 0, 1, 2
 #: What tells one benchmark text from another.
 ITEM = ["item_id", "item_text"]
 #: What is counted, in the order of the report: typed windows, typed windows matched in either form, plain windows.
@@ -57,10 +57,14 @@ UNITS = ("km", "cm", "mm", "m", "mi", "ft", "kg", "g", "mg", "lb", "oz", "l", "m
 # Placeholders: number, unit, name; the last one ends a slot value.
 NUM, UNIT, NAME, END = (chr(c) for c in (0xE000, 0xE001, 0xE002, 0xE003))
 RESERVED = f"[{NUM}{UNIT}{NAME}{END}]"
-NUMBERS = r"[0-9]+(?:[.,:][0-9]+)*"
+#: Possessive, which matches the same since nothing follows the repetitions: a plain repeated group takes a
+#: stack frame a turn, and a text of some thousand capitalised words or joined numbers ends the JVM's stack.
+NUMBERS = r"[0-9]++(?:[.,:][0-9]++)*+"
 UNIT_WORDS = rf"({END} ?)((?i:{'|'.join(sorted(UNITS, key=lambda u: (-len(u), u)))})\b|[%°])"
 SIGNS = r"[$€£¥]"
-NAMES = r"([\p{Ll}\p{Nd},;:] )(\p{Lu}\p{L}+(?:['-]\p{L}+)*(?: \p{Lu}\p{L}+(?:['-]\p{L}+)*)*)"
+NAMES = r"([\p{Ll}\p{Nd},;:] )(\p{Lu}\p{L}++(?:['-]\p{L}++)*+(?: \p{Lu}\p{L}++(?:['-]\p{L}++)*+)*+)"
+#: Where a name begins; texts without one have the same tokens in both forms.
+NAME_START = r"[\p{Ll}\p{Nd},;:] \p{Lu}\p{L}"
 TOKENS = rf"[{NUM}{UNIT}{NAME}][^{END}]*|[\p{{L}}\p{{Nd}}]+"
 
 
@@ -78,22 +82,59 @@ def _forms(text):
     return F.array(_tokens(text), _tokens(text, names=False))
 
 
+def _slot(token):
+    return (token >= F.lit(NUM)) & (token < F.lit(END))
+
+
+def _canon(tokens: str):
+    """The tokens with placeholders in place of slot values."""
+    return F.when(F.exists(tokens, _slot), F.transform(tokens, lambda t: F.when(_slot(t), F.substring(t, 1, 1)).otherwise(t))).otherwise(F.col(tokens))
+
+
+def _hash(canon: str, i, window: int):
+    return F.xxhash64(*[F.get(canon, i + j) for j in range(window)])
+
+
+def _slots(tokens: str, i, window: int):
+    return F.filter(F.slice(tokens, i + 1, window), _slot)
+
+
 def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
     """(keys, form, pos, h, slots, first): every window of canonical tokens of both forms, slots null
     where it has none; ``first`` is its first token."""
-    slot = lambda t: (t >= F.lit(NUM)) & (t < F.lit(END))
     df = df.select(*keys, F.posexplode(_forms(F.col("text"))).alias("form", "tokens")).filter(F.size("tokens") >= window)
-    df = df.withColumn("any", F.exists("tokens", slot))
-    df = df.withColumn("canon", F.when(F.col("any"), F.transform("tokens", lambda t: F.when(slot(t), F.substring(t, 1, 1)).otherwise(t)))
-                       .otherwise(F.col("tokens")))
-    one = lambda i: F.struct(
-        F.xxhash64("form", *[F.get("canon", i + j) for j in range(window)]).alias("h"),
-        F.when(F.col("any"), F.filter(F.slice("tokens", i + 1, window), slot)).alias("slots"), F.get("tokens", i).alias("first"))
+    df = hold(df.withColumn("canon", F.lit(None)), "canon", _canon("tokens"))
+    one = lambda i: F.struct(_hash("canon", i, window).alias("h"), _slots("tokens", i, window).alias("slots"), F.get("tokens", i).alias("first"))
     windows = F.transform(F.sequence(F.lit(0), F.size("tokens") - window), one)
     out = df.select(*keys, "form", F.posexplode(windows).alias("pos", "w")).select(*keys, "form", "pos", "w.h", "w.slots", "w.first")
     return out.withColumn("slots", F.when(F.size("slots") > 0, F.col("slots")))
 
 
+def _found(docs: DataFrame, keys: list[str], right: DataFrame, window: int) -> DataFrame:
+    """The windows of ``docs`` that ``right`` has, (keys, pos, slots and right's columns).
+
+    Hashes alone are spread to rows.  Where ``right`` is broadcast, the windows that stay fetch their slot
+    values from the tokens beside them; where it is not, the values go with the hash."""
+    few = right.count() <= BROADCAST_WINDOWS
+    right = F.broadcast(right) if few else right
+    docs = hold(docs.select(*keys, "text"), "text", F.regexp_replace(F.coalesce("text", F.lit("")), RESERVED, " "))
+    read = lambda form, names: F.struct(F.lit(form).alias("read_as"), _tokens(F.col("text"), names).alias("tokens"))
+    forms = F.when(F.col("text").rlike(NAME_START), F.array(read(TYPED, True), read(PLAIN, False))).otherwise(F.array(read(BOTH, False)))
+    docs = docs.select(*keys, F.explode(forms).alias("f")).select(*keys, "f.*").filter(F.size("tokens") >= window)
+    docs = hold(docs.withColumn("canon", F.lit(None)), "canon", _canon("tokens"))
+    at = F.sequence(F.lit(0), F.size("tokens") - window)
+    same = F.col("read_as").isin(BOTH) | (F.col("read_as") == F.col("form"))
+    if few:
+        rows = docs.select(*keys, "read_as", "tokens", F.transform(at, lambda i: _hash("canon", i, window)).alias("hs"))
+        rows = rows.select(*keys, "read_as", "tokens", F.posexplode("hs").alias("pos", "h"))
+        found = rows.join(right, "h").filter(same).withColumn("slots", _slots("tokens", F.col("pos"), window))
+    else:
+        each = F.transform(at, lambda i: F.struct(_hash("canon", i, window).alias("h"), _slots("tokens", i, window).alias("slots")))
+        rows = docs.select(*keys, "read_as", F.posexplode(each).alias("pos", "w")).select(*keys, "read_as", "pos", "w.*")
+        found = rows.join(right, "h").filter(same)
+    return found.drop("tokens", "read_as").withColumn("slots", F.when(F.size("slots") > 0, F.col("slots")))
+
+
 def _item_windows(items: DataFrame, window: int, literal: int) -> DataFrame:
     """The items' windows that are evidence, (ITEM, form, item_pos, typed_pos, h, item_slots): ``typed_pos``
     is the typed window that starts where a plain one does.  Both forms hold the same letters and
@@ -137,10 +178,7 @@ def _leaks(docs: DataFrame, keys: list[str], bench: DataFrame, window: int, lite
     totals = (right.withColumn("by", F.explode(F.when(F.col("form") == TYPED, F.array(F.lit(BY_TYPED), F.lit(BY_EITHER))).otherwise(F.array(F.lit(BY_PLAIN)))))
               .groupBy(*ITEM, "by").agg(F.count("*").alias("n_windows")))
     exact = _exact(docs, items.join(right.select(*ITEM).distinct(), ITEM, "left_anti"), keys, window)
-    n = right.count()
-    right = F.broadcast(right) if n <= BROADCAST_WINDOWS else right
-    left = _windows(docs, keys, window).drop("form", "first")
-    found = left.join(right, "h").withColumn("shift", F.col("pos") - F.col("item_pos"))
+    found = _found(docs, keys, right, window).withColumn("shift", F.col("pos") - F.col("item_pos"))
     # one row per document, item, form, item window, shift and slot values: repeats go before anything moves
     found = cut(found.groupBy(*keys, *ITEM, "form", "item_pos", "typed_pos", "shift", "item_slots", "slots").agg(F.count("*").alias("times")))
     pair = [*keys, *ITEM, "form"]
@@ -185,10 +223,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
+    names, numbers = (p.replace("++", "+").replace("*+", "*").replace("'", "''") for p in (NAMES, NUMBERS))
+
     def tokens(source: str, key: str) -> str:
         t = f"regexp_replace(coalesce(text, ''), '{RESERVED}', ' ', 'g')"
-        t = f"regexp_replace({t}, '{NAMES.replace(chr(39), chr(39) * 2)}', '\\1{NAME}\\2{END}', 'g')"
-        t = f"regexp_replace({t}, '{NUMBERS}', '{NUM}\\0{END}', 'g')"
+        t = f"regexp_replace({t}, '{names}', '\\1{NAME}\\2{END}', 'g')"
+        t = f"regexp_replace({t}, '{numbers}', '{NUM}\\0{END}', 'g')"
         t = f"regexp_replace({t}, '{UNIT_WORDS}', '\\1{UNIT}\\2{END}', 'g')"
         t = f"regexp_replace({t}, '{SIGNS}', '{UNIT}\\0{END}', 'g')"
         return f"SELECT DISTINCT {key}, text, regexp_extract_all(lower({t}), '{TOKENS}') AS tokens FROM {source} WHERE {key} IS NOT NULL"

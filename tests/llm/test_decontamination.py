@@ -52,3 +52,19 @@ def test_rows_are_dropped_by_their_own_text(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _path string")
     kept = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], ITEMS))
     assert kept.columns == docs.columns and sorted(r["_path"] for r in kept.collect()) == ["b", "d", "e", "f", "g"]
+
+
+@pytest.mark.parametrize("text", [" ".join(["NORTH"] * 200_000), " ".join(["North-Sea"] * 200_000), ",".join(["7"] * 200_000), "so " + "Ab'Cd " * 200_000],
+                         ids=["upper", "title", "numbers", "joined"])
+def test_long_runs_of_names_and_numbers_pass(spark, text):
+    item = "the quick brown fox jumps over the lazy dog near the river bank every single morning"
+    docs = spark.createDataFrame([(1, "a " + text), (2, "a " + text + " " + item)], DOCS)
+    assert pairs(docs, spark.createDataFrame([(1, item)], ITEMS)) == {(2, 1): 1.0}
+
+
+def test_joins_by_shuffle_find_the_same(spark, monkeypatch):
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    want = pairs(docs, bench)
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert pairs(docs, bench) == want and want
