@@ -33,10 +33,8 @@ SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 4
 #: (window length in words, stride)
 CLASSES = ((5, 1), (8, 2), (16, 4))
 BROADCAST_BANDS = 200_000
-#: Documents with retrieved places, up to which their list is broadcast to the text scan.
+#: Documents with a shingle of a template, and entries of retrieved places, up to which they are broadcast to the text scan.
 BROADCAST_PLACES = 50_000
-#: Template bands up to which documents without any of them are passed over before they are spread to rows.
-LITERAL_BANDS = 20_000
 
 # Public license notices.
 TEMPLATES = {
@@ -96,8 +94,8 @@ def _bands(rows: DataFrame, key: list[str], classes, stride_one: bool) -> DataFr
     return hold(rows.select(*key, "h"), "bands", F.concat(*parts)).select(*key, "bands")
 
 
-def band_templates(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """(license, n_words, shingles) and (license, o, band) of the templates."""
+def band_templates(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(license, n_words, shingles), (license, o, band) and (h), the shingle hashes, of the templates."""
     pairs = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(v).alias("text")) for k, v in sorted(templates.items())])
     t = spark.range(1).select(F.explode(pairs).alias("t")).select("t.license", _words(F.col("t.text")).alias("words"))
     t = cut(t.withColumn("h", _shingle_hashes("words")).withColumn("n_words", F.size("words")))
@@ -111,7 +109,7 @@ def band_templates(spark: SparkSession, templates: dict[str, str]) -> tuple[Data
         part = _bands(own, ["license"], [(length, stride)], stride_one=True).select("license", F.explode("bands").alias("b"))
         part = part.select("license", F.col("b.pos").alias("o"), "b.band")
         bands = part if bands is None else bands.unionByName(part)
-    return t.select("license", "n_words", _shingles(F.col("words")).alias("shingles")), cut(bands.distinct())
+    return t.select("license", "n_words", _shingles(F.col("words")).alias("shingles")), cut(bands.distinct()), t.select("h")
 
 
 def _shingles(words: Column) -> Column:
@@ -126,24 +124,28 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     """(id, license, containment, first_word): the verified matches, a row per id and
     license; ``first_word`` is the first verified place (in words of the document)."""
     spark = docs.sparkSession
-    shapes, bands = band_templates(spark, templates or TEMPLATES)
+    shapes, bands, hashed_templates = band_templates(spark, templates or TEMPLATES)
     rows = located(file_backed(pick(docs, id_col, text_col))).select(id_col, F.col(text_col).alias("text"), "_path", "_row")
-    words = hold(rows.select("_path", "_row", "text"), "words", _words(F.col("text"))).select("_path", "_row", "words")
-    hashed = hold(words.filter(F.size("words") >= SHINGLE), "h", _shingle_hashes("words")).select("_path", "_row", "h")
+    hashed = lambda df: hold(hold(df.select("_path", "_row", "text"), "words", _words(F.col("text"))).select("_path", "_row", "words")
+                             .filter(F.size("words") >= SHINGLE), "h", _shingle_hashes("words")).select("_path", "_row", "h")
+    # a band collides where both windows have the same least shingle: documents without any shingle of a template have no place
+    known = cut(hashed_templates.select(F.explode("h").alias("x")).distinct())
+    few_known = known.count() <= BROADCAST_BANDS
+    share = hashed(rows).select("_path", "_row", F.explode("h").alias("x")).join(F.broadcast(known) if few_known else known, "x", "left_semi")
+    share = cut(share.select("_path", "_row").distinct())
+    near = rows.join(F.broadcast(share) if share.count() <= BROADCAST_PLACES else share, ["_path", "_row"], "left_semi")
     n_bands = bands.count()
-    windows = _bands(hashed, ["_path", "_row"], CLASSES, stride_one=False)
-    if n_bands <= LITERAL_BANDS:
-        wanted = F.array(*[F.lit(r[0]) for r in bands.select("band").distinct().collect()])
-        windows = windows.filter(F.arrays_overlap(F.transform("bands", lambda x: x["band"]), wanted))
+    windows = _bands(hashed(near), ["_path", "_row"], CLASSES, stride_one=False)
     windows = windows.select("_path", "_row", F.explode("bands").alias("b")).select("_path", "_row", "b.pos", "b.band")
     right = F.broadcast(bands) if n_bands <= BROADCAST_BANDS else bands
     places = (windows.join(right, "band").select("_path", "_row", "license", (F.col("pos") - F.col("o")).alias("at")).distinct()
               .groupBy("_path", "_row").agg(F.collect_list(F.struct("license", "at")).alias("places")))
     places = cut(places)  # no more entries a row than the document has windows
-    few = places.count() <= BROADCAST_PLACES
+    few = (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_PLACES
     found = rows.join(F.broadcast(places) if few else places, ["_path", "_row"])
     each = hold(found.select(id_col, "text", "places"), "words", _words(F.col("text"))).select(id_col, "words", F.explode("places").alias("p"))
-    each = each.join(F.broadcast(shapes), F.col("p.license") == F.col("license"))  # as many rows as templates were given
+    small = shapes.agg(F.sum(F.size("shingles"))).first()[0] <= BROADCAST_BANDS
+    each = each.join(F.broadcast(shapes) if small else shapes, F.col("p.license") == F.col("license"))
     more = F.floor(F.col("n_words") / 5).cast("int") + 1
     begin = F.greatest(F.col("p.at") - more, F.lit(0))
     end = F.least(F.col("p.at") + F.col("n_words") + more, F.size("words"))
