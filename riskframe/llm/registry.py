@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import bpe, chat_format, decontaminate, exact_dedup, langid, license_scan, quality, simhash, substring_dedup, warc
+from riskframe.llm import bpe, chat_format, decontaminate, exact_dedup, langid, license_scan, periodic, quality, secret_scan, simhash, spelling, substring_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": simhash.query,
         "op9_substring_dedup": substring_dedup.query,
         "op10_exact_dedup": exact_dedup.query,
+        "op11_spelling_variants": spelling.query,
+        "op12_periodic_runs": periodic.query,
+        "op13_secret_scan": secret_scan.query,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -35,4 +38,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_chat_format": chat_format.SQL,
         "op9_substring_dedup": substring_dedup.SQL,
         "op10_exact_dedup": exact_dedup.SQL,
+        "op11_spelling_variants": spelling.SQL,
+        "op12_periodic_runs": periodic.SQL,
+        "op13_secret_scan": secret_scan.SQL,
     }
