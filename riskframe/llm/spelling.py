@@ -14,8 +14,8 @@ sample.  A cell with more words or queries than ``CELL`` is dealt in blocks, eac
 its words with each block of its queries, so a task holds two bounded blocks.  Within a task
 the lower levels are built from all words of the block and searched with all queries at once.
 
-Letters outside a-z share ``OTHER`` dimensions: folding letters together only shortens
-distances, so nothing near is left out.
+Letters outside a-z share ``OTHER`` dimensions and counts are told apart up to ``MOST``: both
+only shorten distances, so nothing near is left out.
 
 Defined results: null texts have no words; a null id counts as the empty text in the rule
 that deletes letters; repeated rows count each time; very long words are compared whole; ties
@@ -41,11 +41,11 @@ MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
 ONE_IN = 199
 LETTERS = "A-Za-z\\u00C0-\\u00FF"
 #: Words from which the dealing cells are made; words or queries of a cell that one task takes.
-SAMPLE, CELL = 20_000, 4_000
+SAMPLE, CELL = 20_000, 8_000
 #: Fewest sample words in a dealing cell, most words in a leaf of a task's tree.
 FEWEST, LEAF = 8, 24
-#: Dimensions of the letters outside a-z.
-OTHER = 6
+#: Dimensions of the letters outside a-z; greatest count that is told apart.
+OTHER, MOST = 6, 4
 DIMS = 26 + OTHER
 #: Letters compared at once in a task.
 COMPARE = 1 << 22
@@ -77,71 +77,89 @@ def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 # ------------------------------------------------------------------ vectors and trees
 def vectors(codes: np.ndarray) -> np.ndarray:
-    """Letter counts of words of one length; ``codes`` holds a word's letters as Latin-1 in each row."""
+    """Letter counts of words of one length, ``codes`` holding a word's letters as Latin-1 in each row:
+    two rows of 64-bit numbers, a column a word.  A count is written as that many set bits, ``MOST``
+    at most (a lower bound of distances), so the bits that differ are the L1 distance, and a
+    box of least and greatest counts is the AND and the OR of its members."""
     dim = np.where((codes >= 97) & (codes < 123), codes - 97, 26 + codes % OTHER).astype(np.int64)
     n = len(codes)
-    flat = np.bincount((np.arange(n)[:, None] * DIMS + dim).ravel(), minlength=n * DIMS)
-    return flat.reshape(n, DIMS).astype(np.int32)
+    counts = np.bincount((np.arange(n)[:, None] * DIMS + dim).ravel(), minlength=n * DIMS).reshape(n, DIMS)
+    flags = np.concatenate([counts > k for k in range(MOST)], axis=1)
+    return np.ascontiguousarray(np.packbits(flags, axis=1, bitorder="little").view(np.uint64).T)
 
 
-def _best_split(points: np.ndarray) -> tuple[int, int] | None:
-    """(dimension, value): the widest dimension, cut at its median into ``<= value`` and above."""
-    spread = points.var(axis=0)
-    dim = int(spread.argmax())
-    if spread[dim] == 0:
-        return None
-    column = points[:, dim]
-    value = int(np.floor(np.median(column)))
-    return dim, min(value, int(column.max()) - 1)
+def _flags(points: np.ndarray) -> np.ndarray:
+    """A row a word, a column a bit: whether letter ``column % DIMS`` occurs more than ``column // DIMS`` times."""
+    return np.unpackbits(np.ascontiguousarray(points.T).view(np.uint8), axis=1, bitorder="little")
+
+
+def _best_split(flags: np.ndarray) -> int | None:
+    """The bit that cuts the words most evenly: a letter, and a count at its median."""
+    ones = flags.sum(axis=0, dtype=np.int64)
+    even = np.minimum(ones, len(flags) - ones)
+    bit = int(even.argmax())
+    return bit if even[bit] else None
+
+
+def _bits_of(letter: int, levels: range) -> np.ndarray:
+    """The two numbers that have the bits of a letter at some levels."""
+    out = np.zeros(2, np.uint64)
+    for k in levels:
+        out[(k * DIMS + letter) // 64] |= np.uint64(1) << np.uint64((k * DIMS + letter) % 64)
+    return out
+
+
+def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """By how many letters ``a`` has more than ``b``; either may be a box's two numbers."""
+    return np.bitwise_count(a[0] & ~b[0]) + np.bitwise_count(a[1] & ~b[1])
 
 
 def _reach(queries: np.ndarray, low: np.ndarray, high: np.ndarray, gain: int, loss: int) -> np.ndarray:
     """Which queries get into the box by ``gain`` more letters and ``loss`` fewer at most."""
-    return (np.maximum(low - queries, 0).sum(axis=1) <= gain) & (np.maximum(queries - high, 0).sum(axis=1) <= loss)
+    return (_differ(low, queries) <= gain) & (_differ(queries, high) <= loss)
 
 
 @dataclass
 class Cells:
     """The dealing levels for one word length: splits by node, leaves numbered from 0."""
 
-    split: list = field(default_factory=list)  # per node: (dim, value, left, right) or the leaf's number
+    split: list = field(default_factory=list)  # per node: (bit, node below, node above) or the leaf's number
     leaves: int = 0
 
     @classmethod
     def of(cls, points: np.ndarray, per_cell: float) -> Cells:
-        cells = cls()
+        cells, flags = cls(), _flags(points)
 
         def grow(rows: np.ndarray) -> int:
             node = len(cells.split)
             cells.split.append(None)
-            cut_at = _best_split(points[rows]) if len(rows) > max(per_cell, FEWEST) else None
-            if cut_at is None:
+            bit = _best_split(flags[rows]) if len(rows) > max(per_cell, FEWEST) else None
+            if bit is None:
                 cells.split[node] = cells.leaves
                 cells.leaves += 1
             else:
-                left = points[rows, cut_at[0]] <= cut_at[1]
-                cells.split[node] = (*cut_at, grow(rows[left]), grow(rows[~left]))
+                above = flags[rows, bit] == 1
+                cells.split[node] = (bit, grow(rows[~above]), grow(rows[above]))
             return node
 
-        grow(np.arange(len(points)))
+        grow(np.arange(points.shape[1]))
         return cells
 
     def deal(self, points: np.ndarray, gain: int, loss: int) -> Iterator[tuple[int, np.ndarray]]:
         """(leaf, rows of ``points`` that reach it); with no gain and no loss, the leaf each lies in."""
-        stack = [(0, np.arange(len(points)), np.zeros(DIMS, np.int32), np.full(DIMS, 1 << 30, np.int32))]
+        stack = [(0, np.arange(points.shape[1]), np.zeros(2, np.uint64), ~np.zeros(2, np.uint64))]
         while stack:
             node, rows, low, high = stack.pop()
-            rows = rows[_reach(points[rows], low, high, gain, loss)]
+            rows = rows[_reach(points[:, rows], low, high, gain, loss)]
             if not len(rows):
                 continue
             split = self.split[node]
             if isinstance(split, int):
                 yield split, rows
                 continue
-            dim, value, left, right = split
-            below, above = high.copy(), low.copy()
-            below[dim], above[dim] = min(value, high[dim]), max(value + 1, low[dim])
-            stack += [(left, rows, low, below), (right, rows, above, high)]
+            bit, below, above = split
+            level, letter = divmod(bit, DIMS)
+            stack += [(below, rows, low, high & ~_bits_of(letter, range(level, MOST))), (above, rows, low | _bits_of(letter, range(level + 1)), high)]
 
 
 def near_pairs(queries: np.ndarray, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -149,25 +167,24 @@ def near_pairs(queries: np.ndarray, words: np.ndarray) -> Iterator[tuple[np.ndar
     Latin-1 matrices; words are as long as the queries or one letter longer."""
     gain, loss = (1, 1) if words.shape[1] == queries.shape[1] else (1, 0)
     q, w = vectors(queries), vectors(words)
-    stack = [(np.arange(len(w)), np.arange(len(q)))]
+    flags = _flags(w)
+    stack = [(np.arange(len(words)), np.arange(len(queries)))]
     while stack:
         inside, asked = stack.pop()
-        points = w[inside]
-        asked = asked[_reach(q[asked], points.min(axis=0), points.max(axis=0), gain, loss)]
+        points = w[:, inside]
+        asked = asked[_reach(q[:, asked], np.bitwise_and.reduce(points, axis=1), np.bitwise_or.reduce(points, axis=1), gain, loss)]
         if not len(asked):
             continue
-        split = _best_split(points) if len(inside) > LEAF else None
+        split = _best_split(flags[inside]) if len(inside) > LEAF else None
         if split is not None:
-            left = points[:, split[0]] <= split[1]
-            stack += [(inside[left], asked), (inside[~left], asked)]
+            above = flags[inside, split] == 1
+            stack += [(inside[~above], asked), (inside[above], asked)]
             continue
-        block = max(1, COMPARE // (DIMS * min(len(inside), 4096)))  # equal vectors can be many: words go in blocks too
+        block = max(1, COMPARE // (8 * min(len(inside), 4096)))  # equal vectors can be many: words go in blocks too
         for i in range(0, len(asked), block):
             for j in range(0, len(inside), 4096):
                 some, there = asked[i:i + block], inside[j:j + 4096]
-                apart = q[some][:, None, :] - w[there][None, :, :]
-                fits = (np.maximum(-apart, 0).sum(axis=2) <= gain) & (np.maximum(apart, 0).sum(axis=2) <= loss)
-                a, b = np.nonzero(fits)
+                a, b = np.nonzero(_reach(q[:, some, None], w[:, None, there], w[:, None, there], gain, loss))
                 yield from _verified(queries, words, some[a], there[b])
 
 
