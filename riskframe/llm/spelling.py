@@ -40,7 +40,7 @@ MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
 #: One run in so many, by its hash, loses a letter.
 ONE_IN = 199
 LETTERS = "A-Za-z\\u00C0-\\u00FF"
-#: Words from which the dealing cells are made; words or queries of a cell that one task takes.
+#: Words, about, from which the dealing cells are made; words or queries of a cell that one task takes.
 SAMPLE, CELL = 20_000, 8_000
 #: Fewest sample words in a dealing cell, most words in a leaf of a task's tree.
 FEWEST, LEAF = 8, 24
@@ -218,9 +218,10 @@ def _by_length(words: list[bytes]) -> dict[int, np.ndarray]:
 
 # ------------------------------------------------------------------ search
 def _dealing_cells(words: DataFrame, sample: int, cell: int) -> dict[int, Cells]:
-    """Cells by word length, of the ``sample`` words with the least hashes."""
+    """Cells by word length, of the words that a hash takes, ``sample`` of them expected."""
     total = words.count()
-    some = [r[0].encode("latin-1") for r in words.select("word").orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
+    taken = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < min(1.0, sample / max(total, 1)) * (1 << 30)
+    some = [r[0].encode("latin-1") for r in words.filter(taken).select("word").collect()]
     per_cell = cell * len(some) / max(total, 1)
     return {n: Cells.of(vectors(_codes([some[i] for i in rows])), per_cell) for n, rows in _by_length(some).items()}
 
