@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import qcol
+from riskframe.operators.selection import percentile_columns
 from riskframe.operators.stats import band_report, distribution, percentiles, threshold_count
 from riskframe.operators._agg import pct
 
@@ -64,21 +65,20 @@ def debt_report(df: DataFrame) -> DataFrame:
         "debt_reduction", pct(F.col("debt_reduction"), F.col("n")).alias("debt_reduction_pct"))
 
 
-def basic_utilisation_report(df: DataFrame, accuracy: int = 10000) -> DataFrame:
+def basic_utilisation_report(df: DataFrame, accuracy: int | None = 10000) -> DataFrame:
     """mean / median / p90 of avg bill / limit (0 if limit <= 0), count > 0.8."""
     lim, avg_bill = qcol("LIMIT_BAL"), F.col("AVG_BILL_AMOUNT")
     u = F.when(lim > 0, avg_bill / lim).otherwise(0)
-    return df.agg(F.avg(u).alias("avg_util"), F.percentile_approx(u, 0.5, accuracy).alias("median_util"),
-                  F.percentile_approx(u, 0.9, accuracy).alias("p90_util"),
+    median, p90 = percentile_columns(df, {"u": (u, [0.5, 0.9])}, accuracy)["u"]
+    return df.agg(F.avg(u).alias("avg_util"), median.alias("median_util"), p90.alias("p90_util"),
                   F.count_if((lim > 0) & (F.try_divide(avg_bill, lim) > HIGH_UTILISATION)).alias("high_util"))
 
 
-def buffer_report(df: DataFrame, accuracy: int = 10000) -> DataFrame:
+def buffer_report(df: DataFrame, accuracy: int | None = 10000) -> DataFrame:
     """credit buffer mean and quartiles, count below 10,000."""
     b = F.col("CREDIT_BUFFER")
-    return df.agg(F.avg(b).alias("avg_buffer"), F.percentile_approx(b, 0.25, accuracy).alias("q1"),
-                  F.percentile_approx(b, 0.5, accuracy).alias("median"),
-                  F.percentile_approx(b, 0.75, accuracy).alias("q3"),
+    q1, median, q3 = percentile_columns(df, {"b": (b, [0.25, 0.5, 0.75])}, accuracy)["b"]
+    return df.agg(F.avg(b).alias("avg_buffer"), q1.alias("q1"), median.alias("median"), q3.alias("q3"),
                   F.count_if(b < LOW_BUFFER).alias("low_buffer"))
 
 

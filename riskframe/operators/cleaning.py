@@ -17,7 +17,9 @@ from pyspark.sql.types import NumericType
 from riskframe.functions.columns import qcol
 from riskframe.functions.panel import DEFAULT_PANEL, LABEL, PeriodPanel
 from riskframe.operators._agg import long_form, pct
+from riskframe.operators.selection import percentile_values
 
+#: Sketch entries of the percentiles; ``accuracy=None`` selects exact ones instead.
 DEFAULT_ACCURACY = 10000
 
 
@@ -36,12 +38,6 @@ def missing_policy(df: DataFrame, cols=None) -> DataFrame:
                           .otherwise("Consider drop"))
 
 
-def _one_row(df: DataFrame) -> dict:
-    """Collect a one-row aggregate (its size is the number of columns, not rows)."""
-    row = df.first()
-    return row.asDict() if row is not None else {}
-
-
 def _not_null(cols) -> Column:
     keep = F.lit(True)
     for c in cols:
@@ -67,13 +63,14 @@ def _mode_values(df: DataFrame, prior: dict) -> dict:
     return {c: F.lit(modes.get(c)).cast(types[c]) for c in cols}
 
 
-def treat_missing(df: DataFrame, policy: DataFrame | None = None, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def treat_missing(df: DataFrame, policy: DataFrame | None = None, accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Drop rows for "Drop rows" columns; impute "Impute" columns with the
-    (approximate) median if numeric, else the mode.
+    median (a sketch's, or the exact one for ``accuracy=None``) if numeric, else the mode.
 
     Columns are handled in table order, so a median only sees the row drops of
-    *earlier* columns, as in the study: one aggregate of
-    ``percentile_approx(CASE WHEN <earlier drop cols not null> THEN c END)``."""
+    *earlier* columns, as in the study: all medians are taken together over
+    ``CASE WHEN <earlier drop cols not null> THEN c END``.  The frame is read by the policy,
+    the medians, the modes and the result: give a table or a materialised frame."""
     rows = (policy if policy is not None else missing_policy(df)).collect()  # schema-sized
     action = {r["column_name"]: r["action"] for r in rows}
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
@@ -84,14 +81,14 @@ def treat_missing(df: DataFrame, policy: DataFrame | None = None, accuracy: int
             drops_so_far.append(c)
         elif a == "Impute":
             if c in numeric:
-                med_exprs[c] = F.percentile_approx(F.when(_not_null(drops_so_far), qcol(c)), 0.5, accuracy)
+                med_exprs[c] = (F.when(_not_null(drops_so_far), qcol(c)), [0.5])
             else:
                 mode_prior[c] = list(drops_so_far)
     fills = {}
     if med_exprs:
-        stats = _one_row(df.agg(*[e.alias(c) for c, e in med_exprs.items()]))
+        medians = percentile_values(df, med_exprs, accuracy)
         types = dict(df.dtypes)
-        fills.update({c: F.lit(stats[c]).cast(types[c]) for c in med_exprs})
+        fills.update({c: F.lit(medians[c][0]).cast(types[c]) for c in med_exprs})
     fills.update(_mode_values(df, mode_prior))
     out = df
     for d in drops_so_far:
@@ -197,16 +194,15 @@ def treat_negatives(df: DataFrame, report: DataFrame | None = None, investigate_
 
 
 # ---------------------------------------------------------------- outliers
-def outlier_report(df: DataFrame, cols=None, k: float = 3.0, accuracy: int = DEFAULT_ACCURACY,
+def outlier_report(df: DataFrame, cols=None, k: float = 3.0, accuracy: int | None = DEFAULT_ACCURACY,
                    panel: PeriodPanel = DEFAULT_PANEL) -> DataFrame:
     """P1, P99, Q1, Q3, bounds Q1 - k*IQR / Q3 + k*IQR, outlier count and %.
 
-    Two jobs for all columns (the study: two per column): one aggregate of
-    ``percentile_approx(c, [.01,.25,.75,.99])``, whose single row is read back,
-    then one aggregate of ``count_if`` against the bounds as literals."""
+    Two steps for all columns (the study: two jobs per column): the percentiles, by one
+    sketch pass or by exact selection (``accuracy=None``), then one aggregate of
+    ``count_if`` against the bounds as literals."""
     cols = [c for c in (cols or panel.money()) if c in df.columns]
-    q = _one_row(df.agg(*[F.percentile_approx(qcol(c), [0.01, 0.25, 0.75, 0.99], accuracy).alias(c)
-                          for c in cols]))
+    q = percentile_values(df, {c: (qcol(c), [0.01, 0.25, 0.75, 0.99]) for c in cols}, accuracy)
     total = F.count(F.lit(1))
     per = {}
     for c in cols:
@@ -235,18 +231,18 @@ def cap_outliers(df: DataFrame, report: DataFrame, min_pct: float = 0.1) -> Data
     return df.withColumns(out) if out else df
 
 
-def _p99_caps(df: DataFrame, cols, q: float, accuracy: int) -> dict:
+def _p99_caps(df: DataFrame, cols, q: float, accuracy: int | None) -> dict:
     types = dict(df.dtypes)
-    stats = _one_row(df.agg(*[F.percentile_approx(qcol(c), q, accuracy).alias(c) for c in cols]))
-    return {c: F.lit(stats[c]).cast(types[c]) for c in cols if stats.get(c) is not None}
+    stats = percentile_values(df, {c: (qcol(c), [q]) for c in cols}, accuracy)
+    return {c: F.lit(stats[c][0]).cast(types[c]) for c in cols if stats[c][0] is not None}
 
 
-def winsorize(df: DataFrame, cols=None, q: float = 0.99, accuracy: int = DEFAULT_ACCURACY,
+def winsorize(df: DataFrame, cols=None, q: float = 0.99, accuracy: int | None = DEFAULT_ACCURACY,
               panel: PeriodPanel = DEFAULT_PANEL) -> DataFrame:
     """Unconditional cap at the ``q`` percentile of the *input* frame.
 
-    One aggregate for all columns + one projection (the study: one job per
-    column).  The bound keeps the column's type (Q22)."""
+    One sketch pass (or exact selection, ``accuracy=None``) for all columns + one
+    projection (the study: one job per column).  The bound keeps the column's type (Q22)."""
     cols = [c for c in (cols or panel.money()) if c in df.columns]
     if not cols:
         return df
@@ -254,7 +250,7 @@ def winsorize(df: DataFrame, cols=None, q: float = 0.99, accuracy: int = DEFAULT
     return df.withColumns({c: F.when(qcol(c) > v, v).otherwise(qcol(c)) for c, v in caps.items()})
 
 
-def clean_accounts(df: DataFrame, accuracy: int = DEFAULT_ACCURACY, panel: PeriodPanel = DEFAULT_PANEL) -> DataFrame:
+def clean_accounts(df: DataFrame, accuracy: int | None = DEFAULT_ACCURACY, panel: PeriodPanel = DEFAULT_PANEL) -> DataFrame:
     """Standard clean = EDUCATION / MARRIAGE recode + P99 winsorising of the
     money columns that exist (percentiles from the input frame)."""
     out = recode(df, "EDUCATION", EDUCATION_RECODE)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import ladder, qcol
 from riskframe.functions.panel import DEFAULT_PANEL, LABEL, STATUS_MEANINGS, PeriodPanel
 from riskframe.operators._agg import long_form, numeric_columns, pct
+from riskframe.operators.selection import percentile_columns, percentile_values
 
 
 def _with_share(grouped: DataFrame, count_col: str = "count") -> DataFrame:
@@ -65,11 +66,12 @@ def class_balance(df: DataFrame, label: str = LABEL) -> DataFrame:
                       rate.between(30, 70).alias("balanced_30_70"))
 
 
-def numeric_stats(df: DataFrame, cols, accuracy: int = 10000) -> DataFrame:
-    """Min, max, mean, median (approximate), sample stddev, one pass."""
+def numeric_stats(df: DataFrame, cols, accuracy: int | None = 10000) -> DataFrame:
+    """Min, max, mean, median (of a sketch, exact for ``accuracy=None``), sample stddev,
+    one pass beside the exact selection."""
+    median = percentile_columns(df, {c: (qcol(c), [0.5]) for c in cols}, accuracy)
     return long_form(df, {c: {"min": F.min(qcol(c)).cast("double"), "max": F.max(qcol(c)).cast("double"),
-                              "mean": F.avg(qcol(c)),
-                              "median": F.percentile_approx(qcol(c), 0.5, accuracy).cast("double"),
+                              "mean": F.avg(qcol(c)), "median": median[c][0].cast("double"),
                               "stddev": F.stddev_samp(qcol(c))} for c in cols})
 
 
@@ -92,12 +94,14 @@ def period_distribution(df: DataFrame, panel: PeriodPanel = DEFAULT_PANEL) -> Da
             .withColumn("meaning", codes_lookup(F.col("code"), STATUS_MEANINGS, "Unknown ")))
 
 
-def period_stats(df: DataFrame, cols, accuracy: int = 10000, scale: float = 1.0) -> DataFrame:
+def period_stats(df: DataFrame, cols, accuracy: int | None = 10000, scale: float = 1.0) -> DataFrame:
     """Mean, median, sample std, min, max per column, one wide
-    aggregate (map-side partial aggregation; no row duplication)."""
+    aggregate (map-side partial aggregation; no row duplication); the medians are
+    selected beforehand for ``accuracy=None``."""
     def v(c):
         return qcol(c) / scale if scale != 1.0 else qcol(c)
-    return long_form(df, {c: {"mean": F.avg(v(c)), "median": F.percentile_approx(v(c), 0.5, accuracy).cast("double"),
+    median = percentile_columns(df, {c: (v(c), [0.5]) for c in cols}, accuracy)
+    return long_form(df, {c: {"mean": F.avg(v(c)), "median": median[c][0].cast("double"),
                               "std": F.stddev_samp(v(c)), "min": F.min(v(c)).cast("double"),
                               "max": F.max(v(c)).cast("double")} for c in cols})
 
@@ -118,15 +122,12 @@ def panel_pattern_counts(df: DataFrame, cols) -> DataFrame:
                 pct(F.col("ever_3plus_late"), F.col("n")).alias("ever_3plus_late_pct"))
 
 
-def period_efficiency(df: DataFrame, panel: PeriodPanel = DEFAULT_PANEL, accuracy: int = 10000) -> DataFrame:
+def period_efficiency(df: DataFrame, panel: PeriodPanel = DEFAULT_PANEL, accuracy: int | None = 10000) -> DataFrame:
     """pay/bill efficiency per month (0 when bill <= 0): mean and median."""
     bills, paid = panel.by_month(df.columns, "bill"), panel.by_month(df.columns, "paid")
-    per = {}
-    for m in sorted(set(bills) & set(paid)):
-        e = F.when(qcol(bills[m]) > 0, qcol(paid[m]) / qcol(bills[m])).otherwise(0.0)
-        per[f"month_{m}"] = {"mean_efficiency": F.avg(e),
-                             "median_efficiency": F.percentile_approx(e, 0.5, accuracy)}
-    return long_form(df, per, key="month")
+    e = {f"month_{m}": F.when(qcol(bills[m]) > 0, qcol(paid[m]) / qcol(bills[m])).otherwise(0.0) for m in sorted(set(bills) & set(paid))}
+    median = percentile_columns(df, {m: (x, [0.5]) for m, x in e.items()}, accuracy)
+    return long_form(df, {m: {"mean_efficiency": F.avg(x), "median_efficiency": median[m][0]} for m, x in e.items()}, key="month")
 
 
 def utilisation(df: DataFrame, bill: str = "BILL_AMT1", limit: str = "LIMIT_BAL") -> DataFrame:
@@ -168,12 +169,11 @@ def pivot_rate(df: DataFrame, group: str, label: str = LABEL, values=(0, 1)) ->
         "default_rate", F.when(F.col("total") > 0, pos / F.col("total") * 100).otherwise(0.0))
 
 
-def percentiles(df: DataFrame, col: str, probs=(0.1, 0.25, 0.5, 0.75, 0.9), accuracy: int = 10000) -> DataFrame:
+def percentiles(df: DataFrame, col: str, probs=(0.1, 0.25, 0.5, 0.75, 0.9), accuracy: int | None = 10000) -> DataFrame:
     """Percentile vector of a column, long form (prob, value)."""
-    arr = F.percentile_approx(qcol(col), list(probs), accuracy)
-    return df.agg(arr.alias("v")).select(
-        F.inline(F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"),
-                              F.col("v").cast("array<double>").alias("value"))))
+    values = percentile_columns(df, {"v": (qcol(col), list(probs))}, accuracy)["v"]
+    return df.agg(F.array(*[F.struct(F.lit(float(p)).alias("prob"), v.cast("double").alias("value")) for p, v in zip(probs, values)]).alias("_rows")).select(
+        F.inline("_rows"))
 
 
 def threshold_count(df: DataFrame, predicate: Column, name: str = "n") -> DataFrame:
@@ -182,9 +182,9 @@ def threshold_count(df: DataFrame, predicate: Column, name: str = "n") -> DataFr
         .select(name, pct(F.col(name), F.col("_t")).alias("pct"))
 
 
-def above_own_percentile(df: DataFrame, col: str, q: float = 0.9, accuracy: int = 10000) -> DataFrame:
+def above_own_percentile(df: DataFrame, col: str, q: float = 0.9, accuracy: int | None = 10000) -> DataFrame:
     """D18 (percentile case): rows at or above the column's own q-percentile."""
-    p = df.select(F.percentile_approx(qcol(col), q, accuracy)).first()[0]
+    p = percentile_values(df, {"v": (qcol(col), [q])}, accuracy)["v"][0]
     return threshold_count(df, qcol(col) >= F.lit(p))
 
 

@@ -16,7 +16,7 @@ from riskframe.operators import cleaning as C
 from riskframe.session import materialize
 
 
-def cleanse(df: DataFrame, panel: PeriodPanel = DEFAULT_PANEL, accuracy: int = C.DEFAULT_ACCURACY,
+def cleanse(df: DataFrame, panel: PeriodPanel = DEFAULT_PANEL, accuracy: int | None = C.DEFAULT_ACCURACY,
             checkpoint_fallback: str | None = None) -> DataFrame:
     out = C.treat_missing(materialize(df, checkpoint_fallback), accuracy=accuracy)
     out = materialize(C.drop_duplicates(out), checkpoint_fallback)

@@ -11,7 +11,7 @@ from riskframe.operators import profile as P
 from riskframe.operators import stats as S
 
 
-def explore(df: DataFrame, label: str = LABEL, panel: PeriodPanel = DEFAULT_PANEL, accuracy: int = 10000) -> dict:
+def explore(df: DataFrame, label: str = LABEL, panel: PeriodPanel = DEFAULT_PANEL, accuracy: int | None = 10000) -> dict:
     cols = set(df.columns)
     status = panel.available(df.columns, "status")
     bills, paid = panel.available(df.columns, "bill"), panel.available(df.columns, "paid")

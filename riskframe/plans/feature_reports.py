@@ -12,7 +12,7 @@ from riskframe.operators import stats as S
 from riskframe.operators.features import FEATURE_NAMES
 
 
-def feature_reports(feat: DataFrame, label: str = LABEL, accuracy: int = 10000) -> dict:
+def feature_reports(feat: DataFrame, label: str = LABEL, accuracy: int | None = 10000) -> dict:
     cols = set(feat.columns)
     out = {f"bands_{c.lower()}": B.feature_band_report(feat, c) for c in B.REPORTS if c in cols}
     for c in ("PAYMENT_BEHAVIOR_TYPE", "RISK_SCORE_CATEGORY", "TEMPORAL_RISK_LEVEL", "CUSTOMER_SEGMENT"):
