@@ -38,6 +38,9 @@ VARIABLE_IDS = {
     "PAY_AMT1": "X18", "PAY_AMT2": "X19", "PAY_AMT3": "X20",
     "PAY_AMT4": "X21", "PAY_AMT5": "X22", "PAY_AMT6": "X23",
 }
+VARIABLE_GROUPS = [  # of X1..X23, by the last id of each group
+    (5, "Demographics"), (11, "Payment History"), (17, "Bill Statements"), (23, "Payment Amounts"),
+]
 # ---- end of fixed values ----
 
 DEMOGRAPHIC_COLS = ["LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE"]
@@ -57,6 +60,32 @@ FEATURE_CATEGORIES = {
     "Risk Scoring": ["TEMPORAL_RISK_SCORE", "RISK_SCORE_CATEGORY"],
 }
 # ---- end of fixed values ----
+# ---- fixed values: categories by name; a column belongs to every category one of whose terms it meets ----
+FEATURE_NAME_RULES = [
+    ("Payment Trends", "contains", ("TREND", "VOLATILITY", "DELAY")),
+    ("Temporal Segmentation", "contains", ("RECENT", "HISTORICAL", "IMPROVEMENT", "RECOVERY")),
+    ("Financial Analysis", "contains", ("BILL", "DEBT", "AVG_BILL")),
+    ("Payment Efficiency", "contains", ("EFFICIENCY", "CONSISTENCY", "AVG_PAYMENT")),
+    ("Credit Utilization", "contains", ("CREDIT", "UTILIZATION", "BUFFER")),
+    ("Behavioral Classification", "contains", ("BEHAVIOR", "SEGMENT", "RISK")),
+]
+MODEL_NAME_RULES = [
+    ("Demographics", "in", ("LIMIT_BAL", "AGE")),
+    ("Payment Status", "startswith", ("PAY_",)),
+    ("Financial", "startswith", ("BILL_AMT", "PAY_AMT")),
+    ("Temporal Features", "contains", ("TREND", "IMPROVEMENT", "VOLATILITY", "RECOVERY", "RECENT", "HISTORICAL")),
+    ("Credit Features", "contains", ("CREDIT", "UTILIZATION", "EFFICIENCY", "CONSISTENCY")),
+    ("Risk Features", "contains", ("RISK",)),
+    ("Categorical", "in", ("SEX", "EDUCATION", "MARRIAGE", "PAYMENT_BEHAVIOR_TYPE", "TEMPORAL_RISK_LEVEL", "CUSTOMER_SEGMENT", "RISK_SCORE_CATEGORY")),
+]
+# Importance labels of features that the variable dictionary does not hold; the first that is met counts.
+IMPORTANCE_LABELS = [
+    ("Temporal", "contains", ("TREND", "IMPROVEMENT", "VOLATILITY")),
+    ("Credit", "contains", ("CREDIT", "UTILIZATION", "EFFICIENCY")),
+    ("Risk", "contains", ("RISK",)),
+]
+GROUP_LABELS = {"Bill Statements": "Bills", "Payment Amounts": "Payments"}  # as importance reports name them
+# ---- end of fixed values ----
 CATEGORICAL_FEATURES = ["PAYMENT_BEHAVIOR_TYPE", "TEMPORAL_RISK_LEVEL", "CUSTOMER_SEGMENT", "RISK_SCORE_CATEGORY"]
 
 

@@ -1,21 +1,24 @@
 """Schema checks and profiling.
 
 The study issues one ``count()`` job per column (n_columns + 3 actions for a
-quality report).  Here each report is one aggregate over all columns; the only
-extra job is the duplicate count, which must shuffle whole rows.
+quality report).  Here each report is one aggregate over all columns; the duplicate
+count shuffles row digests and compares whole rows only where a digest repeats.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType
+from pyspark.sql.types import IntegralType, NumericType, StringType
 
 from riskframe.functions.columns import qcol
+from riskframe.functions.dictionary import memberships
 from riskframe.functions.panel import CATEGORICAL_CODE_COLS, STATUS_CODES
 from riskframe.operators._agg import long_form, numeric_columns, pct
+from riskframe.session import materialize
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -33,15 +36,62 @@ def null_counts(df: DataFrame, cols=None) -> DataFrame:
                               "null_pct": pct(F.count_if(qcol(c).isNull()), total)} for c in cols})
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """Full-row duplicates = rows - distinct rows (NULLs compare equal, as in
-    ``dropDuplicates``).  Map-side partial aggregation collapses repeats within
-    a task before the shuffle."""
-    groups = df.groupBy(*[qcol(c) for c in df.columns]).count()
-    return groups.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("total_records"),
-        F.count(F.lit(1)).alias("distinct_records"),
-        F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_records"))
+#: Digests of repeated rows, about 30 bytes each, up to which they are broadcast to the rows.
+BROADCAST_DIGESTS = 500_000
+#: Columns whose NULLs one number marks.
+MASK_WIDTH = 60
+
+
+def row_digest(cols) -> list:
+    """A 128-bit digest of a row's columns, as two hashes.  Hashing passes over NULLs; which
+    columns are NULL is told by the masks beside it."""
+    return [F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)]
+
+
+def _null_masks(cols) -> list:
+    """Numbers whose bit ``i % MASK_WIDTH`` tells that column ``i`` is NULL."""
+    bit = lambda i: F.when(cols[i].isNull(), F.lit(1 << i % MASK_WIDTH).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    return [reduce(lambda a, b: a.bitwiseOR(b), [bit(i) for i in range(at, min(at + MASK_WIDTH, len(cols)))]) for at in range(0, len(cols), MASK_WIDTH)]
+
+
+def _digested(df: DataFrame, digest) -> tuple[DataFrame, list]:
+    """``df`` with columns c0, c1, ... and its digest, and the names of the digest's columns."""
+    rows = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    cols = [F.col(c) for c in rows.columns]
+    marks = {f"h{i}": h for i, h in enumerate(digest(cols))} | {f"m{i}": m for i, m in enumerate(_null_masks(cols))}
+    return rows.withColumns(marks), list(marks)
+
+
+def digest_counts(df: DataFrame, digest=row_digest) -> DataFrame:
+    """(digest, NULL masks, n): how many rows have each digest.  Every row sends its digest and a
+    count to the shuffle, not itself, and repeats within a task go as one."""
+    rows, marks = _digested(df, digest)
+    return rows.groupBy(*marks).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _distinct_rows(df: DataFrame, counts: DataFrame, digest=row_digest) -> int:
+    """Distinct rows of ``df``, NULLs equal, exactly: a digest that occurs once is one row, and rows whose
+    digest occurs again are compared whole, so rows that clash stay apart."""
+    rows, marks = _digested(df, digest)
+    again = counts.filter("n > 1").select(*marks)
+    n_once, n_again = counts.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") > 1)).first()
+    if not n_again:
+        return n_once
+    again = F.broadcast(again) if n_again <= BROADCAST_DIGESTS else again
+    whole = rows.join(again, marks, "left_semi").select(*[f"c{i}" for i in range(len(df.columns))])
+    return n_once + whole.distinct().count()
+
+
+def duplicate_count(df: DataFrame, digest=row_digest) -> DataFrame:
+    """Full-row duplicates = rows - distinct rows (NULLs compare equal, as in ``dropDuplicates``).
+
+    Two steps: digests of all rows are counted, then only rows with a repeated digest are
+    compared whole (see ``_distinct_rows``).  ``df`` is read twice: give a table or a
+    materialised frame."""
+    counts = materialize(digest_counts(df, digest))
+    distinct = _distinct_rows(df, counts, digest)
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_records")).select(
+        "total_records", F.lit(distinct).cast("bigint").alias("distinct_records"), (F.col("total_records") - distinct).alias("duplicate_records"))
 
 
 def profile(df: DataFrame, code_cols=None, exact_distinct: bool = True, rsd: float = 0.01) -> DataFrame:
@@ -109,23 +159,21 @@ def sample_values(df: DataFrame, n: int = 3, cols=None) -> DataFrame:
     return df.sparkSession.createDataFrame([(c, found[c]) for c in cols], "column_name string, sample array<string>")
 
 
-def quality_report(df: DataFrame) -> DataFrame:
+def quality_report(df: DataFrame, digest=row_digest) -> DataFrame:
     """Per column type and null count, with table-level totals.
 
-    The one shuffle moves whole rows (the price of an exact full-row duplicate count).
-    ONE pass over the source: the duplicate count needs ``groupBy(all
-    columns)`` anyway, and every column's null count can be read off those
-    groups (``sum(count) where c is null``), so nulls ride along with the one
-    shuffle the report cannot avoid.  Map-side partial aggregation collapses
-    repeated rows before the shuffle.  (The study: n_columns + 3 actions.)"""
-    types = dict(df.dtypes)
-    groups = df.groupBy(*[qcol(c) for c in df.columns]).count()
-    n = F.col("count")
+    The duplicate count needs the row digests anyway, and the NULL masks beside them tell every
+    column's null count (``sum(n)`` where its bit is set), so nulls ride along with the one
+    shuffle of digests; rows with a repeated digest are read a second time and compared
+    whole.  (The study: n_columns + 3 actions.)  Give a table or a materialised frame."""
+    counts = materialize(digest_counts(df, digest))
+    types, n, distinct = dict(df.dtypes), F.col("n"), _distinct_rows(df, counts, digest)
+    total = F.coalesce(F.sum(n), F.lit(0)).cast("bigint")
+    has_null = lambda i: F.col(f"m{i // MASK_WIDTH}").bitwiseAND(F.lit(1 << i % MASK_WIDTH).cast("bigint")) != 0
     per = {c: {"dtype": F.lit(types[c]),
-               "null_count": F.coalesce(F.sum(F.when(qcol(c).isNull(), n)), F.lit(0)).cast("bigint"),
-               "total_records": F.coalesce(F.sum(n), F.lit(0)).cast("bigint"),
-               "duplicate_records": F.coalesce(F.sum(n - 1), F.lit(0)).cast("bigint")} for c in df.columns}
-    return long_form(groups, per).select(
+               "null_count": F.coalesce(F.sum(F.when(has_null(i), n)), F.lit(0)).cast("bigint"),
+               "total_records": total, "duplicate_records": total - F.lit(distinct).cast("bigint")} for i, c in enumerate(df.columns)}
+    return long_form(counts, per).select(
         "column_name", "dtype", "null_count", "total_records",
         F.lit(len(df.columns)).alias("total_columns"), "duplicate_records")
 
@@ -248,3 +296,33 @@ def profile_by_category(df: DataFrame, categories: dict, threshold: float = 1e-1
         out.append((cat, len(cs), len(avail), int(sum(stats[c]["nulls"] for c in avail)), low))
     spark = df.sparkSession
     return spark.createDataFrame(out, "category string, variables int, available int, null_cells long, low_variance int")
+
+
+def profile_by_name(df: DataFrame, rules, cols=None, exact_distinct: bool = False, threshold: float = 1e-10, lg_k: int = 12) -> DataFrame:
+    """B2 by name rules: per category -- variables, NULL cells and their rate, distinct codes, low-variance count.
+
+    ``rules`` lists (category, "in" | "startswith" | "contains", terms); a column belongs to every
+    category it meets, so its row of statistics is exploded to all of them.  Distinct codes
+    are the different values of a category's integer and text columns together.  Each column
+    keeps a HyperLogLog sketch of ``2^lg_k`` registers, and a category merges its columns'
+    sketches; ``exact_distinct`` counts instead, by (category, value) rows that are combined in
+    each task before they are shuffled.  One aggregate over the table, and one more if exact."""
+    cols = [c for c in (cols or df.columns) if c in df.columns]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    codes = [c for c in cols if isinstance(kinds[c], (IntegralType, StringType))]
+    sketch = lambda c: F.hll_sketch_agg(qcol(c).cast("string"), lg_k) if c in codes and not exact_distinct else F.lit(None).cast("binary")
+    per = {c: {"n": F.count(F.lit(1)), "null_count": F.count_if(qcol(c).isNull()), "sketch": sketch(c), "numeric": F.lit(isinstance(kinds[c], NumericType)),
+               "variance": F.var_samp(qcol(c).cast("double")) if isinstance(kinds[c], NumericType) else F.lit(None).cast("double")} for c in cols}
+    of_columns = long_form(df, per).withColumn("category", F.explode(memberships(F.col("column_name"), rules)))
+    low = F.col("numeric") & F.coalesce(F.col("variance") < threshold, F.lit(True))
+    estimate = F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0))
+    out = of_columns.groupBy("category").agg(
+        F.count(F.lit(1)).alias("variables"), F.sum("null_count").alias("null_cells"), pct(F.sum("null_count"), F.sum("n")).alias("null_pct"),
+        estimate.cast("bigint").alias("distinct_codes"), F.count_if(low).alias("low_variance"))
+    if exact_distinct:
+        cells = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), qcol(c).cast("string").alias("v")) for c in codes])))
+        cells = cells.filter("v is not null").groupBy("column_name", "v").agg(F.lit(1).alias("one"))
+        each = cells.select(F.explode(memberships(F.col("column_name"), rules)).alias("category"), "v").distinct()
+        exact = each.groupBy("category").agg(F.count(F.lit(1)).alias("exact"))
+        out = out.join(exact, "category", "left").withColumn("distinct_codes", F.coalesce("exact", F.lit(0)).cast("bigint")).drop("exact")
+    return out
