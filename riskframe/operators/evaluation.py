@@ -81,9 +81,10 @@ def grade(auc_col: Column) -> Column:
             .otherwise("Poor"))
 
 
-def grade_models(metrics: DataFrame, auc_col: str = "auc", model_col: str = "model") -> DataFrame:
-    """Grade per model and a flag on the best model by AUC."""
-    best = metrics.agg(F.max_by(model_col, auc_col)).first()[0]
+def grade_models(metrics: DataFrame, auc_col: str = "auc", model_col: str = "model", chosen_on: DataFrame | None = None) -> DataFrame:
+    """Grade per model and a flag on the best model by AUC: that of ``chosen_on`` (the same models'
+    metrics on the validation split), so that the rows graded had no say in the choice."""
+    best = (chosen_on if chosen_on is not None else metrics).agg(F.max_by(model_col, auc_col)).first()[0]
     return metrics.withColumn("grade", grade(F.col(auc_col))).withColumn("is_best", F.col(model_col) == best)
 
 

@@ -10,8 +10,12 @@ feature (Q8), and a failed model is reported in the result frame, not hidden.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
@@ -21,9 +25,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from riskframe.functions.columns import qcol
+from riskframe.functions.dictionary import first_category
 from riskframe.functions.panel import CATEGORICAL_CODE_COLS, CATEGORICAL_FEATURES, DEMOGRAPHIC_COLS, LABEL
 
 CORE_FEATURES = DEMOGRAPHIC_COLS + ["PAY_0", "PAY_2", "PAY_3", "PAY_4", "PAY_5", "PAY_6"] + \
@@ -66,6 +71,13 @@ def split_report(df: DataFrame, key: str = "ID", label: str = LABEL, ratios=(0.7
     return groups.withColumn("share_pct", F.try_divide(F.col("n"), F.sum("n").over(Window.partitionBy())) * 100)
 
 
+def with_folds(df: DataFrame, key: str, folds: int = 3, name: str = "fold") -> DataFrame:
+    """Fold numbers from digits 9-16 of md5(key), apart from those the split reads: the same rows
+    in any engine and partitioning."""
+    digits = F.conv(F.substring(F.md5(qcol(key).cast("string")), 9, 8), 16, 10).cast("bigint")
+    return df.withColumn(name, (digits % folds).cast("int"))
+
+
 # ------------------------------------------------------------------ features
 def prepare_features(df: DataFrame, label: str = LABEL, method: str = "all", exclude=("ID",)):
     """Numeric and categorical feature lists by name and type."""
@@ -104,13 +116,29 @@ def fit_preprocessing(train: DataFrame, numeric, categorical) -> tuple:
     return pipe.fit(train), names
 
 
+def skipped_rows(parts: dict, numeric) -> DataFrame:
+    """Rows of each split, and how many of them the assembler skips for a NULL (or NaN) feature.
+
+    One narrow aggregate a split, all in one job.  ``DataFrame.observe`` would count on the way, but
+    in this Spark version a session that has made an ``Observation`` can no longer apply a
+    logistic model (its summary drags the session into the task)."""
+    types = next(iter(parts.values())).schema
+    fractional = {f.name for f in types.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    gone = reduce(lambda a, b: a | b, [qcol(c).isNull() | (F.isnan(qcol(c)) if c in fractional else F.lit(False)) for c in numeric])
+    rows = [part.agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("n_in"), F.count_if(gone).alias("n_skipped")) for name, part in parts.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 # ------------------------------------------------------------------ models
-def model_zoo(label: str = LABEL, n_features: int | None = None, features: str = "scaledFeatures", seed: int = 42) -> dict:
-    """Logistic regression, random forest, gradient boosting, perceptron."""
+def model_zoo(label: str = LABEL, n_features: int | None = None, features: str = "scaledFeatures", seed: int = 42,
+              validation: str | None = None) -> dict:
+    """Logistic regression, random forest, gradient boosting, perceptron.  ``validation`` names a
+    boolean column of the training frame: boosting stops when rows marked by it no longer improve."""
+    stop = {"validationIndicatorCol": validation} if validation else {}
     zoo = {
         "Logistic Regression": LogisticRegression(featuresCol=features, labelCol=label, maxIter=100),
         "Random Forest": RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=100, seed=seed),
-        "Gradient Boosting": GBTClassifier(featuresCol=features, labelCol=label, maxIter=100, seed=seed),
+        "Gradient Boosting": GBTClassifier(featuresCol=features, labelCol=label, maxIter=100, seed=seed, **stop),
     }
     if n_features:
         zoo["Neural Network"] = MultilayerPerceptronClassifier(
@@ -138,32 +166,73 @@ class ModelSet:
     models: dict = field(default_factory=dict)
     times: dict = field(default_factory=dict)
     failures: dict = field(default_factory=dict)
+    candidates: list = field(default_factory=list)  # (model, candidate, parameters, mean metric, its deviation, chosen)
+
+
+def fold_metrics(est, grid: list, train: DataFrame, evaluator, fold_col: str, folds: int, parallelism: int) -> np.ndarray:
+    """(candidate, fold) metric of each candidate of ``grid``, fitted on the other folds of ``fold_col``.
+
+    MLlib's cross validator checks a fold column through a Python UDF on every row of every
+    fold; here folds are plain filters."""
+    out = np.zeros((len(grid), folds))
+    with ThreadPoolExecutor(parallelism) as pool:
+        for k in range(folds):
+            own, held = train.where(qcol(fold_col) != k).cache(), train.where(qcol(fold_col) == k).cache()
+            one = inheritable_thread_target(train.sparkSession)(lambda params: evaluator.evaluate(est.fit(own, params).transform(held)))
+            try:
+                out[:, k] = list(pool.map(one, grid))
+            finally:
+                own.unpersist()
+                held.unpersist()
+    return out
 
 
 def train_models(train: DataFrame, models: dict, label: str = LABEL, tune: bool = False, folds: int = 3,
-                 parallelism: int = 4, grids: dict | None = None, seed: int = 42) -> ModelSet:
+                 parallelism: int = 4, grids: dict | None = None, seed: int = 42, fold_col: str | None = None,
+                 validation: str | None = None) -> ModelSet:
     """Plain fit, or k-fold CV on AUC; a failing model is recorded in
-    ``failures`` (and in ``evaluate_models``' frame), not silently dropped."""
+    ``failures`` (and in ``evaluate_models``' frame), not silently dropped.
+
+    With ``fold_col`` (see ``with_folds``) the folds are those of the column, whatever the
+    partitioning.  Every candidate's mean metric goes to ``candidates``.  ``validation``
+    names a boolean column: only boosting reads the rows it marks, to stop early; all
+    other models are fitted on the rest."""
     out = ModelSet()
     grids = grids or (param_grids(models) if tune else {})
     evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                               metricName="areaUnderROC")
+    own = train.where(~qcol(validation)) if validation else train
     for name, est in models.items():
         t0 = time.time()
         try:
-            grid = grids.get(name) if tune else None
-            if grid and len(grid) > 1:
-                cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                                    parallelism=parallelism, seed=seed)
-                out.models[name] = cv.fit(train).bestModel
+            if tune:
+                grid = grids.get(name) or [{}]
+                if fold_col:
+                    each = fold_metrics(est, grid, own, evaluator, fold_col, folds, parallelism)
+                    mean, deviation = each.mean(axis=1), each.std(axis=1)
+                    best = int(mean.argmax())
+                    out.models[name] = est.fit(own, grid[best])
+                else:
+                    fitted = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, parallelism=parallelism, seed=seed).fit(own)
+                    mean, deviation, out.models[name] = fitted.avgMetrics, fitted.stdMetrics, fitted.bestModel
+                    best = int(np.argmax(mean))
+                out.candidates += [(name, i, ", ".join(f"{p.name}={v}" for p, v in sorted(g.items(), key=lambda x: x[0].name)),
+                                    float(mean[i]), float(deviation[i]), i == best) for i, g in enumerate(grid)]
             else:
-                out.models[name] = est.fit(train)
+                stops = validation and est.hasParam("validationIndicatorCol") and est.isSet("validationIndicatorCol")
+                out.models[name] = est.fit(train if stops else own)
         except Exception as e:  # noqa: BLE001 -- reported to the caller
             out.failures[name] = f"{type(e).__name__}: {e}"
         out.times[name] = time.time() - t0
     return out
 
 
+def candidate_metrics(model_set: ModelSet, spark) -> DataFrame:
+    """One row per candidate of the grids: parameters, mean AUC over the folds, its deviation, and whether
+    it was chosen for its model."""
+    return spark.createDataFrame(model_set.candidates, "model string, candidate int, parameters string, auc double, auc_std double, chosen boolean")
+
+
 def evaluate_models(model_set: ModelSet, test: DataFrame, label: str = LABEL) -> DataFrame:
     """AUC, accuracy, weighted precision / recall, F1, training time per
     model, plus failed models with their error.
@@ -211,18 +280,7 @@ IMPORTANCE_OTHER = "Other"
 
 
 def importance_category(feature_col, rules=IMPORTANCE_RULES, otherwise: str = IMPORTANCE_OTHER):
-    f = F.col(feature_col)
-    out = None
-    for cat, kind, args in rules:
-        if kind == "in":
-            cond = f.isin(list(args))
-        else:
-            cond = None
-            for a in args:
-                c = f.startswith(a) if kind == "startswith" else f.contains(a)
-                cond = c if cond is None else (cond | c)
-        out = F.when(cond, cat) if out is None else out.when(cond, cat)
-    return out.otherwise(otherwise)
+    return first_category(F.col(feature_col), rules, otherwise)
 
 
 def importance_by_category(importance: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,15 @@ def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the cluster's shared folder, for a table one step hands to the next."""
+    if ensure_checkpoint_dir(spark) is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("no shared folder: set spark.checkpoint.dir")
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="riskframe-checkpoint-"))
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     """Phase hand-off for frames that several passes read (feature table before
     evaluation, correlation, training).  Reliable checkpoint into the cluster's

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from riskframe.functions.columns import qcol
+from riskframe.session import materialize
 
 _FORMATS = ("csv", "parquet")
 
@@ -26,6 +28,23 @@ def load_table(spark: SparkSession, path: str, fmt: str = "csv", schema: StructT
     raise ValueError(f"Unsupported file format: {fmt}")
 
 
+#: Column that holds a CSV line which does not fit the schema.
+CORRUPT = "_corrupt_record"
+
+
+def load_csv(spark: SparkSession, path: str, schema: StructType, corrupt: str = CORRUPT, **options) -> tuple[DataFrame, DataFrame]:
+    """A1: CSV with a stated schema, read once: (rows that fit it, lines that do not).
+
+    Nothing is inferred and nothing is lost: a line with a value of another type, or with too
+    few or too many fields, is kept as text (``corrupt``) beside what could be read of it.  The
+    parsed frame is materialised, since both parts are read from it."""
+    whole = StructType([*schema.fields, StructField(corrupt, StringType())])
+    reader = spark.read.schema(whole).options(header="true", mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt, enforceSchema="false", **options)
+    parsed = materialize(reader.csv(path))
+    good = parsed.where(qcol(corrupt).isNull()).drop(corrupt)
+    return good, parsed.where(qcol(corrupt).isNotNull()).select(qcol(corrupt).alias("line"))
+
+
 def read_tables(spark: SparkSession, base_dir: str, names) -> dict:
     return {n: spark.read.parquet(f"{base_dir.rstrip('/')}/{n}.parquet") for n in names}
 
@@ -72,8 +91,22 @@ def save_models(models: dict, out_dir: str) -> dict:
     return paths
 
 
-def append_run_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
-    """Append one run's model-metrics frame to a Parquet run table."""
-    (metrics.withColumn("run_id", F.lit(run_id))
-     .withColumn("recorded_at", F.current_timestamp())
-     .write.mode("append").parquet(path))
+def save_fitted(preprocessing: PipelineModel, model: Model, path: str) -> None:
+    """Preprocessing and classifier as one artefact, which another session applies to raw rows."""
+    PipelineModel(stages=[*preprocessing.stages, model]).write().overwrite().save(path)
+
+
+def load_fitted(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def write_run_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
+    """One run's model metrics in a Parquet run table, a partition a run.  Writing a run again, as a
+    retried job does, replaces its own rows and no others."""
+    (metrics.withColumns({"run_id": F.lit(run_id), "run": F.lit(run_id), "recorded_at": F.current_timestamp()})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path))
+
+
+def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The run table.  Run ids are those written; the folder names, whose type Spark guesses, are dropped."""
+    return spark.read.parquet(path).drop("run")
