@@ -20,33 +20,38 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from riskframe.functions.columns import qcol  # noqa: E402
-from riskframe.functions.panel import (EDUCATION_LABELS, FEATURE_CATEGORIES, LABEL, MARRIAGE_LABELS,  # noqa: E402
-                                      SEX_LABELS, STATUS_CODES)
+from riskframe.functions.dictionary import with_importance_label, with_variables  # noqa: E402
+from riskframe.functions.panel import (EDUCATION_LABELS, FEATURE_CATEGORIES, FEATURE_NAME_RULES, LABEL, MARRIAGE_LABELS,  # noqa: E402
+                                      MODEL_NAME_RULES, SEX_LABELS, STATUS_CODES, VARIABLE_IDS)
 from riskframe.operators import bands as B  # noqa: E402
 from riskframe.operators import cleaning as C  # noqa: E402
 from riskframe.operators import evaluation as E  # noqa: E402
 from riskframe.operators import ml as M  # noqa: E402
 from riskframe.operators import profile as P  # noqa: E402
 from riskframe.operators import stats as S  # noqa: E402
-from riskframe.operators.features import all_features  # noqa: E402
+from riskframe.operators.features import FEATURE_NAMES, all_features  # noqa: E402
 from riskframe.plans.cleanse import cleanse  # noqa: E402
 from riskframe.plans.insights import business_insights  # noqa: E402
 from riskframe.plans.flagship import risk_category_default_rate  # noqa: E402
-from riskframe.session import materialize  # noqa: E402
+from riskframe.plans.training import train_and_evaluate  # noqa: E402
+from riskframe.session import materialize, shared_path  # noqa: E402
 from riskframe.sources.fixtures import accounts, accounts_dirty  # noqa: E402
-from riskframe.sources.io import sample_rows  # noqa: E402
+from riskframe.sources.io import (load_csv, load_fitted, load_table, read_run_metrics, sample_rows, save_fitted,  # noqa: E402
+                                  save_table, write_run_metrics)
 
 try:  # the training-data operators are an optional subpackage
     from riskframe.llm import registry as LLM
-except ModuleNotFoundError as missing:
-    if missing.name != "riskframe.llm":
+except ImportError as missing:  # no such folder, or an empty one that has no file to name
+    if missing.name != "riskframe.llm" or missing.path:
         raise
     LLM = None
 
-EXACT = 1_000_000  # percentile accuracy equal to an exact (discrete) percentile
+EXACT = None  # exact percentiles, by distributed selection
 STATUS = ["PAY_0", "PAY_2", "PAY_3", "PAY_4", "PAY_5", "PAY_6"]
 BILLS = [f"BILL_AMT{i}" for i in range(1, 7)]
 PAYS = [f"PAY_AMT{i}" for i in range(1, 7)]
+GONE = ("PAY_6", "PAY_3", "BILL_AMT1", "BILL_AMT5", "PAY_AMT2", "PAY_AMT4")  # a panel with gaps
+FEW = tuple(c for c in STATUS + BILLS + PAYS if c not in ("PAY_0", "PAY_5", "BILL_AMT2", "BILL_AMT4"))  # too few months for most features
 NUMERIC_FEATURES = ["PAYMENT_TREND_SLOPE", "PAYMENT_STATUS_VOLATILITY", "MAX_PAYMENT_DELAY", "MIN_PAYMENT_DELAY",
                     "PAYMENT_DELAY_RANGE", "RECENT_AVG_DELAY", "HISTORICAL_AVG_DELAY", "PAYMENT_IMPROVEMENT_SCORE",
                     "RECOVERY_INSTANCES", "BILL_TREND_SLOPE", "BILL_AMOUNT_VOLATILITY", "DEBT_ACCUMULATION_RATE",
@@ -63,6 +68,15 @@ def _dirty(spark, sf):
     return accounts_dirty(spark, sf)
 
 
+def _acc_table(spark, sf):
+    """The account table materialised once, for operators that read it several times."""
+    return materialize(accounts(spark, sf))
+
+
+def _dirty_table(spark, sf):
+    return materialize(accounts_dirty(spark, sf))
+
+
 def _feat(spark, sf):
     return all_features(accounts(spark, sf))
 
@@ -145,12 +159,105 @@ def _cross_validated(spark, sf):
     ms, _, _, test = _fitted(spark, sf, ("Logistic Regression",), tune=True)
     pred = M.with_probabilities(ms.models["Logistic Regression"].transform(test)).withColumn("score", F.col("prob_default"))
     tables = business_insights(pred, LABEL)
-    c, m = tables["confusion"].first(), tables["metrics"].first()
-    total = c["tp"] + c["fp"] + c["tn"] + c["fn"]
-    consistent = abs(m["accuracy"] - (c["tp"] + c["tn"]) / total) < 1e-9 and 0 <= m["auc"] <= 1
-    risk = tables["risk_performance"].agg(F.sum("total")).first()[0]
-    return spark.createDataFrame([(int(total), int(c["tp"] + c["fn"]), bool(consistent), int(risk))],
-                                 "n_test long, n_default long, consistent boolean, n_in_risk_groups long")
+    counts, metrics, risk = tables["confusion"], tables["metrics"], tables["risk_performance"]
+    n = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
+    out = counts.select(n.alias("n_test"), (F.col("tp") + F.col("fn")).alias("n_default"), ((F.col("tp") + F.col("tn")) / n).alias("counted"))
+    difference = F.abs(F.round(F.col("counted") - metrics.select("accuracy").scalar(), 9))
+    return out.select("n_test", "n_default", difference.alias("accuracy_difference"), risk.agg(F.sum("total")).scalar().alias("n_in_risk_groups"))
+
+
+def _skipped_rows(spark, sf):
+    feat = materialize(all_features(accounts_dirty(spark, sf)))
+    num, _ = M.prepare_features(feat, LABEL, method="all")
+    return M.skipped_rows(dict(zip(("train", "validation", "test"), M.split_data(feat, key="ID"))), num)
+
+
+def _cv_folds(spark, sf):
+    train, _, _ = M.split_data(_acc(spark, sf), key="ID")
+    return M.with_folds(train, "ID").groupBy("fold").agg(F.count("*").alias("n"), F.sum(LABEL).alias("n_default"))
+
+
+def _grid_candidates(spark, sf):
+    """All 23 candidates of the four grids over folds by md5, and what must hold for them."""
+    feat = _feat_table(spark, sf)
+    train, _, _ = M.split_data(feat, key="ID")
+    num, cat = M.prepare_features(feat, LABEL, method="all")
+    prep, names = M.fit_preprocessing(train, num, cat)
+    fitting = materialize(M.with_folds(prep.transform(train), "ID").select("scaledFeatures", LABEL, "fold"))
+    ms = M.train_models(fitting, M.model_zoo(LABEL, len(names)), LABEL, tune=True, parallelism=8, fold_col="fold")
+    of_model = M.candidate_metrics(ms, spark).groupBy("model").agg(
+        F.count("*").alias("n_candidates"), F.count_distinct("parameters").alias("n_settings"), F.count_if("chosen").alias("n_chosen"),
+        (F.max(F.when(F.col("chosen"), F.col("auc"))) == F.max("auc")).alias("chosen_is_best"), F.count_if(F.col("auc").between(0, 1)).alias("n_auc_in_range"))
+    return of_model.select("*", fitting.select(F.count_distinct("fold")).scalar().alias("n_folds"), fitting.select(F.count("*")).scalar().alias("n_train"))
+
+
+def _model_selection(spark, sf):
+    """The model phase: chosen by validation AUC, graded on the test split."""
+    out = train_and_evaluate(_feat(spark, sf), LABEL)
+    val, test = out["validation_metrics"], out["metrics"]
+    best = F.max_by("model", "auc")
+    n = {r["split"]: r["n_in"] - r["n_skipped"] for r in out["skipped_rows"].collect()}
+    return test.select("model", (F.col("is_best") == (F.col("model") == val.agg(best).scalar())).alias("chosen_on_validation"),
+                       (F.col("grade") == E.grade(F.col("auc"))).alias("graded_on_test"),
+                       F.lit(n["validation"]).cast("bigint").alias("n_validation"), F.lit(n["test"]).cast("bigint").alias("n_test"))
+
+
+def _importance_labels(spark, sf):
+    ms, columns, _, _ = _fitted(spark, sf, ("Random Forest",))
+    labelled = with_importance_label(_importances(spark, ms, columns))
+    return labelled.select("feature", "variable", "category", F.col("importance").between(0, 1).alias("in_range"))
+
+
+def _importance_comparison_checks(spark, sf):
+    both = _importance_comparison(spark, sf)
+    names = [c for c in both.columns if c != "feature"]
+    long = both.select(F.inline(F.array(*[F.struct(F.lit(m).alias("model"), qcol(m).alias("v")) for m in names])))
+    return long.groupBy("model").agg(F.count("v").alias("n_features"), F.round(F.sum("v"), 6).alias("importance_sum"))
+
+
+def _saved_model(spark, sf):
+    """Predictions of a fitted model and of the same one read back from its files, row by row."""
+    feat = _feat_table(spark, sf)
+    train, _, test = M.split_data(feat, key="ID")
+    num, cat = M.prepare_features(feat, LABEL, method="all")
+    prep, names = M.fit_preprocessing(train, num, cat)
+    model = M.train_models(prep.transform(train), {"Logistic Regression": M.model_zoo(LABEL)["Logistic Regression"]}, LABEL).models["Logistic Regression"]
+    path = shared_path(spark, "model")
+    save_fitted(prep, model, path)
+    wanted = ["ID", "prediction", "prob_default"]
+    before = M.with_probabilities(model.transform(prep.transform(test))).select(*wanted)
+    after = M.with_probabilities(load_fitted(path).transform(test)).select("ID", *[F.col(c).alias(f"{c}_again") for c in wanted[1:]])
+    same = (F.col("prediction") == F.col("prediction_again")) & (F.col("prob_default") == F.col("prob_default_again"))
+    return before.join(after, "ID", "full").agg(F.count("*").alias("n"), F.count_if(same).alias("n_equal"))
+
+
+def _parquet_accounts(spark, sf):
+    path = shared_path(spark, "accounts")
+    save_table(_acc(spark, sf), path)
+    return load_table(spark, path, "parquet")
+
+
+def _csv_parts(spark, sf):
+    """Accounts through CSV files with a stated schema; every account with ID % 50 = 7 is written with a text
+    where its age belongs."""
+    acc, path = _acc(spark, sf), shared_path(spark, "accounts-csv")
+    save_table(acc.withColumn("AGE", F.when(F.col("ID") % 50 == 7, "unknown").otherwise(F.col("AGE").cast("string"))), path, "csv")
+    return load_csv(spark, path, acc.schema)
+
+
+def _csv_lines(spark, sf):
+    good, bad = _csv_parts(spark, sf)
+    bad_ids = bad.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.split_part("line", F.lit(","), F.lit(1)).cast("bigint")), F.lit(0)).alias("ids"))
+    return good.agg(F.count("*").alias("n_rows")).select("n_rows", bad_ids.select("n").scalar().alias("n_bad_lines"), bad_ids.select("ids").scalar().alias("bad_ids"))
+
+
+def _run_metrics(spark, sf):
+    """Two runs in the run table, the first written twice."""
+    metrics = _round(E.classification_metrics(E.score_as_model(_feat_table(spark, sf))), ["accuracy", "weighted_precision", "weighted_recall", "f1", "auc"], 9)
+    path = shared_path(spark, "runs")
+    for run in ("001", "second", "001"):
+        write_run_metrics(metrics, path, run)
+    return read_run_metrics(spark, path).drop("recorded_at")
 
 
 def _quality_pair(spark, sf, op):
@@ -173,11 +280,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # profiling
     Q["table_shape"] = lambda s, sf: P.table_shape(_dirty(s, sf))
     Q["null_counts"] = lambda s, sf: P.null_counts(_dirty(s, sf))
-    Q["duplicate_count"] = lambda s, sf: P.duplicate_count(_dirty(s, sf))
+    Q["duplicate_count"] = lambda s, sf: P.duplicate_count(_dirty_table(s, sf))
     Q["column_profile"] = lambda s, sf: P.profile(_dirty(s, sf))
     Q["describe_columns"] = lambda s, sf: _round(P.describe_columns(_dirty(s, sf), ["LIMIT_BAL", "AGE", LABEL]),
                                                  ["mean", "stddev"])
-    Q["quality_report"] = lambda s, sf: P.quality_report(_dirty(s, sf))
+    Q["quality_report"] = lambda s, sf: P.quality_report(_dirty_table(s, sf))
     Q["low_variance"] = lambda s, sf: P.low_variance(_feat(s, sf), NUMERIC_FEATURES).select(
         "column_name", "low_variance", F.when(F.col("variance") > 0, F.round(F.log10("variance"), 6)).alias("log10_variance"))
     Q["duplicate_keys"] = lambda s, sf: P.duplicate_keys(_dirty(s, sf), "ID")
@@ -198,34 +305,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["clamp_status_codes"] = lambda s, sf: C.clamp_codes(_acc(s, sf), STATUS)
     Q["negative_report"] = lambda s, sf: C.negative_report(_dirty(s, sf))
     Q["treat_negatives"] = lambda s, sf: C.treat_negatives(_dirty(s, sf))
-    Q["outlier_report"] = lambda s, sf: C.outlier_report(_dirty(s, sf), accuracy=EXACT)
-    Q["cap_outliers"] = lambda s, sf: C.cap_outliers(_dirty(s, sf), C.outlier_report(_dirty(s, sf), accuracy=EXACT))
-    Q["winsorize"] = lambda s, sf: C.winsorize(_acc(s, sf), accuracy=EXACT)
-    Q["clean_accounts"] = lambda s, sf: C.clean_accounts(_acc(s, sf), accuracy=EXACT)
+    Q["outlier_report"] = lambda s, sf: C.outlier_report(_dirty_table(s, sf), accuracy=EXACT)
+    Q["cap_outliers"] = lambda s, sf: (lambda t: C.cap_outliers(t, C.outlier_report(t, accuracy=EXACT)))(_dirty_table(s, sf))
+    Q["winsorize"] = lambda s, sf: C.winsorize(_acc_table(s, sf), accuracy=EXACT)
+    Q["clean_accounts"] = lambda s, sf: C.clean_accounts(_acc_table(s, sf), accuracy=EXACT)
     Q["consistency_report"] = lambda s, sf: C.consistency_report(_dirty(s, sf))
     Q["unrealistic_ages"] = lambda s, sf: C.rule_values(_dirty(s, sf), (F.col("AGE") < 18) | (F.col("AGE") > 100), "AGE")
-    Q["treat_missing"] = lambda s, sf: C.treat_missing(_dirty(s, sf), accuracy=EXACT)
+    Q["treat_missing"] = lambda s, sf: C.treat_missing(_dirty_table(s, sf), accuracy=EXACT)
     Q["cleanse"] = lambda s, sf: cleanse(_dirty(s, sf), accuracy=EXACT)
     # distributions / statistics
     Q["education_distribution"] = lambda s, sf: S.distribution(_acc(s, sf), "EDUCATION", EDUCATION_LABELS)
     Q["class_balance"] = lambda s, sf: S.class_balance(_acc(s, sf))
-    Q["numeric_stats"] = lambda s, sf: _round(S.numeric_stats(_acc(s, sf), ["LIMIT_BAL", "AGE"], accuracy=EXACT),
+    Q["numeric_stats"] = lambda s, sf: _round(S.numeric_stats(_acc_table(s, sf), ["LIMIT_BAL", "AGE"], accuracy=EXACT),
                                               ["mean", "stddev"])
     Q["limit_bands"] = lambda s, sf: S.band_report(_acc(s, sf), "LIMIT_BAL", S.LIMIT_BANDS, S.LIMIT_BANDS_ELSE)
     Q["age_bands"] = lambda s, sf: S.band_report(_acc(s, sf), "AGE", S.AGE_BANDS, S.AGE_BANDS_ELSE)
     Q["status_distribution"] = lambda s, sf: S.period_distribution(_acc(s, sf))
-    Q["status_stats"] = lambda s, sf: _round(S.period_stats(_acc(s, sf), STATUS, accuracy=EXACT), ["mean", "std"])
-    Q["bill_payment_stats"] = lambda s, sf: _round(S.period_stats(_acc(s, sf), BILLS + PAYS, accuracy=EXACT,
+    Q["status_stats"] = lambda s, sf: _round(S.period_stats(_acc_table(s, sf), STATUS, accuracy=EXACT), ["mean", "std"])
+    Q["bill_payment_stats"] = lambda s, sf: _round(S.period_stats(_acc_table(s, sf), BILLS + PAYS, accuracy=EXACT,
                                                                   scale=1e3), ["mean", "std"])
     Q["panel_patterns"] = lambda s, sf: S.panel_pattern_counts(_acc(s, sf), STATUS)
-    Q["period_efficiency"] = lambda s, sf: _round(S.period_efficiency(_acc(s, sf), accuracy=EXACT),
+    Q["period_efficiency"] = lambda s, sf: _round(S.period_efficiency(_acc_table(s, sf), accuracy=EXACT),
                                                   ["mean_efficiency", "median_efficiency"])
     Q["utilisation"] = lambda s, sf: _round(S.utilisation(_acc(s, sf)), ["mean_utilisation"])
     Q["zero_payments"] = lambda s, sf: S.zero_payments(_acc(s, sf), PAYS)
     Q["rate_by_education"] = lambda s, sf: _round(S.rate_by(_acc(s, sf), "EDUCATION"), ["rate"])
     Q["utilisation_by_label"] = lambda s, sf: _round(S.mean_by_label(_feat(s, sf), "CREDIT_UTILIZATION_RATIO"), ["mean"])
-    Q["utilisation_percentiles"] = lambda s, sf: S.percentiles(_feat(s, sf), "CREDIT_UTILIZATION_RATIO", accuracy=EXACT)
-    Q["above_own_percentile"] = lambda s, sf: S.above_own_percentile(_feat(s, sf), "CREDIT_UTILIZATION_RATIO", 0.9,
+    Q["utilisation_percentiles"] = lambda s, sf: S.percentiles(_feat_table(s, sf), "CREDIT_UTILIZATION_RATIO", accuracy=EXACT)
+    Q["above_own_percentile"] = lambda s, sf: S.above_own_percentile(_feat_table(s, sf), "CREDIT_UTILIZATION_RATIO", 0.9,
                                                                       accuracy=EXACT)
     Q["high_utilisation_count"] = lambda s, sf: S.threshold_count(_feat(s, sf), F.col("CREDIT_UTILIZATION_RATIO") > 0.8)
     # correlation
@@ -246,9 +353,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["behaviour_distribution"] = lambda s, sf: B.class_report(_feat(s, sf), "PAYMENT_BEHAVIOR_TYPE")
     Q["risk_category_distribution"] = lambda s, sf: B.class_report(_feat(s, sf), "RISK_SCORE_CATEGORY")
     Q["debt_report"] = lambda s, sf: B.debt_report(_feat(s, sf))
-    Q["basic_utilisation_report"] = lambda s, sf: _round(B.basic_utilisation_report(_feat(s, sf), accuracy=EXACT),
+    Q["basic_utilisation_report"] = lambda s, sf: _round(B.basic_utilisation_report(_feat_table(s, sf), accuracy=EXACT),
                                                          ["avg_util"])
-    Q["buffer_report"] = lambda s, sf: _round(B.buffer_report(_feat(s, sf), accuracy=EXACT), ["avg_buffer"])
+    Q["buffer_report"] = lambda s, sf: _round(B.buffer_report(_feat_table(s, sf), accuracy=EXACT), ["avg_buffer"])
     # evaluation of the score-as-model
     Q["confusion_report"] = lambda s, sf: E.confusion_report(_pred(s, sf))
     Q["classification_metrics"] = lambda s, sf: _round(E.classification_metrics(E.score_as_model(_feat_table(s, sf))),
@@ -286,6 +393,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     Q["importance_comparison"] = _importance_comparison
     Q["model_checks"] = _model_checks
     Q["cross_validated_model"] = _cross_validated
+    Q["skipped_rows"] = _skipped_rows
+    Q["cv_folds"] = _cv_folds
+    Q["grid_candidates"] = _grid_candidates
+    Q["model_selection"] = _model_selection
+    Q["importance_labels"] = _importance_labels
+    Q["importance_comparison_checks"] = _importance_comparison_checks
+    # panels with gaps, categories by name, variable ids
+    Q["features_dirty"] = lambda s, sf: all_features(_dirty(s, sf))
+    Q["features_reduced"] = lambda s, sf: all_features(_dirty(s, sf).drop(*GONE))
+    Q["features_few_months"] = lambda s, sf: all_features(_dirty(s, sf).drop(*FEW))
+    Q["profile_by_name"] = lambda s, sf: P.profile_by_name(all_features(_dirty(s, sf)), FEATURE_NAME_RULES, FEATURE_NAMES, exact_distinct=True)
+    Q["profile_by_model_rules"] = lambda s, sf: P.profile_by_name(
+        all_features(_dirty(s, sf)), MODEL_NAME_RULES, [*VARIABLE_IDS, *FEATURE_NAMES], exact_distinct=True)
+    Q["correlation_variables"] = lambda s, sf: _round(with_variables(S.label_correlations(_acc(s, sf), top=None)), ["r", "abs_r"])
+    # sources and sinks
+    Q["parquet_accounts"] = _parquet_accounts
+    Q["csv_accounts"] = lambda s, sf: _csv_parts(s, sf)[0]
+    Q["csv_lines"] = _csv_lines
+    Q["run_metrics"] = _run_metrics
+    Q["saved_model"] = _saved_model
     for status in STATUS[1:]:
         Q[f"validate_codes_{status.lower()}"] = (lambda c: lambda s, sf: C.validate_codes(_acc(s, sf), c, STATUS_CODES))(status)
     for code, valid in (("SEX", (1, 2)), ("EDUCATION", (1, 2, 3, 4)), ("MARRIAGE", (1, 2, 3))):

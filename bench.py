@@ -104,6 +104,19 @@ def main():
             ms = M.train_models(materialize(prep.transform(tr)), {name: M.model_zoo(LABEL)[name]}, LABEL)
             M.evaluate_models(ms, prep.transform(te), LABEL).collect()
 
+        def q_exact_percentiles():
+            sink(C.winsorize(acc(), accuracy=None))
+
+        def q_cross_validated_fit():
+            feat = materialize(all_features(acc()))
+            tr, _va, te = M.split_data(feat, key="ID")
+            num, cat = M.prepare_features(feat, LABEL, method="core")
+            prep, names = M.fit_preprocessing(tr, num, cat)
+            lr = M.model_zoo(LABEL)["Logistic Regression"]
+            train = materialize(M.with_folds(prep.transform(tr), "ID").select("scaledFeatures", LABEL, "fold"))
+            ms = M.train_models(train, {"Logistic Regression": lr}, LABEL, tune=True, parallelism=cpus, fold_col="fold")
+            M.evaluate_models(ms, prep.transform(te), LABEL).collect()
+
         def q_logistic_regression():
             feat = materialize(all_features(acc()))
             tr, _va, te = M.split_data(feat, key="ID")
@@ -117,7 +130,7 @@ def main():
                 ("feature_chain", q_feature_chain), ("risk_category_rate", q_risk_category_rate),
                 ("rule_report", q_rule_report), ("correlation_ranking", q_correlation_ranking),
                 ("full_cleanse", q_cleanse), ("logistic_regression", q_logistic_regression), ("column_profile", q_column_profile), ("auc", q_auc),
-                ("random_forest", q_random_forest)]
+                ("random_forest", q_random_forest), ("exact_percentiles", q_exact_percentiles), ("cross_validated_fit", q_cross_validated_fit)]
 
         times, jobs = {}, {}
         for name, fn in plan:

@@ -1,4 +1,4 @@
-"""SQL twin of the feature chain on the full six-month panel (DuckDB dialect,
+"""SQL twin of the feature chain on a six-month panel or part of one (DuckDB dialect,
 also valid Spark SQL).  Exponent-form literals keep every constant DOUBLE."""
 
 ST = ["PAY_6", "PAY_5", "PAY_4", "PAY_3", "PAY_2", "PAY_0"]
@@ -22,43 +22,62 @@ def _ratio(p, b):
     return f"(CASE WHEN {b} > 0 THEN {p} / {b} ELSE 0e0 END)"
 
 
-RATIOS = [_ratio(p, b) for p, b in zip(PA, BI)]
-
-
 def _avg(xs):
     return "((" + " + ".join(xs) + f") / {len(xs)})"
 
 
-STAGE1 = f"""SELECT *,
-  (PAY_0 - PAY_6) / 6e0 AS PAYMENT_TREND_SLOPE,
-  sqrt({_pvar(ST, _mean(ST))}) AS PAYMENT_STATUS_VOLATILITY,
-  greatest({", ".join(ST)}) AS MAX_PAYMENT_DELAY,
-  least({", ".join(ST)}) AS MIN_PAYMENT_DELAY,
-  greatest({", ".join(ST)}) - least({", ".join(ST)}) AS PAYMENT_DELAY_RANGE,
-  {_mean(["PAY_0", "PAY_2", "PAY_3"])} AS RECENT_AVG_DELAY,
-  {_mean(["PAY_4", "PAY_5", "PAY_6"])} AS HISTORICAL_AVG_DELAY,
-  {_mean(["PAY_4", "PAY_5", "PAY_6"])} - {_mean(["PAY_0", "PAY_2", "PAY_3"])} AS PAYMENT_IMPROVEMENT_SCORE,
-  ({" + ".join(f"(CASE WHEN {a} > {b} THEN 1 ELSE 0 END)" for a, b in zip(ST, ST[1:]))}) AS RECOVERY_INSTANCES,
-  (BILL_AMT1 - BILL_AMT6) / 6e0 AS BILL_TREND_SLOPE,
-  sqrt({_pvar(BI, _mean(BI))}) AS BILL_AMOUNT_VOLATILITY,
-  {_mean(BI)} AS AVG_BILL_AMOUNT,
-  CASE WHEN {_mean(BI)} > 0 THEN
-    ({_mean(["BILL_AMT1", "BILL_AMT2", "BILL_AMT3"])} - {_mean(["BILL_AMT4", "BILL_AMT5", "BILL_AMT6"])})
-    / NULLIF({_mean(["BILL_AMT4", "BILL_AMT5", "BILL_AMT6"])} + 1, 0) ELSE 0e0 END AS DEBT_ACCUMULATION_RATE,
-  {_mean(PA)} AS AVG_PAYMENT_AMOUNT,
-  {_avg(RATIOS)} AS AVG_PAYMENT_EFFICIENCY,
-  {_avg(RATIOS[:3])} - {_avg(RATIOS[-3:])} AS PAYMENT_EFFICIENCY_TREND,
-  CASE WHEN sqrt({_pvar(PA, _mean(PA))}) > 0 THEN 1e0 / (1e0 + sqrt({_pvar(PA, _mean(PA))})) ELSE 1e0 END
-    AS PAYMENT_CONSISTENCY_SCORE
-FROM {{src}}"""
-
-STAGE2 = f"""SELECT *,
-  CASE WHEN LIMIT_BAL > 0 THEN AVG_BILL_AMOUNT / LIMIT_BAL ELSE 0e0 END AS CREDIT_UTILIZATION_RATIO,
-  LIMIT_BAL - AVG_BILL_AMOUNT AS CREDIT_BUFFER,
-  CASE WHEN LIMIT_BAL > 0 THEN {_mean(BI[:3])} / LIMIT_BAL - {_mean(BI[-3:])} / LIMIT_BAL ELSE 0e0 END
-    AS CREDIT_UTILIZATION_TREND
+def _month(c):
+    return 1 if c == "PAY_0" else int(c[-1])
+
+
+def _stage1(st, bi, pa):
+    """Features of the panel's own columns, all lists oldest first; constants where too few are present."""
+    recent, old = [[c for c in st if _month(c) in m] for m in ((1, 2, 3), (4, 5, 6))]
+    recent = sorted(recent, key=_month)
+    old = sorted(old, key=_month)
+    bill_recent, bill_old = [sorted((c for c in bi if _month(c) in m), key=_month) for m in ((1, 2, 3), (4, 5, 6))]
+    paid = {_month(c): c for c in pa}
+    ratios = [_ratio(paid[_month(b)], b) for b in bi if _month(b) in paid]
+    out = {}
+    if len(st) >= 3:
+        out |= {"PAYMENT_TREND_SLOPE": f"({st[-1]} - {st[0]}) / 6e0", "PAYMENT_STATUS_VOLATILITY": f"sqrt({_pvar(st, _mean(st))})",
+                "MAX_PAYMENT_DELAY": f"greatest({', '.join(st)})", "MIN_PAYMENT_DELAY": f"least({', '.join(st)})",
+                "PAYMENT_DELAY_RANGE": f"greatest({', '.join(st)}) - least({', '.join(st)})"}
+    else:
+        out |= {"PAYMENT_TREND_SLOPE": "0e0", "PAYMENT_STATUS_VOLATILITY": "0e0", "MAX_PAYMENT_DELAY": "0", "MIN_PAYMENT_DELAY": "0", "PAYMENT_DELAY_RANGE": "0"}
+    if recent and old:
+        out |= {"RECENT_AVG_DELAY": _mean(recent), "HISTORICAL_AVG_DELAY": _mean(old), "PAYMENT_IMPROVEMENT_SCORE": f"{_mean(old)} - {_mean(recent)}"}
+    else:
+        out |= {"RECENT_AVG_DELAY": "0e0", "HISTORICAL_AVG_DELAY": "0e0", "PAYMENT_IMPROVEMENT_SCORE": "0e0"}
+    out["RECOVERY_INSTANCES"] = "(" + " + ".join(f"(CASE WHEN {a} > {b} THEN 1 ELSE 0 END)" for a, b in zip(st, st[1:])) + ")" if len(st) >= 2 else "0"
+    if len(bi) >= 3:
+        debt = "0e0"
+        if bill_recent and bill_old:
+            debt = f"CASE WHEN {_mean(bi)} > 0 THEN ({_mean(bill_recent)} - {_mean(bill_old)}) / NULLIF({_mean(bill_old)} + 1, 0) ELSE 0e0 END"
+        out |= {"BILL_TREND_SLOPE": f"({bi[-1]} - {bi[0]}) / 6e0", "BILL_AMOUNT_VOLATILITY": f"sqrt({_pvar(bi, _mean(bi))})", "AVG_BILL_AMOUNT": _mean(bi),
+                "DEBT_ACCUMULATION_RATE": debt}
+    else:
+        out |= {"BILL_TREND_SLOPE": "0e0", "BILL_AMOUNT_VOLATILITY": "0e0", "AVG_BILL_AMOUNT": "0e0", "DEBT_ACCUMULATION_RATE": "0e0"}
+    out |= {"AVG_PAYMENT_AMOUNT": "0e0", "AVG_PAYMENT_EFFICIENCY": "0e0", "PAYMENT_EFFICIENCY_TREND": "0e0", "PAYMENT_CONSISTENCY_SCORE": "0e0"}
+    if pa and bi:
+        out["AVG_PAYMENT_AMOUNT"] = _mean(pa)
+        if ratios:
+            deviation = f"sqrt({_pvar(pa, _mean(pa))})"
+            first, last = (ratios[:3], ratios[-3:]) if len(ratios) >= 3 else (ratios[:len(ratios) // 2], ratios[len(ratios) // 2:])
+            out |= {"AVG_PAYMENT_EFFICIENCY": _avg(ratios), "PAYMENT_EFFICIENCY_TREND": f"{_avg(first)} - {_avg(last)}" if first else "0e0",
+                    "PAYMENT_CONSISTENCY_SCORE": f"CASE WHEN {deviation} > 0 THEN 1e0 / (1e0 + {deviation}) ELSE 1e0 END"}
+    return "SELECT *, " + ", ".join(f"{e} AS {c}" for c, e in out.items()) + " FROM {src}"
+
+
+def _stage2(bi):
+    trend = "0e0"
+    if len(bi) >= 3:
+        trend = f"CASE WHEN LIMIT_BAL > 0 THEN {_mean(bi[:3])} / LIMIT_BAL - {_mean(bi[-3:])} / LIMIT_BAL ELSE 0e0 END"
+    return f"""SELECT *, CASE WHEN LIMIT_BAL > 0 THEN AVG_BILL_AMOUNT / LIMIT_BAL ELSE 0e0 END AS CREDIT_UTILIZATION_RATIO,
+  LIMIT_BAL - AVG_BILL_AMOUNT AS CREDIT_BUFFER, {trend} AS CREDIT_UTILIZATION_TREND
 FROM f1"""
 
+
 STAGE3 = """SELECT *,
   CASE WHEN RECENT_AVG_DELAY <= 0 AND PAYMENT_STATUS_VOLATILITY <= 1 THEN 'Excellent Payer'
        WHEN RECENT_AVG_DELAY <= 1 AND PAYMENT_STATUS_VOLATILITY <= 2 THEN 'Good Payer'
@@ -97,7 +116,7 @@ STAGE4 = """SELECT *,
 FROM f3"""
 
 
-def features_ctes(src: str = "accounts", name: str = "feat") -> list:
-    """CTE list building ``name`` = src + 25 features."""
-    return [f"f1 AS ({STAGE1.format(src=src)})", f"f2 AS ({STAGE2})", f"f3 AS ({STAGE3})",
+def features_ctes(src: str = "accounts", name: str = "feat", st=ST, bi=BI, pa=PA) -> list:
+    """CTE list building ``name`` = src + 25 features of the panel columns given."""
+    return [f"f1 AS ({_stage1(st, bi, pa).format(src=src)})", f"f2 AS ({_stage2(bi)})", f"f3 AS ({STAGE3})",
             f"{name} AS ({STAGE4})"]

@@ -8,7 +8,7 @@ correlations rounded to 6 digits on both sides; exact percentiles are
 """
 
 from oracle.base import ACCOUNTS_CTE, DIRTY_CTE, with_ctes
-from oracle.features import features_ctes
+from oracle.features import BI, PA, ST, features_ctes
 
 LABEL = "default_next_month"
 STATUS = ["PAY_0", "PAY_2", "PAY_3", "PAY_4", "PAY_5", "PAY_6"]
@@ -614,8 +614,114 @@ def _checks_row(model, split):
 
 SQL["model_checks"] = q(union([_checks_row(m, s) for m in ("Logistic Regression", "Random Forest", "Gradient Boosting", "Neural Network")
                                for s in ("validation", "test")]), FT)
-SQL["cross_validated_model"] = q(f"""SELECT count(*) AS n_test, count(*) FILTER (WHERE {LABEL} = 1) AS n_default, true AS consistent,
+SQL["cross_validated_model"] = q(f"""SELECT count(*) AS n_test, count(*) FILTER (WHERE {LABEL} = 1) AS n_default, CAST(0 AS DOUBLE) AS accuracy_difference,
   count(*) AS n_in_risk_groups FROM feat WHERE {_WHOLE} AND {_SPLIT} = 'test'""", FT)
 for _c, _v in [*[(c, "-2, -1, 0, 1, 2, 3, 4, 5, 6, 7, 8, 9") for c in STATUS[1:]], ("SEX", "1, 2"), ("EDUCATION", "1, 2, 3, 4"), ("MARRIAGE", "1, 2, 3")]:
     SQL[f"validate_codes_{_c.lower()}"] = q(f"""SELECT {_c} AS code, count(*) AS count, count(*) / (SELECT count(*) FROM accounts) * 100 AS pct,
   COALESCE({_c} IN ({_v}), false) AS valid FROM accounts GROUP BY {_c}""", A)
+
+
+# ---------------------------------------------------------------- panels with gaps, categories by name
+SQL["features_dirty"] = q("SELECT * FROM feat", D + features_ctes("accounts_dirty"))
+_GONE = ("PAY_6", "PAY_3", "BILL_AMT1", "BILL_AMT5", "PAY_AMT2", "PAY_AMT4")
+_FEW = tuple(c for c in ST + BI + PA if c not in ("PAY_0", "PAY_5", "BILL_AMT2", "BILL_AMT4"))
+for _name, _gone in (("features_reduced", _GONE), ("features_few_months", _FEW)):
+    SQL[_name] = q("SELECT * FROM feat", D + [f"part AS (SELECT * EXCLUDE ({', '.join(_gone)}) FROM accounts_dirty)"] + features_ctes(
+        "part", "feat", *([c for c in cols if c not in _gone] for cols in (ST, BI, PA))))
+
+# ---- fixed values: the study's categories by name ----
+FEATURE_NAME_RULES = [
+    ("Payment Trends", "contains", ("TREND", "VOLATILITY", "DELAY")),
+    ("Temporal Segmentation", "contains", ("RECENT", "HISTORICAL", "IMPROVEMENT", "RECOVERY")),
+    ("Financial Analysis", "contains", ("BILL", "DEBT", "AVG_BILL")),
+    ("Payment Efficiency", "contains", ("EFFICIENCY", "CONSISTENCY", "AVG_PAYMENT")),
+    ("Credit Utilization", "contains", ("CREDIT", "UTILIZATION", "BUFFER")),
+    ("Behavioral Classification", "contains", ("BEHAVIOR", "SEGMENT", "RISK")),
+]
+MODEL_NAME_RULES = [
+    ("Demographics", "in", ("LIMIT_BAL", "AGE")),
+    ("Payment Status", "startswith", ("PAY_",)),
+    ("Financial", "startswith", ("BILL_AMT", "PAY_AMT")),
+    ("Temporal Features", "contains", ("TREND", "IMPROVEMENT", "VOLATILITY", "RECOVERY", "RECENT", "HISTORICAL")),
+    ("Credit Features", "contains", ("CREDIT", "UTILIZATION", "EFFICIENCY", "CONSISTENCY")),
+    ("Risk Features", "contains", ("RISK",)),
+    ("Categorical", "in", ("SEX", "EDUCATION", "MARRIAGE", "PAYMENT_BEHAVIOR_TYPE", "TEMPORAL_RISK_LEVEL", "CUSTOMER_SEGMENT", "RISK_SCORE_CATEGORY")),
+]
+# ---- end of fixed values ----
+CLASS_FEATURES = ["PAYMENT_BEHAVIOR_TYPE", "TEMPORAL_RISK_LEVEL", "CUSTOMER_SEGMENT", "RISK_SCORE_CATEGORY"]
+_FEATURES = NUMERIC_FEATURES + CLASS_FEATURES
+_CODED = {c for c, t in ACC_TYPES} | {"MAX_PAYMENT_DELAY", "MIN_PAYMENT_DELAY", "PAYMENT_DELAY_RANGE", "RECOVERY_INSTANCES", *CLASS_FEATURES}
+
+
+def _meets(c, kind, terms):
+    return c in terms if kind == "in" else any(c.startswith(t) if kind == "startswith" else t in c for t in terms)
+
+
+def _by_name(rules, columns):
+    rows = []
+    for category, kind, terms in rules:
+        cols = [c for c in columns if _meets(c, kind, terms)]
+        nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+        low = " + ".join(f"CAST(COALESCE(var_samp(CAST({c} AS DOUBLE)) < 1e-10, true) AS INTEGER)" for c in cols if c not in CLASS_FEATURES) or "0"
+        coded = " UNION ALL ".join(f"SELECT CAST({c} AS VARCHAR) AS v FROM feat" for c in cols if c in _CODED)
+        distinct = f"(SELECT count(DISTINCT v) FROM ({coded}))" if coded else "0"
+        rows.append(f"SELECT '{category}' AS category, {len(cols)} AS variables, {nulls} AS null_cells, ({nulls}) / (count(*) * {len(cols)}) * 100 AS null_pct, "
+                    f"{distinct} AS distinct_codes, {low} AS low_variance FROM feat")
+    return union(rows)
+
+
+SQL["profile_by_name"] = q(_by_name(FEATURE_NAME_RULES, _FEATURES), D + features_ctes("accounts_dirty"))
+SQL["profile_by_model_rules"] = q(_by_name(MODEL_NAME_RULES, [c for c, _ in ACC_TYPES if c not in ("ID", LABEL)] + _FEATURES), D + features_ctes("accounts_dirty"))
+
+# ---- fixed values: the data dictionary's variables, in order, and where its groups end ----
+VARIABLES = ["LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE"] + STATUS + BILLS + PAYS
+VARIABLE_GROUPS = [(5, "Demographics"), (11, "Payment History"), (17, "Bill Statements"), (23, "Payment Amounts")]
+IMPORTANCE_LABELS = [
+    ("Temporal", "contains", ("TREND", "IMPROVEMENT", "VOLATILITY")),
+    ("Credit", "contains", ("CREDIT", "UTILIZATION", "EFFICIENCY")),
+    ("Risk", "contains", ("RISK",)),
+]
+GROUP_LABELS = {"Bill Statements": "Bills", "Payment Amounts": "Payments"}
+# ---- end of fixed values ----
+_DICTIONARY = {c: (f"X{i}", next(g for last, g in VARIABLE_GROUPS if i <= last)) for i, c in enumerate(VARIABLES, 1)}
+_DIM = "dictionary AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{x}', '{g}')" for c, (x, g) in _DICTIONARY.items()) + ") v(column_name, variable, variable_group))"
+SQL["correlation_variables"] = q(f"""SELECT column_name, COALESCE(variable, 'N/A') AS variable, variable_group, round(r, 6) AS r, round(abs(r), 6) AS abs_r,
+  {_strength('abs(r)')} AS strength FROM ({_CORRS}) c LEFT JOIN dictionary USING (column_name)""", A + [_DIM])
+
+# ---------------------------------------------------------------- training: rows, folds, choices
+_IN_MODEL = [c for c, _ in ACC_TYPES if c not in ("ID", LABEL, "SEX", "EDUCATION", "MARRIAGE")] + NUMERIC_FEATURES
+_USED = " AND ".join(f"{c} IS NOT NULL" for c in _IN_MODEL)
+SQL["skipped_rows"] = q(f"""SELECT {_SPLIT} AS split, count(*) AS n_in, count(*) FILTER (WHERE NOT ({_USED})) AS n_skipped
+FROM feat GROUP BY 1""", D + features_ctes("accounts_dirty"))
+_FOLD = "CAST(CAST(('0x' || substr(md5(CAST(ID AS VARCHAR)), 9, 8)) AS BIGINT) % 3 AS INTEGER)"
+SQL["cv_folds"] = q(f"""SELECT {_FOLD} AS fold, count(*) AS n, CAST(sum({LABEL}) AS BIGINT) AS n_default FROM accounts
+WHERE {_SPLIT} = 'train' GROUP BY 1""", A)
+_GRIDS = {"Logistic Regression": 9, "Random Forest": 9, "Gradient Boosting": 4, "Neural Network": 1}
+SQL["grid_candidates"] = q(union([f"SELECT '{m}' AS model, {n} AS n_candidates, {n} AS n_settings, 1 AS n_chosen, true AS chosen_is_best, {n} AS n_auc_in_range, "
+                                  f"CAST(3 AS BIGINT) AS n_folds, count(*) AS n_train FROM feat WHERE {_WHOLE} AND {_SPLIT} = 'train'"
+                                  for m, n in _GRIDS.items()]), FT)
+SQL["model_selection"] = q(union([f"SELECT '{m}' AS model, true AS chosen_on_validation, true AS graded_on_test, count(*) FILTER ({_SPLIT} = 'validation') AS n_validation, "
+                                  f"count(*) FILTER ({_SPLIT} = 'test') AS n_test FROM feat WHERE {_WHOLE}" for m in _GRIDS]), FT)
+_MODEL_COLUMNS = [c for c, _ in ACC_TYPES if c not in ("ID", LABEL)] + _FEATURES
+_CATEGORICAL = ("SEX", "EDUCATION", "MARRIAGE", *CLASS_FEATURES)
+
+
+def _label_row(c):
+    feature = c + "_indexed" if c in _CATEGORICAL else c
+    variable, group = _DICTIONARY.get(c, ("N/A", None))
+    named = GROUP_LABELS.get(group, group) or next((k for k, kind, terms in IMPORTANCE_LABELS if _meets(feature, kind, terms)), "Other")
+    return f"('{feature}', '{variable}', '{named}')"
+
+
+SQL["importance_labels"] = f"""SELECT feature, variable, category, true AS in_range FROM (VALUES {', '.join(map(_label_row, _MODEL_COLUMNS))}) v(feature, variable, category)"""
+SQL["importance_comparison_checks"] = f"""SELECT model, CAST({len(_MODEL_COLUMNS)} AS BIGINT) AS n_features, CAST(1 AS DOUBLE) AS importance_sum
+FROM (VALUES ('Random Forest'), ('Gradient Boosting')) v(model)"""
+SQL["saved_model"] = q(f"SELECT count(*) AS n, count(*) AS n_equal FROM feat WHERE {_WHOLE} AND {_SPLIT} = 'test'", FT)
+
+# ---------------------------------------------------------------- sources and sinks
+SQL["parquet_accounts"] = q("SELECT * FROM accounts", A)
+SQL["csv_accounts"] = q("SELECT * FROM accounts WHERE ID % 50 <> 7", A)
+SQL["csv_lines"] = q("""SELECT count(*) FILTER (ID % 50 <> 7) AS n_rows, count(*) FILTER (ID % 50 = 7) AS n_bad_lines,
+  CAST(COALESCE(sum(ID) FILTER (ID % 50 = 7), 0) AS BIGINT) AS bad_ids FROM accounts""", A)
+_METRICS_SQL = SQL["classification_metrics"]
+SQL["run_metrics"] = f"SELECT run_id, m.* FROM (VALUES ('001'), ('second')) r(run_id), ({_METRICS_SQL}) m"

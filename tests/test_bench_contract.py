@@ -18,4 +18,4 @@ def test_bench_prints_one_json_line():
     rec = json.loads(lines[0])
     assert {"metric", "value", "unit", "queries", "sf"} <= set(rec)
     assert rec["unit"] == "sec" and rec["sf"] == "0.001" and rec["value"] > 0
-    assert len(rec["queries"]) == 12
+    assert len(rec["queries"]) == 14

@@ -10,7 +10,7 @@ from riskframe.operators import ml as M
 from riskframe.operators.features import all_features
 from riskframe.plans.insights import business_insights
 from riskframe.sources.fixtures import accounts
-from riskframe.sources.io import append_run_metrics, save_models
+from riskframe.sources.io import save_models, write_run_metrics
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,8 +38,8 @@ def test_cv_tuning_save_and_run_table(spark):
     paths = save_models(ms.models, d)
     assert os.path.isdir(paths["Logistic Regression"]) and paths["Logistic Regression"].endswith("logistic_regression")
     metrics = M.evaluate_models(ms, prep.transform(te))
-    append_run_metrics(metrics, f"{d}/runs", "r1")
-    append_run_metrics(metrics, f"{d}/runs", "r2")
+    write_run_metrics(metrics, f"{d}/runs", "r1")
+    write_run_metrics(metrics, f"{d}/runs", "r2")
     assert spark.read.parquet(f"{d}/runs").select("run_id").distinct().count() == 2
 
 
