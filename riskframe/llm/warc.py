@@ -11,7 +11,10 @@ writer.
 Defined results: a null URL counts as the empty URL, null HTML or payload as empty
 (with the digest of the empty string, no links and an empty text); repeated rows give
 equal records; unclosed comments and scripts run to the end; a base URL that cannot be
-parsed leaves links as they are; extra columns are not read.
+parsed leaves links as they are; a payload whose header names another text type is its
+own conversion and has no links, one that is no text (an image) has no conversion; a header
+without a type means HTML; very long pages are read in time that grows with their length, whatever
+quotes and brackets they leave open; an empty table gives no record; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 from urllib.parse import urljoin
 
@@ -33,10 +37,12 @@ from riskframe.llm._common import pick, ship, table
 #: No crawl time is known for raw pages; a caller who knows it passes it.
 DATE = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
-_PART = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title|textarea)\b(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>(.*?)(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*>", re.S | re.I)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']++)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]++))")
+_RAW = re.compile(r"<(script|style|noscript|template|title|textarea)\b", re.I)
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "title", "textarea")}
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_SPECIAL = re.compile(r"['\">]")
+#: A name, with its value if it has one: names alone are read too, so that a long one is passed over at once.
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]++)))?")
 _LINKS = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src", "form": "action"}
 #: Elements that begin a new line of the text.
 _BLOCKS = frozenset("address article aside blockquote body br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr html "
@@ -55,37 +61,125 @@ def record_id(*parts: bytes) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=h.digest()[:16], version=5)}>"
 
 
+@dataclass
+class Part:
+    """A stretch of markup: ``start`` to ``end``; the element's name if it is a whole tag, whether it closes,
+    its attributes, and for an element whose content is raw text that content."""
+
+    start: int
+    end: int
+    name: str = ""
+    closes: bool = False
+    attributes: str = ""
+    raw: str | None = None
+
+
+class _Scanner:
+    """The tags, comments and raw elements of a page in one pass.  Time grows with the page's length
+    whatever it holds: the next ``>`` is looked for once, and a place outside quotes from which no
+    tag ends is remembered, so that the next unclosed tag which gets there stops."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self._next_close = -2
+        self._hopeless: set[int] = set()
+
+    def _close(self, at: int) -> int:
+        """The first ``>`` from ``at`` on, -1 if none."""
+        if self._next_close != -1 and self._next_close < at:
+            self._next_close = self.html.find(">", at)
+        return self._next_close
+
+    def _tag_end(self, at: int) -> int:
+        """Behind the first ``>`` outside quotes from ``at`` on, -1 if none."""
+        been = []
+        while at not in self._hopeless:
+            been.append(at)
+            m = _SPECIAL.search(self.html, at)
+            if m is None:
+                break
+            if m[0] == ">":
+                return m.end()
+            quote = self.html.find(m[0], m.end())
+            if quote < 0:
+                break
+            at = quote + 1
+        self._hopeless.update(been)
+        return -1
+
+    def __iter__(self) -> Iterator[Part]:
+        html, at = self.html, 0
+        while (at := html.find("<", at)) >= 0:
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                part = Part(at, len(html) if end < 0 else end + 3)
+            elif self._close(at) < 0:  # nothing but comments can follow
+                at = html.find("<!--", at)
+                if at < 0:
+                    return
+                continue
+            else:
+                part = self._raw(at) or self._tag(at)
+            if part is None:
+                at += 1
+            else:
+                yield part
+                at = part.end
+
+    def _raw(self, at: int) -> Part | None:
+        m = _RAW.match(self.html, at)
+        begin = self._tag_end(m.end()) if m else -1
+        if begin < 0:
+            return None
+        closing = _RAW_END[m[1].lower()].search(self.html, begin)
+        last, end = (closing.start(), closing.end()) if closing else (len(self.html), len(self.html))
+        return Part(at, end, m[1].lower(), False, self.html[m.end():begin - 1], self.html[begin:last])
+
+    def _tag(self, at: int) -> Part | None:
+        if self.html.startswith(("<!", "<?"), at):
+            return Part(at, self._close(at) + 1)
+        m = _TAG.match(self.html, at)
+        if m is None:
+            return None
+        end = self._tag_end(m.end())
+        if end >= 0:
+            return Part(at, end, m[2].lower(), bool(m[1]), self.html[m.end():end - 1])
+        return Part(at, self._close(at) + 1)
+
+
 class Page:
     """Title, language, links and text of an HTML page, from one pass over its tags."""
 
     def __init__(self, html: str, base: str):
         self.title, self.lang, self.links = "", "", []
         out, at = [], 0
-        for m in _PART.finditer(html):
-            out.append(unescape(html[at:m.start()]))
-            at = m.end()
-            raw, name = (m[1] or "").lower(), (m[4] or "").lower()
-            if raw == "title" and not self.title:
-                self.title = " ".join(unescape(m[2]).split())
-            elif raw == "textarea":
-                out.append(unescape(m[2]))
-            if raw == "script":
-                self._link("script", m[0][:m.start(2) - m.start()], base)
-            if name and not m[3]:
-                if name == "html":
-                    self.lang = self.lang or self._attributes(m[5]).get("lang", "")
-                self._link(name, m[5], base)
-            if name in _BLOCKS:
+        for part in _Scanner(html):
+            out.append(unescape(html[at:part.start]))
+            at = part.end
+            if part.raw is not None:
+                if part.name == "title" and not self.title:
+                    self.title = " ".join(unescape(part.raw).split())
+                elif part.name == "textarea":
+                    out.append(unescape(part.raw))
+                elif part.name == "script":
+                    self._link("script", part.attributes, base)
+                continue
+            if part.name and not part.closes:
+                if part.name == "html":
+                    self.lang = self.lang or self._attributes(part.attributes).get("lang", "")
+                self._link(part.name, part.attributes, base)
+            if part.name in _BLOCKS:
                 out.append("\n")
-            elif name in ("td", "th"):
-                out.append("\t" if not m[3] else "")
+            elif part.name in ("td", "th"):
+                out.append("\t" if not part.closes else "")
         out.append(unescape(html[at:]))
         lines = (_BLANKS.sub(" ", x).strip() for x in "".join(out).replace("\r", "\n").split("\n"))
         self.text = "\n".join(x for x in lines if x)
 
     @staticmethod
     def _attributes(text: str) -> dict[str, str]:
-        return {m[1].lower(): unescape(next(x for x in m.groups()[1:] if x is not None)) for m in reversed(list(_ATTRIBUTE.finditer(text)))}
+        valued = ((m[1], next((x for x in m.groups()[1:] if x is not None), None)) for m in reversed(list(_ATTRIBUTE.finditer(text))))
+        return {name.lower(): unescape(value) for name, value in valued if value is not None}
 
     def _link(self, name: str, attributes: str, base: str) -> None:
         key = _LINKS.get(name)
@@ -127,8 +221,26 @@ def _charset(header: str) -> str:
     return m[1] if m else "utf-8"
 
 
+def _kind(header: str) -> str:
+    """How a payload is read, by its header's content type: ``html`` (also where none is named), ``text`` or
+    ``other``."""
+    m = re.search(r"(?im)^content-type:[^\S\r\n]*([^\s;]+)", header)
+    kind = m[1].lower() if m else "text/html"
+    return "html" if kind in ("text/html", "application/xhtml+xml") else "text" if kind.startswith("text/") else "other"
+
+
+class _Bare:
+    """What is told of a payload that is no HTML page."""
+
+    title = lang = ""
+    links: list = []
+
+    def __init__(self, text: str | None):
+        self.text = text
+
+
 def derive(responses: DataFrame) -> DataFrame:
-    """Two records a response: (page_id, warc_type, record_id, refers_to, target_uri,
+    """Two records a response, metadata alone for one that is neither HTML nor text: (page_id, warc_type, record_id, refers_to, target_uri,
     warc_date, content_type, payload_digest of the source, block_digest, n_links, block)."""
     ship(responses.sparkSession)
     names = ["page_id", "warc_type", "record_id", "refers_to", "target_uri", "warc_date", "content_type", "payload_digest", "block_digest", "n_links", "block"]
@@ -140,17 +252,20 @@ def derive(responses: DataFrame) -> DataFrame:
             rows = []
             for page, source, uri, date, header, payload, digest in zip(*(b.column(k).to_pylist() for k in range(7))):
                 uri, header, payload = uri or "", header or "", payload or b""
+                kind = _kind(header)
                 try:
-                    html = payload.decode(_charset(header), "replace")
+                    text = "" if kind == "other" else payload.decode(_charset(header), "replace")
                 except LookupError:
-                    html = payload.decode("utf-8", "replace")
-                seen = Page(html, uri)
+                    text = payload.decode("utf-8", "replace")
+                seen = Page(text, uri) if kind == "html" else _Bare(text if kind == "text" else None)
                 status = header.split(CRLF)[0].split(" ")
                 lines = [("http-status", status[1] if len(status) > 1 else "")] + [(f"http-header-{k.lower()}", v) for k, v in _fields(header)]
                 lines += [("title", seen.title), ("languages-html", seen.lang), ("payload-digest", digest or "")]
                 lines += [("outlink", f"{to} {how}") for to, how in seen.links]
                 meta = "".join(f"{k}: {' '.join(v.split())}{CRLF}" for k, v in lines if v)
                 for kind, form, block in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", seen.text)):
+                    if block is None:
+                        continue
                     data = block.encode("utf-8", "replace")
                     rows.append((page, kind, record_id(kind.encode(), (source or "").encode(), data), source, uri, date, form, digest,
                                  sha1_digest(data), len(seen.links), data.decode("utf-8")))
