@@ -69,8 +69,14 @@ def observe(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(F.max(best).alias("best"), F.count("*").alias("n"))
 
 
-def run_stream(spark: SparkSession, feed_path: str, schema, max_bytes_per_trigger: int = 64 << 30) -> DataFrame:
-    """Stream the feed to its end; the state as a frame (digest, best, n)."""
+#: Bytes of the feed (some 60 a document) that a micro-batch takes; later ones meet the state of the earlier.
+TRIGGER_BYTES = 256 << 20
+
+
+def run_stream(spark: SparkSession, feed_path: str, schema, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Stream the feed to its end, in batches of ``TRIGGER_BYTES`` or whole files; the state as a
+    frame (digest, best, n)."""
+    max_bytes_per_trigger = max_bytes_per_trigger or TRIGGER_BYTES
     place = scratch_path(spark, "dedup-state")
     with _configured(spark, STATE):
         feed = spark.readStream.schema(schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger)).parquet(feed_path)
