@@ -223,42 +223,77 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
+    """The operator's rules, windows compared as lists.  The patterns are spelt without possessive marks."""
     names, numbers = (p.replace("++", "+").replace("*+", "*").replace("'", "''") for p in (NAMES, NUMBERS))
+    slot = f"(x >= '{NUM}' AND x < '{END}')"
 
-    def tokens(source: str, key: str) -> str:
+    def tokens(form: int) -> str:
         t = f"regexp_replace(coalesce(text, ''), '{RESERVED}', ' ', 'g')"
-        t = f"regexp_replace({t}, '{names}', '\\1{NAME}\\2{END}', 'g')"
+        t = f"regexp_replace({t}, '{names}', '\\1{NAME}\\2{END}', 'g')" if form == TYPED else t
         t = f"regexp_replace({t}, '{numbers}', '{NUM}\\0{END}', 'g')"
         t = f"regexp_replace({t}, '{UNIT_WORDS}', '\\1{UNIT}\\2{END}', 'g')"
         t = f"regexp_replace({t}, '{SIGNS}', '{UNIT}\\0{END}', 'g')"
-        return f"SELECT DISTINCT {key}, text, regexp_extract_all(lower({t}), '{TOKENS}') AS tokens FROM {source} WHERE {key} IS NOT NULL"
+        return f"regexp_extract_all(lower({t}), '{TOKENS}')"
 
-    def windows(source: str, key: str) -> str:
-        slot = f"(x >= '{NUM}' AND x < '{END}')"
-        return f"""SELECT {key}, pos, list_transform(w, lambda x: CASE WHEN {slot} THEN x[1] ELSE x END) AS canon,
+    def windows(source: str, keys: str) -> str:
+        of = lambda form: (
+            f"SELECT {keys}, {form} AS form, tokens, unnest(range(0, len(tokens) - {WINDOW} + 1)) AS pos FROM (SELECT {keys}, {tokens(form)} AS tokens FROM {source})")
+        return f"""SELECT {keys}, form, pos, tokens[pos + 1] AS head, list_transform(w, lambda x: CASE WHEN {slot} THEN x[1] ELSE x END) AS canon,
             list_filter(w, lambda x: {slot}) AS slots
-        FROM (SELECT {key}, i AS pos, list_slice(tokens, i + 1, i + {WINDOW}) AS w
-              FROM (SELECT {key}, tokens, unnest(range(0, len(tokens) - {WINDOW} + 1)) AS i FROM ({tokens(source, key)})))"""
+        FROM (SELECT *, list_slice(tokens, pos + 1, pos + {WINDOW}) AS w FROM ({of(TYPED)} UNION ALL {of(PLAIN)}))"""
 
+    pair, letters = "doc_id, item_id, item_text, form", "length(regexp_replace(head, '[^\\p{L}\\p{Nd}]', '', 'g'))"
     return f"""
-WITH bw AS (SELECT * FROM ({windows('benchmark', 'item_id')}) WHERE len(slots) <= {WINDOW - LITERAL}),
-totals AS (SELECT item_id, count(*) AS n_windows FROM bw GROUP BY item_id),
-found AS (SELECT d.doc_id, b.item_id, b.pos AS item_pos, d.pos - b.pos AS shift, b.slots AS item_slots, d.slots, count(*) AS times
-          FROM ({windows('documents', 'doc_id')}) d JOIN bw b ON d.canon = b.canon GROUP BY ALL),
-along AS (SELECT doc_id, item_id, shift, count(DISTINCT item_pos) AS along FROM found GROUP BY ALL),
-pairs AS (SELECT doc_id, item_id, item_slot, slot, max(along) AS along, sum(times) AS times
-          FROM (SELECT doc_id, item_id, times, along, unnest(item_slots) AS item_slot, unnest(slots) AS slot
-                FROM found JOIN along USING (doc_id, item_id, shift)) GROUP BY ALL),
-chosen AS (SELECT doc_id, item_id, item_slot, slot FROM pairs
-           QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, item_slot ORDER BY along DESC, times DESC, slot DESC) = 1),
-broken AS (SELECT DISTINCT f.doc_id, f.item_id, f.item_pos, f.slots
-           FROM (SELECT doc_id, item_id, item_pos, slots, unnest(item_slots) AS item_slot, unnest(slots) AS slot FROM found) f
-           JOIN chosen c USING (doc_id, item_id, item_slot) WHERE f.slot <> c.slot),
-matched AS (SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_matched
-            FROM found f ANTI JOIN broken b ON f.doc_id = b.doc_id AND f.item_id = b.item_id AND f.item_pos = b.item_pos AND f.slots = b.slots
-            GROUP BY ALL)
-SELECT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS share
-FROM matched JOIN totals USING (item_id) WHERE n_matched / n_windows >= {COVERAGE}
+WITH docs AS (SELECT doc_id, text FROM documents WHERE doc_id IS NOT NULL),
+items AS (SELECT DISTINCT item_id, coalesce(text, '') AS text, coalesce(text, '') AS item_text FROM benchmark WHERE item_id IS NOT NULL),
+placed AS (
+  SELECT *, 2 * (sum({letters}) OVER (PARTITION BY item_id, item_text, form ORDER BY pos) - {letters}) + CASE WHEN {letters} > 0 THEN 1 ELSE 0 END AS place
+  FROM ({windows('items', 'item_id, item_text')})),
+evidence AS (SELECT * FROM placed WHERE len(slots) <= {WINDOW - LITERAL}),
+typed AS (SELECT item_id, item_text, place, min(pos) AS typed_pos FROM evidence WHERE form = {TYPED} GROUP BY ALL),
+bench AS MATERIALIZED (
+  SELECT e.item_id, e.item_text, form, pos AS item_pos, CASE WHEN form = {PLAIN} THEN typed_pos END AS typed_pos, canon, slots AS item_slots
+  FROM evidence e LEFT JOIN typed USING (item_id, item_text, place)),
+totals AS (
+  SELECT item_id, item_text, unnest(CASE WHEN form = {TYPED} THEN [{BY_TYPED}, {BY_EITHER}] ELSE [{BY_PLAIN}] END) AS counted, count(*) AS n_windows
+  FROM bench GROUP BY item_id, item_text, form),
+found AS MATERIALIZED (
+  SELECT d.doc_id, b.item_id, b.item_text, form, b.item_pos, b.typed_pos, d.pos - b.item_pos AS shift, b.item_slots, d.slots, count(*) AS times
+  FROM ({windows('docs', 'doc_id')}) d JOIN bench b USING (form, canon) GROUP BY ALL),
+along AS (SELECT {pair}, shift, count(DISTINCT item_pos) AS along FROM found GROUP BY ALL),
+spread AS (
+  SELECT {pair}, item_pos, slots, times, shift, unnest(item_slots) AS item_slot, unnest(slots) AS slot FROM found),
+pairs AS (SELECT {pair}, item_slot, slot, max(along) AS along, sum(times) AS times FROM spread JOIN along USING ({pair}, shift) GROUP BY ALL),
+chosen AS (
+  SELECT {pair}, item_slot, slot FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY {pair}, item_slot ORDER BY along DESC, times DESC, slot DESC) = 1),
+broken AS (
+  SELECT DISTINCT {pair}, s.item_pos, s.slots, s.shift FROM spread s JOIN chosen c USING ({pair}, item_slot) WHERE s.slot <> c.slot),
+checked AS (SELECT f.* FROM found f ANTI JOIN broken b USING ({pair}, item_pos, slots, shift)),
+places AS (
+  SELECT doc_id, item_id, item_text, unnest(CASE WHEN form = {TYPED} THEN [{BY_TYPED}, {BY_EITHER}] ELSE [{BY_EITHER}, {BY_PLAIN}] END) AS counted,
+         unnest(CASE WHEN form = {TYPED} THEN [item_pos, item_pos] ELSE [typed_pos, item_pos] END) AS at_pos FROM checked),
+matched AS (SELECT doc_id, item_id, item_text, counted, count(DISTINCT at_pos) AS n_matched FROM places WHERE at_pos IS NOT NULL GROUP BY ALL),
+by_evidence AS (
+  SELECT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS share FROM matched JOIN totals USING (item_id, item_text, counted)
+  WHERE n_matched / n_windows >= {COVERAGE}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, item_text ORDER BY counted) = 1),
+short AS (
+  SELECT item_id, item_text, tokens, least(len(tokens), {WINDOW}) AS n FROM (SELECT item_id, item_text, {tokens(PLAIN)} AS tokens FROM items)
+  ANTI JOIN bench USING (item_id, item_text) WHERE len(tokens) > 0),
+short_windows AS (
+  SELECT item_id, item_text, n, item_pos, list_slice(tokens, item_pos + 1, item_pos + n) AS w
+  FROM (SELECT *, unnest(range(0, len(tokens) - n + 1)) AS item_pos FROM short)),
+doc_windows AS (
+  SELECT doc_id, n, list_slice(tokens, pos + 1, pos + n) AS w
+  FROM (SELECT *, unnest(range(0, len(tokens) - n + 1)) AS pos
+        FROM (SELECT doc_id, {tokens(PLAIN)} AS tokens FROM docs) JOIN (SELECT DISTINCT n FROM short) ON len(tokens) >= n)),
+word_for_word AS (
+  SELECT doc_id, item_id, max(n_windows) AS n_windows, count(DISTINCT item_pos) AS n_matched
+  FROM (SELECT *, count(*) OVER (PARTITION BY item_id, item_text) AS n_windows FROM short_windows) JOIN doc_windows USING (n, w) GROUP BY doc_id, item_id, item_text),
+both_ways AS (
+  SELECT * FROM by_evidence UNION ALL SELECT doc_id, item_id, n_windows, n_matched, n_matched / n_windows FROM word_for_word WHERE n_matched / n_windows >= {COVERAGE})
+SELECT * FROM both_ways QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY share DESC, n_windows DESC, n_matched DESC) = 1
 """
 
 
