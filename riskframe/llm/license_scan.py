@@ -24,6 +24,8 @@ is reported like any other; extra columns are not read.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +35,9 @@ SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 4
 #: (window length in words, stride)
 CLASSES = ((5, 1), (8, 2), (16, 4))
 BROADCAST_BANDS = 200_000
-#: Documents with a shingle of a template, and entries of retrieved places, up to which they are broadcast to the text scan.
-BROADCAST_PLACES = 50_000
+#: Documents with a shingle of a template (about 100 bytes each), and retrieved places (16 bytes), up to which they
+#: are broadcast to the text scan.
+BROADCAST_DOCS, BROADCAST_PLACES = 50_000, 400_000
 
 # Public license notices.
 TEMPLATES = {
@@ -59,9 +62,29 @@ TEMPLATES = {
            "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
                "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+            "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "agpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+            "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "bsd-3-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+                    "derived from this software without specific prior written permission.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                 "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                 "commercial or non-commercial, and by any means.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for "
+            "any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+            "including commercial applications, and to alter it and redistribute it freely.",
+    "cc-by-sa-4.0-line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nc-4.0-long-line": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
 }
 
 
+def bodies() -> dict[str, str]:
+    """The whole texts of public licenses, by file name in the folder beside this module."""
+    folder = Path(__file__).parent / "licenses"
+    return {f"{p.stem.lower()}-text": p.read_text(encoding="utf-8") for p in sorted(folder.glob("*.txt"))}
+
+
 def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
@@ -95,9 +118,9 @@ def _bands(rows: DataFrame, key: list[str], classes, stride_one: bool) -> DataFr
 
 
 def band_templates(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(license, n_words, shingles), (license, o, band) and (h), the shingle hashes, of the templates."""
-    pairs = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(v).alias("text")) for k, v in sorted(templates.items())])
-    t = spark.range(1).select(F.explode(pairs).alias("t")).select("t.license", _words(F.col("t.text")).alias("words"))
+    """(license, number, n_words, shingles), (number, o, band) and (h), the shingle hashes, of the templates."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(i).alias("number"), F.lit(v).alias("text")) for i, (k, v) in enumerate(sorted(templates.items()))])
+    t = spark.range(1).select(F.explode(pairs).alias("t")).select("t.license", "t.number", _words(F.col("t.text")).alias("words"))
     t = cut(t.withColumn("h", _shingle_hashes("words")).withColumn("n_words", F.size("words")))
     short = [r[0] for r in t.filter(F.col("n_words") < SHINGLE).select("license").collect()]
     if short:
@@ -106,10 +129,10 @@ def band_templates(spark: SparkSession, templates: dict[str, str]) -> tuple[Data
     for k, (length, stride) in enumerate(CLASSES):
         least, most = length + stride - 1, CLASSES[k + 1][0] + CLASSES[k + 1][1] - 1 if k + 1 < len(CLASSES) else 1 << 30
         own = t.filter((F.col("n_words") >= least) & (F.col("n_words") < most))
-        part = _bands(own, ["license"], [(length, stride)], stride_one=True).select("license", F.explode("bands").alias("b"))
-        part = part.select("license", F.col("b.pos").alias("o"), "b.band")
+        part = _bands(own, ["number"], [(length, stride)], stride_one=True).select("number", F.explode("bands").alias("b"))
+        part = part.select("number", F.col("b.pos").alias("o"), "b.band")
         bands = part if bands is None else bands.unionByName(part)
-    return t.select("license", "n_words", _shingles(F.col("words")).alias("shingles")), cut(bands.distinct()), t.select("h")
+    return t.select("license", "number", "n_words", _shingles(F.col("words")).alias("shingles")), cut(bands.distinct()), t.select("h")
 
 
 def _shingles(words: Column) -> Column:
@@ -133,19 +156,19 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     few_known = known.count() <= BROADCAST_BANDS
     share = hashed(rows).select("_path", "_row", F.explode("h").alias("x")).join(F.broadcast(known) if few_known else known, "x", "left_semi")
     share = cut(share.select("_path", "_row").distinct())
-    near = rows.join(F.broadcast(share) if share.count() <= BROADCAST_PLACES else share, ["_path", "_row"], "left_semi")
+    near = rows.join(F.broadcast(share) if share.count() <= BROADCAST_DOCS else share, ["_path", "_row"], "left_semi")
     n_bands = bands.count()
     windows = _bands(hashed(near), ["_path", "_row"], CLASSES, stride_one=False)
     windows = windows.select("_path", "_row", F.explode("bands").alias("b")).select("_path", "_row", "b.pos", "b.band")
     right = F.broadcast(bands) if n_bands <= BROADCAST_BANDS else bands
-    places = (windows.join(right, "band").select("_path", "_row", "license", (F.col("pos") - F.col("o")).alias("at")).distinct()
-              .groupBy("_path", "_row").agg(F.collect_list(F.struct("license", "at")).alias("places")))
+    places = (windows.join(right, "band").select("_path", "_row", "number", (F.col("pos") - F.col("o")).alias("at")).distinct()
+              .groupBy("_path", "_row").agg(F.collect_list(F.struct("number", "at")).alias("places")))
     places = cut(places)  # no more entries a row than the document has windows
     few = (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_PLACES
     found = rows.join(F.broadcast(places) if few else places, ["_path", "_row"])
     each = hold(found.select(id_col, "text", "places"), "words", _words(F.col("text"))).select(id_col, "words", F.explode("places").alias("p"))
     small = shapes.agg(F.sum(F.size("shingles"))).first()[0] <= BROADCAST_BANDS
-    each = each.join(F.broadcast(shapes) if small else shapes, F.col("p.license") == F.col("license"))
+    each = each.join(F.broadcast(shapes) if small else shapes, F.col("p.number") == F.col("number"))
     more = F.floor(F.col("n_words") / 5).cast("int") + 1
     begin = F.greatest(F.col("p.at") - more, F.lit(0))
     end = F.least(F.col("p.at") + F.col("n_words") + more, F.size("words"))
@@ -158,4 +181,4 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents"), TEMPLATES | bodies())
