@@ -7,13 +7,16 @@ one ``\`` after each of the three characters gives the text back.
 
 Every assistant turn is an example of its own: its context is the formatted
 conversation up to and including the turn's ``<|says|>``, and only the reply's text
-is trainable.  All examples of a conversation share prefixes of one formatted text, so
-an example is kept as spans into that text (``context_end``, ``loss_first``,
-``loss_end``, in code points), which stays linear in the input however long a
-conversation is; ``render`` writes contexts out for those who want them.
+is trainable.  ``format_turns`` formats the turns and gives each example's spans in its
+conversation's formatted text (``context_end``, ``loss_first``, ``loss_end``, in code
+points); ``expand`` writes every example out, context and target, and ``read_examples``
+reads conversations back from these alone.
 
-Conversations are dealt by id, sorted by turn and read as a stream: a conversation of
-any length passes through one task without being held.
+Conversations are dealt by id, sorted by turn and read as a stream; the task holds one
+conversation's formatted text, which must fit one value (2 GB).  Contexts repeat each
+other, so examples grow with the square of a conversation's turns: they pass on in
+batches of some 4 million code points (``BATCH``) and are never shuffled.  ``render``
+writes out chosen examples only.
 
 Defined results: null text counts as empty, a null role as the empty role; rows with
 null conv_id form one conversation; null turns come first; equal turns are ordered by
@@ -81,7 +84,7 @@ _TYPES = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(
 
 
 def examples(turns: DataFrame) -> DataFrame:
-    """The examples: one row per assistant turn (conv_id, seq, context_end, loss_first, loss_end)."""
+    """The examples as spans: one row per assistant turn (conv_id, seq, context_end, loss_first, loss_end)."""
     return turns.filter("loss_first is not null").select("conv_id", "seq", "context_end", "loss_first", "loss_end")
 
 
@@ -98,27 +101,75 @@ def render(turns: DataFrame, wanted: DataFrame) -> DataFrame:
         F.expr("substring(t, int(loss_first) + 1, int(loss_end - loss_first))").alias("target")))
 
 
+#: Code points of contexts and targets in a batch of examples.
+BATCH = 4_000_000
+_EXAMPLE = pa.schema([("conv_id", pa.int64()), ("seq", pa.int64()), ("context", pa.string()), ("target", pa.string())])
+
+
+def expand(turns: DataFrame) -> DataFrame:
+    """Prefix-target expansion of ``format_turns``: a row per assistant turn, in order
+    (conv_id, seq, context, target).  The context is the whole formatted conversation before
+    the reply, the target is the reply and all that is under the loss mask.  A conversation
+    that does not end in a reply ends in a row of its whole text without a target."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, last, parts, replied, rows, size = None, 0, None, True, [], 0
+        for b in batches:
+            for i, seq, segment, first, loss_first, loss_end in zip(*(b.column(k).to_pylist() for k in (0, 1, 2, 3, 5, 6))):
+                if parts is None or i != conv:
+                    if not replied:
+                        rows.append((conv, last, "".join(parts), None))
+                        size += len(rows[-1][2])
+                    conv, parts = i, []
+                last, replied = seq, loss_first is not None
+                if replied:
+                    before = "".join(parts)
+                    parts = [before]
+                    rows.append((i, seq, before + segment[:loss_first - first], segment[loss_first - first:loss_end - first]))
+                    size += len(before) + len(segment)
+                parts.append(segment)
+                if size >= BATCH:
+                    yield _batch(rows)
+                    rows, size = [], 0
+        if not replied:
+            rows.append((conv, last, "".join(parts), None))
+        if rows:
+            yield _batch(rows)
+
+    return turns.mapInArrow(run, "conv_id long, seq long, context string, target string")
+
+
+def _batch(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _EXAMPLE)], schema=_EXAMPLE)
+
+
 def read_back(turns: DataFrame) -> DataFrame:
-    """What the output of ``format_turns`` says, a row per conversation: turns and loss
-    texts are taken from the formatted segments and the examples' spans alone."""
+    """What the examples of ``format_turns`` say, a row per conversation."""
+    return read_examples(expand(turns))
+
+
+def read_examples(expanded: DataFrame) -> DataFrame:
+    """What the output of ``expand`` says, a row per conversation: turns are taken from the
+    examples' texts, loss texts from their targets.  A context that does not go on from the
+    example before it is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, state = None, None
         for b in batches:
             done = []
-            for i, segment, first, loss_first, loss_end in zip(*(b.column(k).to_pylist() for k in (0, 2, 3, 5, 6))):
+            for i, context, target in zip(b.column(0).to_pylist(), b.column(2), b.column(3)):
                 if state is None or i != conv:
                     if state is not None:
                         done.append(state.row(conv))
                     conv, state = i, _Digest()
-                state.add(segment, first, loss_first, loss_end)
+                state.add(context.as_py(), target.as_py())
             if done:
                 yield pa.RecordBatch.from_pylist(done, schema=_RESULT)
         if state is not None:
             yield pa.RecordBatch.from_pylist([state.row(conv)], schema=_RESULT)
 
-    return turns.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-                                 "formatted_chars long, n_examples long, context_chars long")
+    return expanded.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+                                    "formatted_chars long, n_examples long, context_chars long")
 
 
 _RESULT = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
@@ -128,23 +179,25 @@ _RESULT = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_s
 class _Digest:
     def __init__(self):
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
-        self.n = self.loss_chars = self.chars = self.n_examples = self.context_chars = 0
+        self.text, self.n, self.loss_chars, self.n_examples, self.context_chars = "", 0, 0, 0, 0
 
-    def add(self, segment: str, first: int, loss_first: int | None, loss_end: int | None) -> None:
-        for m in _SEGMENT.finditer(segment):
+    def add(self, context: str, target: str | None) -> None:
+        if not context.startswith(self.text):
+            raise ValueError("an example's context does not go on from the example before it")
+        known, self.text = len(self.text), context if target is None else context + target + END
+        for m in _SEGMENT.finditer(self.text, known):
             self.turns.update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode())
             self.n += 1
-        self.chars += len(segment)
-        if loss_first is not None:
-            text = unescape(segment[loss_first - first:loss_end - first])
+        if target is not None:
+            text = unescape(target)
             self.loss.update(text.encode())
             self.loss_chars += len(text)
             self.n_examples += 1
-            self.context_chars += loss_first
+            self.context_chars += len(context)
 
     def row(self, conv: int | None) -> dict:
         return {"conv_id": conv, "n_turns": self.n, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars,
-                "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.chars, "n_examples": self.n_examples, "context_chars": self.context_chars}
+                "loss_sha256": self.loss.hexdigest(), "formatted_chars": len(self.text), "n_examples": self.n_examples, "context_chars": self.context_chars}
 
 
 #: The contract's extra conversation.

@@ -131,6 +131,35 @@ def test_chat_contexts_hold_all_preceding_turns(spark):
     assert got == [(7, i, "".join(segment[:i]) + head, chat_format.escape(f"t{i}[{i}]")) for i in (1, 3, 5)]
 
 
+def test_chat_expands_every_reply_with_its_whole_context(spark):
+    rows = [(c, i, "assistant" if i % 2 == c % 2 else "user", f"<{c}>t{i}[\\é" * (i + 1)) for c, n in ((1, 5), (2, 6), (3, 120)) for i in range(n)]
+    rows += [(4, 0, "user", "no reply"), (4, 1, "user", "at all"), (5, 0, "assistant", None), (None, 0, "assistant", "a"), (None, 1, "user", "b")]
+    turns = chat_format.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    want, texts = [], {}
+    for c in dict.fromkeys(r[0] for r in rows):
+        whole = ""
+        own = [r for r in rows if r[0] == c]
+        for seq, (_, _, role, text) in enumerate(own):
+            head, body = chat_format.TURN + role + chat_format.SAYS, chat_format.escape(text or "")
+            if role == "assistant":
+                want.append((c, seq, whole + head, body))
+            whole += head + body + chat_format.END
+        if own[-1][2] != "assistant":
+            want.append((c, len(own) - 1, whole, None))
+        texts[c] = "".join(f"{role}\n{text or ''}\n" for _, _, role, text in own), "".join(text or "" for _, _, role, text in own if role == "assistant")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    expanded = chat_format.expand(turns)
+    assert sorted(map(tuple, expanded.collect()), key=key) == sorted(want, key=key)
+    got = {r["conv_id"]: r for r in chat_format.read_examples(expanded).collect()}
+    assert {c: (r["turns_sha256"], r["loss_sha256"]) for c, r in got.items()} == {
+        c: tuple(hashlib.sha256(x.encode()).hexdigest() for x in pair) for c, pair in texts.items()}
+    unmasked = chat_format.read_examples(spark.createDataFrame([(1, 0, "<|turn|>user<|says|>x<|end|>", None)], expanded.schema)).first()
+    assert (unmasked["n_turns"], unmasked["loss_chars"], unmasked["n_examples"]) == (1, 0, 0)
+    broken = spark.createDataFrame([(1, 0, "<|turn|>assistant<|says|>", "x"), (1, 1, "<|turn|>assistant<|says|>", "y")], expanded.schema).coalesce(1)
+    with pytest.raises(Exception, match="does not go on"):
+        chat_format.read_examples(broken).collect()
+
+
 def test_warc(spark, tmp_path):
     html = ('<html lang="en"><head><title>T &amp; U</title><script>var t="</p>";</script></head><body><!-- x --><p>One<br>two &lt;b&gt;</p>'
             '<a href="/a?b=1">l</a><p title="a>b">three</p><!-- open')
