@@ -106,13 +106,18 @@ def _fitted(spark, sf, names=None, tune=False):
     num, cat = M.prepare_features(feat, LABEL, method="all")
     prep, columns = M.fit_preprocessing(train, num, cat)
     zoo = {k: v for k, v in M.model_zoo(LABEL, len(columns)).items() if names is None or k in names}
-    train_p = materialize(prep.transform(train))
-    return M.train_models(train_p, zoo, LABEL, tune=tune), columns, prep.transform(val), prep.transform(test)
+    train_p = materialize(prep.transform(M.dealt(train)).select("scaledFeatures", LABEL))
+    return M.train_models(train_p, zoo, LABEL, tune=tune, together=2), columns, prep.transform(val), prep.transform(test)
+
+
+def _held(split):
+    """A held-out split as models read it, materialised once for all of them."""
+    return materialize(split.select("scaledFeatures", LABEL))
 
 
 def _model_evaluation(spark, sf):
     ms, _, _, test = _fitted(spark, sf)
-    return E.grade_models(M.evaluate_models(ms, test, LABEL))
+    return E.grade_models(M.evaluate_models(ms, _held(test), LABEL))
 
 
 def _importances(spark, ms, columns):
@@ -141,9 +146,9 @@ def _model_checks(spark, sf):
     up to 1, category shares that add up to 100 %."""
     ms, columns, val, test = _fitted(spark, sf)
     imps = _importances(spark, ms, columns)
-    out = None
+    out, held = None, {"validation": _held(val), "test": _held(test)}
     for name, model in ms.models.items():
-        for split, frame in (("validation", val), ("test", test)):
+        for split, frame in held.items():
             p = M.with_probabilities(model.transform(frame))
             row = p.agg(F.count("*").alias("n"), F.count_if(F.abs(F.col("prob_default") + F.col("prob_no_default") - 1) < 1e-9).alias("n_sum_1"),
                         F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("n_class"))
@@ -184,7 +189,7 @@ def _grid_candidates(spark, sf, names=("Logistic Regression", "Neural Network"))
     train, _, _ = M.split_data(feat, key="ID")
     num, cat = M.prepare_features(feat, LABEL, method="all")
     prep, columns = M.fit_preprocessing(train, num, cat)
-    fitting = materialize(M.with_folds(prep.transform(train), "ID").select("scaledFeatures", LABEL, "fold"))
+    fitting = materialize(M.with_folds(prep.transform(M.dealt(train)), "ID").select("scaledFeatures", LABEL, "fold"))
     zoo = {k: v for k, v in M.model_zoo(LABEL, len(columns)).items() if k in names}
     ms = M.train_models(fitting, zoo, LABEL, tune=True, parallelism=8, fold_col="fold")
     of_model = M.candidate_metrics(ms, spark).groupBy("model").agg(

@@ -9,6 +9,7 @@ feature (Q8), and a failed model is reported in the result frame, not hidden.
 
 from __future__ import annotations
 
+import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -129,6 +130,20 @@ def skipped_rows(parts: dict, numeric) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+#: Rows a core from which a training frame is dealt anew, and most rows of a partition.
+LEAST_ROWS, MOST_ROWS = 25_000, 250_000
+
+
+def dealt(train: DataFrame) -> DataFrame:
+    """The rows of ``train`` in equal partitions, as many as the cluster has cores or a multiple.
+
+    Fits pass over their rows hundreds of times.  Partitions left by an adaptive shuffle are
+    uneven and as many as its bytes ask for: one more than the cores doubles the time of every
+    pass.  Rows are dealt in turn, whatever their keys; small frames stay as they are."""
+    cores, rows = train.sparkSession.sparkContext.defaultParallelism, train.count()
+    return train if rows < cores * LEAST_ROWS else train.repartition(cores * math.ceil(rows / (cores * MOST_ROWS)))
+
+
 # ------------------------------------------------------------------ models
 def model_zoo(label: str = LABEL, n_features: int | None = None, features: str = "scaledFeatures", seed: int = 42,
               validation: str | None = None) -> dict:
@@ -189,21 +204,25 @@ def fold_metrics(est, grid: list, train: DataFrame, evaluator, fold_col: str, fo
 
 def train_models(train: DataFrame, models: dict, label: str = LABEL, tune: bool = False, folds: int = 3,
                  parallelism: int = 4, grids: dict | None = None, seed: int = 42, fold_col: str | None = None,
-                 validation: str | None = None) -> ModelSet:
+                 validation: str | None = None, together: int = 1) -> ModelSet:
     """Plain fit, or k-fold CV on AUC; a failing model is recorded in
     ``failures`` (and in ``evaluate_models``' frame), not silently dropped.
 
     With ``fold_col`` (see ``with_folds``) the folds are those of the column, whatever the
     partitioning.  Every candidate's mean metric goes to ``candidates``.  ``validation``
     names a boolean column: only boosting reads the rows it marks, to stop early; all
-    other models are fitted on the rest."""
+    other models are fitted on the rest.
+
+    ``together`` models are fitted at once, boosting first: its many short passes leave cores to
+    the others.  A model's time then is the time from its start to its end, beside the others."""
     out = ModelSet()
     grids = grids or (param_grids(models) if tune else {})
     evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                               metricName="areaUnderROC")
     own = train.where(~qcol(validation)) if validation else train
-    for name, est in models.items():
-        t0 = time.time()
+
+    def one(name):
+        est, t0 = models[name], time.time()
         try:
             if tune:
                 grid = grids.get(name) or [{}]
@@ -224,6 +243,18 @@ def train_models(train: DataFrame, models: dict, label: str = LABEL, tune: bool
         except Exception as e:  # noqa: BLE001 -- reported to the caller
             out.failures[name] = f"{type(e).__name__}: {e}"
         out.times[name] = time.time() - t0
+
+    order = sorted(models, key=lambda name: not isinstance(models[name], GBTClassifier)) if together > 1 else list(models)
+    if together > 1:
+        with ThreadPoolExecutor(together) as pool:
+            list(pool.map(inheritable_thread_target(train.sparkSession)(one), order))
+    else:
+        for name in order:
+            one(name)
+    for kept in (out.models, out.times, out.failures):  # in the order of ``models``, whichever ended first
+        for name in [n for n in models if n in kept]:
+            kept[name] = kept.pop(name)
+    out.candidates.sort(key=lambda c: list(models).index(c[0]))
     return out
 
 

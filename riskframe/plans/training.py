@@ -26,14 +26,14 @@ def train_and_evaluate(feat: DataFrame, label: str = LABEL, key: str | None = "I
     train, val, test = M.split_data(feat, key=key)
     num, cat = M.prepare_features(feat, label, method)
     prep, names = M.fit_preprocessing(train, num, cat)
-    fitting = prep.transform(train)
+    fitting = prep.transform(M.dealt(train))
     if tune and key:
         fitting = M.with_folds(fitting, key, folds)
     fitting, val_p, test_p = materialize(fitting), materialize(prep.transform(val)), materialize(prep.transform(test))
     marked = fitting.withColumn(VALIDATION, F.lit(False)).unionByName(val_p.withColumn(VALIDATION, F.lit(True)), allowMissingColumns=True)
     zoo = models or M.model_zoo(label, len(names), validation=None if tune else VALIDATION)
     ms = M.train_models(marked, zoo, label, tune=tune, folds=folds, parallelism=parallelism, fold_col="fold" if tune and key else None,
-                        validation=VALIDATION)
+                        validation=VALIDATION, together=2)
     on_val = M.evaluate_models(ms, val_p, label)
     metrics = E.grade_models(M.evaluate_models(ms, test_p, label), chosen_on=on_val)
     out = {"split": M.split_report(feat, key, label) if key else None, "metrics": metrics, "validation_metrics": on_val, "models": ms,

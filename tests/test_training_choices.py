@@ -165,3 +165,37 @@ def test_sketched_categories_come_close_to_exact_ones(spark, feat):
             assert all(r[k] == sketched[c][k] for k in ("variables", "null_cells", "null_pct", "low_variance"))
     both = P.profile_by_name(wide, [("a", "contains", ("TREND",)), ("b", "contains", ("BILL",))], ["BILL_TREND_KEY"], exact_distinct=True)
     assert {r["category"]: r["distinct_codes"] for r in both.collect()} == {"a": feat.count(), "b": feat.count()}
+
+
+def test_training_rows_are_dealt_evenly_over_the_cores(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(1000).select(F.when(F.col("id") > 5, F.col("id") % 3).alias("ID"), F.col("id").alias("n")).repartition(cores + 1, "ID")
+    assert M.dealt(rows) is rows
+    monkeypatch.setattr(M, "LEAST_ROWS", 1)
+    for most, n in ((1000, cores), (1000 // cores - 1, 2 * cores)):
+        monkeypatch.setattr(M, "MOST_ROWS", most)
+        sizes = M.dealt(rows).rdd.glom().map(len).collect()
+        assert len(sizes) == n and sum(sizes) == 1000 and max(sizes) <= 1000 // n + cores + 1
+    assert sorted(map(str, M.dealt(rows).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_fits_read_dealt_rows(spark, monkeypatch):
+    import __spark_entry__ as entry
+    seen = []
+    monkeypatch.setattr(M, "LEAST_ROWS", 1)
+    monkeypatch.setattr(M, "train_models", lambda train, *a, **k: seen.append((train.rdd.getNumPartitions(), sorted(train.columns), train.count())) or M.ModelSet())
+    entry._fitted(spark, "/root/testdata/sf0.001")
+    n = M.split_data(entry._acc(spark, "/root/testdata/sf0.001"), key="ID")[0].count()
+    assert seen == [(spark.sparkContext.defaultParallelism, sorted(["scaledFeatures", LABEL]), n)]
+
+
+def test_models_fitted_together_are_those_fitted_one_by_one(spark, feat):
+    num, cat = M.prepare_features(feat, method="core")
+    prep, names = M.fit_preprocessing(feat, num, cat)
+    rows = materialize(prep.transform(feat))
+    zoo = small_zoo(len(names)) | {"Wrong": M.model_zoo(LABEL, len(names) + 7)["Neural Network"].setMaxIter(2)}
+    apart, both = M.train_models(rows, zoo, LABEL), M.train_models(rows, zoo, LABEL, together=2)
+    assert list(both.models) == list(apart.models) and list(both.times) == list(zoo) and list(both.failures) == ["Wrong"]
+    for name in both.models:
+        a, b = ([r["prediction"] for r in x.models[name].transform(rows).orderBy("ID").select("prediction").collect()] for x in (apart, both))
+        assert a == b
