@@ -99,6 +99,13 @@ def _slots(tokens: str, i, window: int):
     return F.filter(F.slice(tokens, i + 1, window), _slot)
 
 
+def _slots_in_join(tokens: str, i, window: int):
+    """``_slots`` without a lambda: it is generated into the join's own code, so what leaves the join is the
+    slot values.  A lambda is evaluated after it, on rows that each hold a copy of the document's tokens."""
+    none, token = F.array().cast("array<string>"), lambda j: F.get(tokens, i + j)
+    return F.concat(*[F.when(_slot(token(j)), F.array(token(j))).otherwise(none) for j in range(window)])
+
+
 def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
     """(keys, form, pos, h, slots, first): every window of canonical tokens of both forms, slots null
     where it has none; ``first`` is its first token."""
@@ -114,7 +121,9 @@ def _found(docs: DataFrame, keys: list[str], right: DataFrame, window: int) -> D
     """The windows of ``docs`` that ``right`` has, (keys, pos, slots and right's columns).
 
     Hashes alone are spread to rows.  Where ``right`` is broadcast, the windows that stay fetch their slot
-    values from the tokens beside them; where it is not, the values go with the hash."""
+    values from the tokens beside them, inside the join: all windows of a document that match leave it before
+    the first is taken up, so a copy of the tokens in each would need the square of the document's length.
+    Where ``right`` is not broadcast, the values go with the hash."""
     few = right.count() <= BROADCAST_WINDOWS
     right = F.broadcast(right) if few else right
     docs = hold(docs.select(*keys, "text"), "text", F.regexp_replace(F.coalesce("text", F.lit("")), RESERVED, " "))
@@ -125,9 +134,9 @@ def _found(docs: DataFrame, keys: list[str], right: DataFrame, window: int) -> D
     at = F.sequence(F.lit(0), F.size("tokens") - window)
     same = F.col("read_as").isin(BOTH) | (F.col("read_as") == F.col("form"))
     if few:
-        rows = docs.select(*keys, "read_as", "tokens", F.transform(at, lambda i: _hash("canon", i, window)).alias("hs"))
+        rows = hold(docs, "hs", F.transform(at, lambda i: _hash("canon", i, window)))
         rows = rows.select(*keys, "read_as", "tokens", F.posexplode("hs").alias("pos", "h"))
-        found = rows.join(right, "h").filter(same).withColumn("slots", _slots("tokens", F.col("pos"), window))
+        found = rows.join(right, "h").filter(same).withColumn("slots", _slots_in_join("tokens", F.col("pos"), window))
     else:
         each = F.transform(at, lambda i: F.struct(_hash("canon", i, window).alias("h"), _slots("tokens", i, window).alias("slots")))
         rows = docs.select(*keys, "read_as", F.posexplode(each).alias("pos", "w")).select(*keys, "read_as", "pos", "w.*")

@@ -1,8 +1,12 @@
 """Leaks that must be found whatever their case, the benchmark's rows and the items' length."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
-from conftest import SF_SMALL
+from conftest import ROOT, SF_SMALL
 from riskframe.llm import decontaminate
 
 DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
@@ -68,3 +72,33 @@ def test_joins_by_shuffle_find_the_same(spark, monkeypatch):
     want = pairs(docs, bench)
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert pairs(docs, bench) == want and want
+
+
+#: A document of 12,000 words that quotes all of a benchmark twice, on a heap of 1 GB: nearly each of its windows matches.
+QUOTES = """
+from itertools import product
+from pyspark.sql import SparkSession
+from riskframe.llm import decontaminate
+
+spark = (SparkSession.builder.master("local[1]").config("spark.driver.memory", "1g").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {folder!r}).getOrCreate())
+words = ["".join(w) for w in product("abcdefghiklmnopqrstu", repeat=3)][:6000]
+items = [(i, " ".join(words[60 * i:60 * i + 60])) for i in range(100)]
+docs = [(1, " ".join(2 * [t for _, t in items])), (2, "nothing of it stands in here at all")]
+got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+print("FOUND", len(got), sorted({{(r["doc_id"], r["share"]) for r in got}}))
+"""
+
+
+def test_document_that_quotes_the_benchmark_fits_a_small_heap(tmp_path):
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")]), "TMPDIR": str(tmp_path)}
+    run = subprocess.run([sys.executable, "-c", QUOTES.format(folder=str(tmp_path))], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "FOUND 100 [(1, 1.0)]" in run.stdout, run.stderr[-3000:]
+
+
+def test_slot_values_taken_in_the_join_are_those_of_the_window(spark):
+    rows = [(1, ["a", decontaminate.NUM + "7", "b", "c", decontaminate.NAME + "ada", "d"]), (2, list("abcdef"))]
+    at = spark.createDataFrame(rows, "k int, tokens array<string>").selectExpr("*", "explode(array(0, 1)) as pos")
+    got = at.select("k", "pos", decontaminate._slots("tokens", at["pos"], 5), decontaminate._slots_in_join("tokens", at["pos"], 5)).collect()
+    assert len(got) == 4 and all(r[2] == r[3] for r in got)
+    assert {(r[0], r[1]): r[3] for r in got}[1, 1] == [decontaminate.NUM + "7", decontaminate.NAME + "ada"]
